@@ -11,6 +11,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The label that stands for "no answer".
 SKIPPED = "Skipped"
@@ -37,7 +38,7 @@ def clean_single(value: Column, skipped_label: str = SKIPPED) -> Column:
     return F.coalesce(blank_to_null(value), F.lit(skipped_label))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def decode_entities(values: pd.Series) -> pd.Series:
     """Decode HTML character references, one pass (``&amp;gt;`` -> ``&gt;``)."""
     return values.map(html.unescape, na_action="ignore")

@@ -1,0 +1,14 @@
+from tally.plans.report import (
+    Chart,
+    Combinations,
+    Funnel,
+    Likert,
+    Report,
+    ReportRow,
+    ReportSection,
+    TraitTab,
+    build_report,
+    chart_options,
+)
+
+__all__ = [name for name in dir() if not name.startswith("_")]
