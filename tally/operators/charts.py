@@ -23,7 +23,7 @@ def bar_series(bins: DataFrame) -> DataFrame:
     """``(draw_pos, label, value)``: bins bottom-up, the first bin drawn last."""
     last = bins.agg(F.max("pos").alias("last")).scalar()
     return bins.select(
-        (last - F.col("pos")).cast("int").alias("draw_pos"),
+        (last - F.col("pos")).alias("draw_pos"),
         "label",
         round_tenths(F.col("percent")).alias("value"),
     )
@@ -109,7 +109,7 @@ def rank_stack(distribution: DataFrame) -> DataFrame:
     return distribution.select(
         (F.col("seg_pos") - 1).alias("seg_idx"),
         "segment",
-        (last - F.col("item_pos")).cast("int").alias("draw_pos"),
+        (last - F.col("item_pos")).alias("draw_pos"),
         "label",
         round_tenths(F.col("percent")).alias("percent"),
     )

@@ -162,7 +162,7 @@ def counts_single_family(
     )
     return placed.select(
         name_column(names).alias("name"),
-        F.col("pos").cast("int").alias("pos"),
+        "pos",
         "label",
         F.col("n").alias("count"),
         percent_of(F.col("n"), total).alias("percent"),

@@ -136,9 +136,9 @@ def crosstab_family(
     base = {"global": F.col("__shape.total"), "x": F.col("x_n"), "y": F.col("y_n")}
     return cells.select(
         name_column(names).alias("name"),
-        F.col("x_pos").cast("int").alias("x_pos"),
+        "x_pos",
         "x",
-        F.col("y_pos").cast("int").alias("y_pos"),
+        "y_pos",
         "y",
         n.alias("count"),
         pick([percent_of(n, base[s.normalize]) for s in specs]).alias("value"),
@@ -249,7 +249,7 @@ def trait_counts(
         for i, (trait, slot) in enumerate(zip(traits, slots))
     ]
     cells = placed.withColumn("__base", base).select(
-        F.col("x_pos").cast("int").alias("x_pos"), "x", "__x_n", "__base", F.inline(F.array(*rows))
+        "x_pos", "x", "__x_n", "__base", F.inline(F.array(*rows))
     )
     return cells.select(
         "x_pos",

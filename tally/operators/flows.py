@@ -239,12 +239,12 @@ def flow_links(
     """
     flow = Flow(x, y, id, x_map, y_map, exclude, min_count, as_percent)
     placed = with_position(
-        _surviving(df, flow), ["x_first", "y_first"], pos="link_pos", max_rows=_squared(max_labels)
+        _surviving(df, flow), ["x_first", "x", "y_first", "y"], pos="link_pos", max_rows=_squared(max_labels)
     )
     share = round_tenths(percent_of(F.col("n"), F.col("total")))
     number = share if as_percent else F.col("n")
     return placed.select(
-        F.col("link_pos").cast("int").alias("link_pos"),
+        "link_pos",
         F.col("x").alias("source"),
         F.col("y").alias("target"),
         F.col("n").alias("count"),
@@ -276,9 +276,9 @@ def flow_nodes(
     )
     nodes = _surviving(df, flow).select(F.inline(ends)).distinct()
     bound = None if max_labels is None else 2 * max_labels
-    placed = with_position(nodes, ["side_no", "first"], pos="node_pos", max_rows=bound)
+    placed = with_position(nodes, ["side_no", "first", "node"], pos="node_pos", max_rows=bound)
     return placed.select(
-        F.col("node_pos").cast("int").alias("node_pos"),
+        "node_pos",
         "node",
         F.when(F.col("side_no") == 0, F.lit("x")).otherwise(F.lit("y")).alias("side"),
     )

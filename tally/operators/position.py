@@ -32,7 +32,7 @@ def with_position(
     pos: str = "pos",
     max_rows: int | None = None,
 ) -> DataFrame:
-    """Number rows from 1 by ascending ``order`` columns, per group ``by``.
+    """Number rows from 1 (BIGINT) by ascending ``order`` columns, per group ``by``.
 
     ``order`` must be a total order within a group. ``by`` is meant for a small,
     known set of groups such as metric names; a group may be of any size.
@@ -40,9 +40,9 @@ def with_position(
     group that turns out larger fails the query instead of overloading a task.
     """
     if max_rows is not None and max_rows <= SINGLE_TASK_ROWS:
-        number = F.row_number().over(W.partitionBy(*by).orderBy(*order))
+        number = F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("bigint")
         over = F.raise_error(F.lit(f"more than the promised {max_rows} labels"))
-        checked = F.when(F.col(pos) > max_rows, over.cast("int")).otherwise(F.col(pos))
+        checked = F.when(F.col(pos) > max_rows, over.cast("bigint")).otherwise(F.col(pos))
         return df.withColumn(pos, number).withColumn(pos, checked)
 
     keyed = df.withColumn("__key", F.struct(*by, *order))

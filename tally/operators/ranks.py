@@ -95,7 +95,7 @@ def _segments(
         .withColumn("shares", shares)
         .select(
             name_column(names).alias("name"),
-            F.col("item_pos").cast("int").alias("item_pos"),
+            "item_pos",
             F.col("choice").alias("label"),
             "score",
             F.posexplode(

@@ -64,7 +64,7 @@ def set_combinations(
     )
     placed = with_position(top, ["__most", "members"], max_rows=max_combos)
     return placed.select(
-        F.col("pos").cast("int").alias("pos"), "members", "size", dropped.alias("dropped")
+        "pos", "members", "size", dropped.alias("dropped")
     )
 
 

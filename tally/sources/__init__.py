@@ -1,6 +1,7 @@
 from tally.sources.catalog import (
     bind_questions,
     choice_mismatches,
+    header_forms,
     header_frame,
     load_catalog,
     match_headers,
@@ -8,6 +9,7 @@ from tally.sources.catalog import (
     question_catalog,
 )
 from tally.sources.reports import (
+    parse_reports,
     read_reports,
     report_index,
     report_page,

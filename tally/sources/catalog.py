@@ -66,9 +66,14 @@ def load_catalog(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
 
 
 def header_frame(spark: SparkSession, headers: Sequence[str]) -> DataFrame:
-    """Headers with their normal forms: ``(pos, raw, norm, norm_base, suffix, rank)``."""
+    """The header line as a frame, with normal forms."""
+    return header_forms(spark.createDataFrame(list(enumerate(headers)), HEADER_SCHEMA))
+
+
+def header_forms(headers: DataFrame) -> DataFrame:
+    """Normal forms of ``(pos, raw)``: ``(pos, raw, norm, norm_base, suffix, rank)``."""
     raw = F.col("raw")
-    suffixed = spark.createDataFrame(list(enumerate(headers)), HEADER_SCHEMA).select(
+    suffixed = headers.select(
         "pos",
         "raw",
         normalize_text(raw).alias("norm"),

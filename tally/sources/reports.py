@@ -76,6 +76,16 @@ def read_reports(spark: SparkSession, path: str, *, multi_line: bool = False) ->
         .option("recursiveFileLookup", True)
         .json(path)
     )
+    return _checked(documents)
+
+
+def parse_reports(df: DataFrame, document: str) -> DataFrame:
+    """Like :func:`read_reports` for documents held in a string column."""
+    parsed = F.from_json(document, REPORT_SCHEMA, {"mode": "FAILFAST"})
+    return _checked(df.select(parsed.alias("__report")).select("__report.*"))
+
+
+def _checked(documents: DataFrame) -> DataFrame:
     version = F.col("schema_version")
     found = F.coalesce(version.cast("string"), F.lit("(none)"))
     wrong = F.raise_error(F.concat(F.lit("unsupported report version "), found))
