@@ -16,6 +16,7 @@ from tally.functions.text import (
     decode_entities,
     normalize_text,
     rank_position,
+    strip_all_space,
     strip_space,
 )
 
@@ -35,6 +36,7 @@ __all__ = [
     "rank_position",
     "round_tenths",
     "string_array",
+    "strip_all_space",
     "strip_space",
     "yes_no",
 ]

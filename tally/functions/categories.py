@@ -20,6 +20,8 @@ NO_MATCH = "No Match"
 SEMVER_PATTERN = (
     r"(?:^|[^0-9])((?:0|[1-9]\d*)\.(?:0|[1-9]\d*)\.(?:0|[1-9]\d*))(?:$|[^0-9])"
 )
+# Every version contains this.
+_DOTTED = r"[0-9]\.[0-9]+\.[0-9]"
 
 # Above this many entries a literal map (scanned linearly) loses to a hash join.
 _MAX_LITERAL_MAP = 64
@@ -56,7 +58,8 @@ def first_semver(
 ) -> Column:
     """First ``major.minor.patch`` in the text, or the skipped / no-match label."""
     text = F.coalesce(blank_to_null(value), F.lit(skipped_label))
-    found = F.nullif(F.regexp_extract(text, SEMVER_PATTERN, 1), F.lit(""))
+    # Most text fails the plain test, which is far cheaper than the extraction.
+    found = F.when(text.rlike(_DOTTED), F.nullif(F.regexp_extract(text, SEMVER_PATTERN, 1), F.lit("")))
     return F.when(text == skipped_label, F.lit(skipped_label)).otherwise(
         F.coalesce(found, F.lit(no_match_label))
     )

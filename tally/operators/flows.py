@@ -142,14 +142,22 @@ class Flow:
 
 
 def _flow_pairs(df: DataFrame, flow: Flow) -> DataFrame:
-    """(x, y, n, first): mapped pairs with their first-seen respondent id."""
+    """(x, y, n, first): mapped pairs with their first-seen respondent id.
+
+    The labels are never null here; saying so keeps later joins from filtering
+    below the aggregation, which would give each branch a shuffle of its own.
+    """
+
+    def label(column: Column, mapping: Mapping[str, str] | None) -> Column:
+        return F.coalesce(map_values(column.cast("string"), mapping), F.lit(""))
+
     x, y = as_column(flow.x), as_column(flow.y)
     kept = df.filter(x.isNotNull() & y.isNotNull())
     kept = keep_values(keep_values(kept, x, flow.exclude), y, flow.exclude)
     return (
         kept.select(
-            map_values(x.cast("string"), flow.x_map).alias("x"),
-            map_values(y.cast("string"), flow.y_map).alias("y"),
+            label(x, flow.x_map).alias("x"),
+            label(y, flow.y_map).alias("y"),
             as_column(flow.id).alias("id"),
         )
         .groupBy("x", "y")
@@ -178,21 +186,25 @@ def name_collisions(df: DataFrame, flow: Flow) -> DataFrame:
 
 
 def _surviving(df: DataFrame, flow: Flow) -> DataFrame:
-    """Pairs at or above the floor with both labels' first-seen ids and the base.
+    """Pairs at or above the floor with both labels' first appearance and the base.
 
     A label used on both sides fails the query: it would close a cycle. The check
-    runs on every pair, before the floor is applied.
+    runs on every pair, before the floor is applied. All branches read the same
+    columns of the pairs and margins, so each is shuffled once.
     """
     pairs = _flow_pairs(df, flow)
     margins = _margins(pairs)
     per_label = margins.groupBy("label").agg(
-        F.count(F.lit(1)).alias("sides"), F.sum(F.when(F.col("side") == 0, F.col("n"))).alias("n")
+        F.count(F.lit(1)).alias("sides"),
+        F.sum(F.when(F.col("side") == 0, F.col("n"))).alias("n"),
+        F.min("first").alias("first"),
     )
     clash = F.col("sides") > 1
     facts = per_label.agg(
         F.count_if(clash).alias("clashes"),
         F.min(F.when(clash, F.col("label"))).alias("example"),
         F.sum("n").alias("total"),
+        F.min("first").alias("first"),
     )
     checked = pairs.withColumn("__facts", facts.select(F.struct("*")).scalar())
     message = F.concat(
@@ -202,17 +214,19 @@ def _surviving(df: DataFrame, flow: Flow) -> DataFrame:
         F.coalesce(F.col("__facts.example"), F.lit("")),
         F.lit("; rename them with x_map or y_map"),
     )
-    failed = F.raise_error(message).cast("boolean")
+    # The check sits in the count, so the floor cannot be tested without it and it
+    # stays above the aggregation.
+    failed = F.raise_error(message).cast("bigint")
     kept = (
-        checked.filter(F.when(F.col("__facts.clashes") > 0, failed).otherwise(F.lit(True)))
+        checked.withColumn("n", F.when(F.col("__facts.clashes") > 0, failed).otherwise(F.col("n")))
         .filter(F.col("n") >= flow.min_count)
-        .select("x", "y", "n", F.col("__facts.total").alias("total"))
+        .select("x", "y", "n", "first", F.col("__facts.total").alias("total"))
     )
     x_first = margins.filter(F.col("side") == 0).select(
-        F.col("label").alias("x"), F.col("first").alias("x_first")
+        F.col("label").alias("x"), F.col("first").alias("x_first"), F.col("n").alias("x_n")
     )
     y_first = margins.filter(F.col("side") == 1).select(
-        F.col("label").alias("y"), F.col("first").alias("y_first")
+        F.col("label").alias("y"), F.col("first").alias("y_first"), F.col("n").alias("y_n")
     )
     return kept.join(x_first, "x").join(y_first, "y")
 
@@ -271,12 +285,26 @@ def flow_nodes(
     """``(node_pos, node, side)``: x labels, then y labels, by first appearance."""
     flow = Flow(x, y, id, x_map, y_map, exclude, min_count)
     ends = F.array(
-        F.struct(F.lit(0).alias("side_no"), F.col("x").alias("node"), F.col("x_first").alias("first")),
-        F.struct(F.lit(1).alias("side_no"), F.col("y").alias("node"), F.col("y_first").alias("first")),
+        *[
+            F.struct(
+                F.lit(i).alias("side_no"),
+                F.col(side).alias("node"),
+                F.col(f"{side}_first").alias("seen"),
+                F.col(f"{side}_n").alias("label_n"),
+            )
+            for i, side in enumerate("xy")
+        ]
+    )
+    # Only the first appearance is wanted; the maxima keep the shared columns in use.
+    pinned = [F.max(c).alias(c) for c in ("label_n", "n", "first", "total")]
+    nodes = (
+        _surviving(df, flow)
+        .select("n", "first", "total", F.inline(ends))
+        .groupBy("side_no", "node")
+        .agg(F.min("seen").alias("seen"), *pinned)
     )
-    nodes = _surviving(df, flow).select(F.inline(ends)).distinct()
     bound = None if max_labels is None else 2 * max_labels
-    placed = with_position(nodes, ["side_no", "first", "node"], pos="node_pos", max_rows=bound)
+    placed = with_position(nodes, ["side_no", "seen", "node"], pos="node_pos", max_rows=bound)
     return placed.select(
         "node_pos",
         "node",

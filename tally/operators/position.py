@@ -45,7 +45,11 @@ def with_position(
         checked = F.when(F.col(pos) > max_rows, over.cast("bigint")).otherwise(F.col(pos))
         return df.withColumn(pos, number).withColumn(pos, checked)
 
-    keyed = df.withColumn("__key", F.struct(*by, *order))
+    # The key ends with the remaining columns. They never decide the order, but
+    # with them every branch below reads the same columns of ``df``, so its last
+    # shuffle is computed once and reused instead of being pruned differently.
+    rest = [c for c in df.columns if c not in (*by, *order)]
+    keyed = df.withColumn("__key", F.struct(*by, *order, *rest))
     ranged = (
         keyed.withColumn("__splitters", _splitters(keyed))
         .withColumn("__range", _range_of(F.col("__key"), F.col("__splitters")))

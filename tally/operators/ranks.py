@@ -52,7 +52,11 @@ def band_index(position: Column, bands: Sequence[Band] | None, positions: int) -
 
 
 def _band_counts(placed: DataFrame, specs, sizes) -> DataFrame:
-    """(metric, choice, ranked, one count per band) from single placements."""
+    """(metric, choice, base, ranked, one count per band) from single placements.
+
+    Position 0 marks a respondent rather than a placement. ``base`` counts those,
+    so later filters test an aggregate and cannot slip below the shuffle.
+    """
     keys = group_keys(len(specs))
     labels = [band_labels(m.bands, n) for m, n in zip(specs, sizes)]
     width = max(len(segments) for segments in labels)
@@ -60,7 +64,11 @@ def _band_counts(placed: DataFrame, specs, sizes) -> DataFrame:
         "__band", pick([band_index(F.col("position"), m.bands, n) for m, n in zip(specs, sizes)])
     )
     per_band = [F.count_if(F.col("__band") == i).alias(f"__b{i}") for i in range(width)]
-    return banded.groupBy(*keys, "choice").agg(F.count(F.lit(1)).alias("ranked"), *per_band)
+    return banded.groupBy(*keys, "choice").agg(
+        F.count_if(F.col("position") == 0).alias("base"),
+        F.count_if(F.col("position") > 0).alias("ranked"),
+        *per_band,
+    )
 
 
 def _segments(
@@ -73,7 +81,7 @@ def _segments(
     bands = F.array(*[F.col(f"__b{i}") for i in range(width)])
     shown = F.slice(bands, F.lit(1), pick([F.lit(len(segments)) for segments in labels]))
     floor = pick([F.lit(m.min_count) for m in specs])
-    items = counted.filter(F.col("choice").isNotNull() & (F.col("ranked") >= floor)).select(
+    items = counted.filter((F.col("base") == 0) & (F.col("ranked") >= floor)).select(
         *keys, "choice", shown.alias("bands")
     )
     points = F.aggregate(
@@ -147,8 +155,8 @@ def rank_distribution_family(
     placed = df.select(F.inline(F.array_compact(F.array(*cells))))
     sizes = [len(m.ranks) for m in specs]
     counted = _band_counts(placed, specs, sizes)
-    base = F.sum(F.when(F.col("choice").isNull(), F.col("ranked")))
-    total = per_metric(counted, base, len(specs))
+    shared = [c for c in counted.columns if c == "ranked" or c.startswith("__b")]
+    total = per_metric(counted, F.sum("base"), len(specs), pin=shared)
     return _segments(counted, total, names, specs, sizes, max_labels)
 
 

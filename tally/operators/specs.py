@@ -34,16 +34,21 @@ def pick_order(orders: Sequence[Sequence[str] | None]) -> Column:
     return pick([string_array(order) for order in orders])
 
 
-def per_metric(frame: DataFrame, value: Column, count: int) -> Column:
+def per_metric(
+    frame: DataFrame, value: Column, count: int, *, pin: Sequence[str] = ()
+) -> Column:
     """Aggregate ``value`` over each metric of an aggregated frame, as a scalar.
 
     The lookup holds one entry per metric, so its size is the family's size.
+    ``pin`` names columns that ``value`` does not use but other readers of
+    ``frame`` do: reading them here too lets all readers share one shuffle.
     """
+    result = F.struct(value.alias("value"), *[F.max(c).alias(c) for c in pin])
     if count == 1:
-        return frame.agg(value.alias("v")).scalar()
-    totals = frame.groupBy(METRIC).agg(value.alias("v"))
+        return frame.agg(result.alias("v")).scalar()["value"]
+    totals = frame.groupBy(METRIC).agg(result.alias("v"))
     lookup = F.map_from_entries(F.collect_list(F.struct(METRIC, "v")))
-    return F.element_at(totals.agg(lookup.alias("m")).scalar(), F.col(METRIC))
+    return F.element_at(totals.agg(lookup.alias("m")).scalar(), F.col(METRIC))["value"]
 
 
 def name_column(names: Sequence[str]) -> Column:

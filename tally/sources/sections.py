@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tally.functions import strip_all_space
+
 # Line ends that text readers recognise, all folded to \n first.
 _LINE_ENDS = r"\r\n|[\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 # Fixed value: a second-level heading holding one identifier and nothing else.
 _HEADING = r"(?Umd)^##[^\S\n]+([A-Za-z_][A-Za-z0-9_]*)[^\S\n]*$"
-_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
 def sections(text: Column) -> Column:
@@ -36,7 +37,7 @@ def _latest_sections(text: Column) -> Column:
         # parts[0] precedes the first heading, so heading i (1-based) owns parts[i].
         last = F.size(ids) - F.array_position(F.reverse(ids), sid) + 1
         body = F.element_at(parts, (last + 1).cast("int"))
-        return F.struct(sid.alias("section_id"), F.regexp_replace(body, _EDGES, "").alias("body"))
+        return F.struct(sid.alias("section_id"), strip_all_space(body).alias("body"))
 
     return F.transform(F.array_distinct(ids), section)
 

@@ -321,7 +321,7 @@ def matched(spark, d):
     return found.select("question_id", "type", "suffix", "pos")
 
 
-@query("missing_questions", "SELECT 'promo_single' AS question_id, 'single' AS type FROM part GROUP BY ALL")
+@query("missing_questions", "SELECT DISTINCT 'promo_single' AS question_id, 'single' AS type FROM part")
 def missing(spark, d):
     catalog = part_catalog(spark, d)
     found = match_headers(part_headers(spark, d), catalog)
