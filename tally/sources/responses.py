@@ -118,23 +118,23 @@ def _cell(qid: str, kind: str, choice: str | None, pos: int | None, value: Colum
 
 def read_header(spark: SparkSession, path: str, *, multi_line: bool = True) -> list[str]:
     """Header fields as written, quotes removed and inner line breaks kept."""
-    rows = _reader(spark, multi_line).option("header", False).csv(path)
+    rows = spark.read.options(**csv_options(multi_line)).option("header", False).csv(path)
     first = rows.first()
     if first is None:
         raise ValueError(f"no header line in {path!r}")
     return ["" if value is None else value for value in first]
 
 
-def _reader(spark: SparkSession, multi_line: bool):
-    return (
-        spark.read.option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("inferSchema", False)
-        .option("maxCharsPerColumn", -1)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
+def csv_options(multi_line: bool) -> dict[str, str | bool | int]:
+    """Fields stay text as written; only quotes are taken off."""
+    return {
+        "multiLine": multi_line,
+        "quote": '"',
+        "escape": '"',
+        "maxCharsPerColumn": -1,
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
 
 
 def read_fields(
@@ -151,7 +151,7 @@ def read_fields(
     names = headers if unique else [f"f{i}" for i in range(len(headers))]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     rows = (
-        _reader(spark, multi_line)
+        spark.read.options(**csv_options(multi_line))
         .option("header", True)
         .option("enforceSchema", not unique)
         .schema(schema)
