@@ -109,10 +109,11 @@ def version_counts(spark, d):
     return counts_single(table(spark, d, "documents"), first_semver(F.col("text")), min_percent=0.1)
 
 
-# The pages use these references only; & is decoded last so that nothing decodes twice.
-_DECODED = """replace(replace(replace(replace(replace(
+# The pages use these references only, &amp also without its semicolon; & is decoded
+# last so that nothing decodes twice.
+_DECODED = """regexp_replace(replace(replace(replace(replace(
     regexp_replace(html, '\\s+', ' ', 'g'), '""', '"'),
-    '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"""
+    '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;?', '&', 'g')"""
 
 
 @query(
@@ -395,11 +396,11 @@ def commented(spark, d):
 @query(
     "rows_without_commentary",
     "SELECT n_nationkey AS nation, n_name AS row_id FROM nation WHERE n_nationkey NOT IN "
-    "(SELECT c_nationkey FROM customer WHERE c_acctbal > 9900)",
+    "(SELECT c_nationkey FROM customer WHERE c_acctbal > 9990)",
 )
 def uncommented(spark, d):
     nations = table(spark, d, "nation")
-    rich = table(spark, d, "customer").filter("c_acctbal > 9900")
+    rich = table(spark, d, "customer").filter("c_acctbal > 9990")
     notes = nations.join(rich, F.col("n_nationkey") == F.col("c_nationkey"), "left_semi")
     rows = nations.select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("row_id"))
     return rows_without_commentary(rows, notes.select(F.col("n_name").alias("section_id")))
