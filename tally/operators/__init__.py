@@ -45,6 +45,11 @@ from tally.operators.ranks import (
     rank_distribution_family,
     rank_distribution_long,
 )
-from tally.operators.sets import combination_sizes, combinations_dropped, set_combinations
+from tally.operators.sets import (
+    combination_sizes,
+    combinations_dropped,
+    set_combinations,
+    totals_of_sizes,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -46,18 +46,24 @@ def heatmap_range(
     Lift runs from 0 to 2. Percentages run from the lowest to the highest value,
     widened to whole tens within 0..100. Given bounds win.
     """
-    is_lift = F.coalesce(F.first("cell_kind") == F.lit(LIFT), F.lit(False))
-    tens = F.lit(10.0)
-    data_low = F.greatest(F.lit(0.0), F.floor(F.min("value") / tens).cast("double") * tens)
-    data_high = F.least(F.lit(100.0), F.ceil(F.max("value") / tens).cast("double") * tens)
-    auto_low = F.when(is_lift, F.lit(0.0)).otherwise(F.coalesce(data_low, F.lit(0.0)))
-    auto_high = F.when(is_lift, F.lit(2.0)).otherwise(F.coalesce(data_high, F.lit(100.0)))
+    auto_low, auto_high = percent_scale(F.first("cell_kind"), F.min("value"), F.max("value"))
     return table.agg(
         (F.lit(float(low)) if low is not None else auto_low).alias("low"),
         (F.lit(float(high)) if high is not None else auto_high).alias("high"),
     )
 
 
+def percent_scale(cell_kind: Column, least: Column, most: Column) -> tuple[Column, Column]:
+    """Scale ends for cells of one kind: fixed for lift, whole tens around the data else."""
+    is_lift, tens = F.coalesce(cell_kind == F.lit(LIFT), F.lit(False)), F.lit(10.0)
+    low = F.greatest(F.lit(0.0), F.floor(least / tens).cast("double") * tens)
+    high = F.least(F.lit(100.0), F.ceil(most / tens).cast("double") * tens)
+    return (
+        F.when(is_lift, F.lit(0.0)).when(least.isNull(), F.lit(0.0)).otherwise(low),
+        F.when(is_lift, F.lit(2.0)).when(most.isNull(), F.lit(100.0)).otherwise(high),
+    )
+
+
 def likert_segments(
     bins: DataFrame,
     *,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,3 +80,22 @@ def combinations_dropped(
     return combination_sizes(df, choices).agg(
         shown.alias("shown"), (F.count(F.lit(1)) - shown).alias("dropped")
     )
+
+
+def totals_of_sizes(sizes: DataFrame, sets: Sequence[str]) -> DataFrame:
+    """Set totals ``(pos, label, count)`` added up from combination sizes."""
+    slots = [f"__n{i}" for i in range(len(sets))]
+    sums = [
+        F.coalesce(
+            F.sum(F.when(F.array_contains("members", F.lit(label)), F.col("size"))),
+            F.lit(0).cast("bigint"),
+        ).alias(slot)
+        for label, slot in zip(sets, slots)
+    ]
+    rows = [
+        F.struct(
+            F.lit(i + 1).alias("pos"), F.lit(label).alias("label"), F.col(slot).alias("count")
+        )
+        for i, (label, slot) in enumerate(zip(sets, slots))
+    ]
+    return sizes.agg(*sums).select(F.inline(F.array(*rows)))

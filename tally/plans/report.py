@@ -2,7 +2,8 @@
 
 A report names its metrics; it does not run them one by one. All single-choice
 counts share one scan, as do all multi-select counts, all rankings and all
-crosstabs. The result is one nested JSON document. A chart's data is what the
+crosstabs; a flow, a funnel, a set chart or a trait table takes one each, and
+trait tables over the same questions share it. The result is one nested JSON document. A chart's data is what the
 page displays, so the document is meant for metrics with a displayable number of
 labels; metric frames of any size are written with :func:`write_frames`.
 """
@@ -18,8 +19,7 @@ from pyspark.sql import functions as F
 from tally.functions import round_tenths
 from tally.operators.charts import (
     dropped_note,
-    heatmap_range,
-    likert_segments,
+    percent_scale,
     upset_combo_names,
     upset_connectors,
     upset_key,
@@ -32,7 +32,6 @@ from tally.operators.counts import (
     SingleCount,
     counts_multi_family,
     counts_single_family,
-    set_totals,
 )
 from tally.operators.crosstabs import LIFT, CrossTab, crosstab_family, crosstab_multi
 from tally.operators.flows import (
@@ -41,15 +40,16 @@ from tally.operators.flows import (
     Stages,
     flow_links,
     flow_nodes,
-    funnel_nodes,
     staged_funnel,
 )
 from tally.operators.ranks import RankCount, rank_distribution_family
 from tally.operators.sets import (
     MAX_COMBOS,
     MIN_SIZE,
+    combination_sizes,
     combinations_dropped,
     set_combinations,
+    totals_of_sizes,
 )
 
 # Document version and the default series.
@@ -178,14 +178,28 @@ def _axis(labels: Column) -> Column:
     return F.struct(F.lit("category").alias("type"), labels.alias("data"))
 
 
+def _option(**parts: Column) -> Column:
+    """The named parts as JSON text."""
+    return F.to_json(F.struct(*[part.alias(name) for name, part in parts.items()]))
+
+
 def _options(frame: DataFrame, **parts: Column) -> DataFrame:
-    """(key, option): the named parts as JSON text."""
-    option = F.to_json(F.struct(*[part.alias(name) for name, part in parts.items()]))
-    return frame.select("key", option.alias("option"))
+    """(key, option) of a frame whose rows are charts."""
+    return frame.select("key", _option(**parts).alias("option"))
+
+
+def _by_key(choices: Mapping[str, Column], otherwise: Column) -> Column:
+    """The expression of the row's chart. A filter per chart would be pushed below
+    the shared aggregation and give each chart a scan of its own."""
+    result = otherwise
+    for key, value in choices.items():
+        result = F.when(F.col("key") == key, value).otherwise(result)
+    return result
 
 
-def _bar_options(bins: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
-    """Bars bottom-up. A lollipop draws the same values as stems and dots."""
+def _bar_options(bins: DataFrame, charts: Mapping[str, Chart]) -> DataFrame:
+    """Bars bottom-up. A lollipop draws the same values as stems and dots; a
+    likert chart stacks its listed labels, 0.0 where a label has no bin."""
     grouped = bins.groupBy(F.col("name").alias("key")).agg(
         _ordered(["pos"], "label", "percent").alias("bins")
     )
@@ -193,74 +207,79 @@ def _bar_options(bins: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
     values = F.transform(upward, lambda b: round_tenths(b["percent"]))
     stem = F.struct(F.lit("bar").alias("type"), values.alias("data"))
     dots = F.struct(F.lit("pictorialBar").alias("type"), values.alias("data"))
-    lollipops = [key for key, kind in kinds.items() if kind == "lollipop"]
-    series = F.when(F.col("key").isin(lollipops), F.array(stem, dots)).otherwise(F.array(stem))
-    return _options(grouped, yAxis=_axis(_field(upward, "label")), series=series)
+    axis = _axis(_field(upward, "label"))
+    lollipop = _option(yAxis=axis, series=F.array(stem, dots))
+    special = {key: lollipop for key, chart in charts.items() if chart.kind == "lollipop"}
+    special |= {
+        key: _option(series=_likert_series(chart.metric))
+        for key, chart in charts.items()
+        if chart.kind == "likert"
+    }
+    option = _by_key(special, _option(yAxis=axis, series=F.array(stem)))
+    return grouped.select("key", option.alias("option"))
+
+
+def _likert_series(metric: Likert) -> Column:
+    groups = {"positive": metric.positive, "negative": metric.negative, "neutral": metric.neutral}
+
+    def segment(group: str, label: str) -> Column:
+        hit = F.filter("bins", lambda b: b["label"] == F.lit(label))
+        share = F.coalesce(round_tenths(F.get(hit, F.lit(0))["percent"]), F.lit(0.0))
+        return F.struct(
+            F.lit(label).alias("name"),
+            F.lit("bar").alias("type"),
+            F.lit("likert").alias("stack"),
+            F.lit(group).alias("group"),
+            F.array(share).alias("data"),
+        )
+
+    return F.array(*[segment(group, label) for group, labels in groups.items() for label in labels])
 
 
 def _table_options(table: DataFrame, charts: Mapping[str, Chart]) -> DataFrame:
     """Heatmap and line options from crosstab frames ``(name, x_pos, ..)``."""
-    grouped = table.groupBy("name").agg(
+    grouped = table.groupBy(F.col("name").alias("key")).agg(
         _ordered(["x_pos", "y_pos"], "x", "y", "value").alias("cells"),
         F.first("cell_kind").alias("cell_kind"),
         F.min("value").alias("least"),
         F.max("value").alias("most"),
     )
-    cells = F.col("cells")
-    by_y = F.filter(cells, lambda c: c["x_pos"] == 1)
-    by_x = F.filter(cells, lambda c: c["y_pos"] == 1)
-    framed = grouped.select(
-        "name",
+    xs = _field(F.filter("cells", lambda c: c["y_pos"] == 1), "x")
+    ys = _field(F.filter("cells", lambda c: c["x_pos"] == 1), "y")
+    points = F.transform(
         "cells",
-        "cell_kind",
-        "least",
-        "most",
-        _field(by_x, "x").alias("xs"),
-        _field(by_y, "y").alias("ys"),
+        lambda c: F.array(
+            (c["x_pos"] - 1).cast("double"), (c["y_pos"] - 1).cast("double"), round_tenths(c["value"])
+        ),
     )
-    frames = []
-    for key, chart in charts.items():
-        own = framed.filter(F.col("name") == key).withColumn("key", F.col("name"))
-        if chart.kind == "heatmap":
-            points = F.transform(
-                "cells",
-                lambda c: F.array(
-                    (c["x_pos"] - 1).cast("double"),
-                    (c["y_pos"] - 1).cast("double"),
-                    round_tenths(c["value"]),
-                ),
-            )
-            series = F.array(F.struct(F.lit("heatmap").alias("type"), points.alias("data")))
-            scale = F.struct(*_scale(chart))
-            frames.append(
-                _options(own, xAxis=_axis(F.col("xs")), yAxis=_axis(F.col("ys")), visualMap=scale, series=series)
-            )
-        else:
-            unit = F.when(F.col("cell_kind") == LIFT, F.lit("×")).otherwise(F.lit("%"))
-            lines = F.transform(
-                "ys",
-                lambda y, i: F.struct(
-                    y.alias("name"),
-                    F.lit("line").alias("type"),
-                    F.transform(
-                        F.filter("cells", lambda c: c["y_pos"] == i + 1),
-                        lambda c: round_tenths(c["value"]),
-                    ).alias("data"),
-                ),
-            )
-            frames.append(_options(own, xAxis=_axis(F.col("xs")), unit=unit, series=lines))
-    return _stack(frames)
+    heat = F.array(F.struct(F.lit("heatmap").alias("type"), points.alias("data")))
+    lines = F.transform(
+        ys,
+        lambda y, i: F.struct(
+            y.alias("name"),
+            F.lit("line").alias("type"),
+            F.transform(
+                F.filter("cells", lambda c: c["y_pos"] == i + 1), lambda c: round_tenths(c["value"])
+            ).alias("data"),
+        ),
+    )
+    unit = F.when(F.col("cell_kind") == LIFT, F.lit("×")).otherwise(F.lit("%"))
+    line = _option(xAxis=_axis(xs), unit=unit, series=lines)
+    heatmaps = {
+        key: _option(
+            xAxis=_axis(xs), yAxis=_axis(ys), visualMap=F.struct(*_scale(chart)), series=heat
+        )
+        for key, chart in charts.items()
+        if chart.kind == "heatmap"
+    }
+    return grouped.select("key", _by_key(heatmaps, line).alias("option"))
 
 
 def _scale(chart: Chart) -> list[Column]:
-    """Colour scale columns over (cell_kind, least, most); given bounds win."""
-    lift, tens = F.col("cell_kind") == LIFT, F.lit(10.0)
-    low = F.greatest(F.lit(0.0), F.floor(F.col("least") / tens).cast("double") * tens)
-    high = F.least(F.lit(100.0), F.ceil(F.col("most") / tens).cast("double") * tens)
-    low = F.when(lift, F.lit(0.0)).otherwise(low) if chart.low is None else F.lit(float(chart.low))
-    high = (
-        F.when(lift, F.lit(2.0)).otherwise(high) if chart.high is None else F.lit(float(chart.high))
-    )
+    """Colour scale columns over (cell_kind, least, most)."""
+    auto_low, auto_high = percent_scale(F.col("cell_kind"), F.col("least"), F.col("most"))
+    low = auto_low if chart.low is None else F.lit(float(chart.low))
+    high = auto_high if chart.high is None else F.lit(float(chart.high))
     return [low.alias("min"), high.alias("max")]
 
 
@@ -284,25 +303,6 @@ def _rank_options(distribution: DataFrame) -> DataFrame:
     return _options(segments, yAxis=_axis(labels), series=series)
 
 
-def _likert_options(df: DataFrame, key: str, metric: Likert) -> DataFrame:
-    bins = counts_single_family(df, {key: metric.bins})
-    segments = likert_segments(
-        bins, positive=metric.positive, negative=metric.negative, neutral=metric.neutral
-    )
-    row = segments.agg(_ordered(["seg_pos"], "group", "label", "percent").alias("segments"))
-    series = F.transform(
-        "segments",
-        lambda s: F.struct(
-            s["label"].alias("name"),
-            F.lit("bar").alias("type"),
-            F.lit("likert").alias("stack"),
-            s["group"].alias("group"),
-            F.array(s["percent"]).alias("data"),
-        ),
-    )
-    return _options(row.withColumn("key", F.lit(key)), series=series)
-
-
 def _sankey_options(df: DataFrame, key: str, metric: Funnel | Flow) -> DataFrame:
     if isinstance(metric, Funnel):
         links = staged_funnel(
@@ -312,7 +312,7 @@ def _sankey_options(df: DataFrame, key: str, metric: Funnel | Flow) -> DataFrame
             min_count=metric.min_count,
             as_percent=metric.as_percent,
         )
-        nodes = funnel_nodes(links, metric.stages)
+        nodes = None
     else:
         shared = {
             "id": metric.id,
@@ -324,10 +324,16 @@ def _sankey_options(df: DataFrame, key: str, metric: Funnel | Flow) -> DataFrame
         links = flow_links(df, metric.x, metric.y, as_percent=metric.as_percent, **shared)
         nodes = flow_nodes(df, metric.x, metric.y, **shared).select("node_pos", "node")
     row = links.agg(_ordered(["link_pos"], "source", "target", "value").alias("links"))
-    names = nodes.agg(_ordered(["node_pos"], "node").alias("nodes")).scalar()
+    if nodes is None:
+        # Declared nodes that a surviving link touches, read off the links themselves.
+        ends = F.concat(_field(F.col("links"), "source"), _field(F.col("links"), "target"))
+        declared = F.array(*[F.lit(node) for node in metric.stages.nodes])
+        names = F.array_intersect(declared, ends)
+    else:
+        names = nodes.agg(_field(_ordered(["node_pos"], "node"), "node").alias("nodes")).scalar()
     series = F.struct(
         F.lit("sankey").alias("type"),
-        F.transform("nodes", lambda n: F.struct(n["node"].alias("name"))).alias("data"),
+        F.transform("nodes", lambda n: F.struct(n.alias("name"))).alias("data"),
         F.transform(
             "links", lambda e: F.struct(e["source"].alias("source"), e["target"].alias("target"), e["value"].alias("value"))
         ).alias("links"),
@@ -340,7 +346,7 @@ def _upset_options(df: DataFrame, key: str, metric: Combinations) -> DataFrame:
     sets, codes = list(metric.choices), metric.codes
     limits = {"min_size": metric.min_size, "max_combos": metric.max_combos}
     combos = set_combinations(df, metric.choices, **limits)
-    totals = set_totals(df, metric.choices)
+    totals = totals_of_sizes(combination_sizes(df, metric.choices), sets)
     sizes = upset_combo_names(combos, codes).agg(_ordered(["col"], "name", "size").alias("v"))
     dots = upset_matrix(combos, sets).agg(_ordered(["col", "row"], "filled").alias("v"))
     spans = upset_connectors(combos, sets).agg(_ordered(["col"], "min_row", "max_row").alias("v"))
@@ -415,27 +421,31 @@ def chart_options(df: DataFrame, report: Report) -> DataFrame:
         return {k: c.metric for k, c in chosen.items()}
 
     frames = []
-    bars = {k: c.kind for k, c in of(SingleCount, MultiCount).items()}
-    if singles := metrics(of(SingleCount)):
-        frames.append(_bar_options(counts_single_family(df, singles), bars))
-    if multis := metrics(of(MultiCount)):
-        frames.append(_bar_options(counts_multi_family(df, multis), bars))
+    if singles := of(SingleCount, Likert):
+        counted = {
+            k: c.metric.bins if isinstance(c.metric, Likert) else c.metric
+            for k, c in singles.items()
+        }
+        frames.append(_bar_options(counts_single_family(df, counted), singles))
+    if multis := of(MultiCount):
+        frames.append(_bar_options(counts_multi_family(df, metrics(multis)), multis))
     if ranks := metrics(of(RankCount)):
         frames.append(_rank_options(rank_distribution_family(df, ranks)))
     if tables := of(CrossTab):
         frames.append(_table_options(crosstab_family(df, metrics(tables)), tables))
-    for key, chart in of(TraitTab).items():
-        tab = chart.metric
-        cells = crosstab_multi(
-            df,
-            tab.choices,
-            tab.single,
-            denominator=tab.denominator,
-            x_order=tab.x_order,
-            x_exclude=tab.x_exclude,
-        )
-        frames.append(_table_options(cells.withColumn("name", F.lit(key)), {key: chart}))
-    frames += [_likert_options(df, k, c.metric) for k, c in of(Likert).items()]
+    if tabs := of(TraitTab):
+        cells = [
+            crosstab_multi(
+                df,
+                c.metric.choices,
+                c.metric.single,
+                denominator=c.metric.denominator,
+                x_order=c.metric.x_order,
+                x_exclude=c.metric.x_exclude,
+            ).withColumn("name", F.lit(k))
+            for k, c in tabs.items()
+        ]
+        frames.append(_table_options(_stack(cells), tabs))
     frames += [_sankey_options(df, k, c.metric) for k, c in of(Funnel, Flow).items()]
     frames += [_upset_options(df, k, c.metric) for k, c in of(Combinations).items()]
     return _stack(frames)

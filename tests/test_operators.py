@@ -19,6 +19,7 @@ from tally.operators import (
     SingleCount,
     Stages,
     borda_scores,
+    combination_sizes,
     combinations_dropped,
     counts_multi,
     counts_multi_family,
@@ -39,6 +40,7 @@ from tally.operators import (
     set_combinations,
     set_totals,
     staged_funnel,
+    totals_of_sizes,
     with_position,
 )
 
@@ -522,6 +524,8 @@ def test_set_combinations(frame):
         (("A",), 2, 2), (("A", "B"), 1, 2),
     ]
     assert combos(set_combinations(df, choices)) == []
+    totals = totals_of_sizes(combination_sizes(df, choices), [*"ABC", "D"]).orderBy("pos").collect()
+    assert [(r.label, r["count"]) for r in totals] == [("A", 4), ("B", 3), ("C", 1), ("D", 0)]
     assert tuple(combinations_dropped(df, choices).first()) == (0, 4)
 
 
