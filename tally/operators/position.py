@@ -49,38 +49,40 @@ def with_position(
     # with them every branch below reads the same columns of ``df``, so its last
     # shuffle is computed once and reused instead of being pruned differently.
     rest = [c for c in df.columns if c not in (*by, *order)]
-    keyed = df.withColumn("__key", F.struct(*by, *order, *rest))
+    columns = [f"`{c}`" for c in df.columns]
+    key = ", ".join(f"`{c}`" for c in (*by, *order, *rest))
+    keyed = df.selectExpr(*columns, f"struct({key}) AS __key")
     ranged = (
         keyed.withColumn("__splitters", _splitters(keyed))
-        .withColumn("__range", _range_of(F.col("__key"), F.col("__splitters")))
-        .drop("__splitters")
+        .selectExpr("*", f"{_FAN} * size(filter(__splitters.coarse, s -> s < __key)) AS __block")
+        .selectExpr(
+            *columns,
+            "__block + size(filter("
+            f"slice(__splitters.fine, __block + 1, {_FAN}), s -> s < __key)) AS __range",
+        )
     )
-    group = [*by, "__range"]
-    sizes = ranged.groupBy(*group).agg(F.count(F.lit(1)).alias("__size"))
+    group = ", ".join([*(f"`{c}`" for c in by), "__range"])
+    partition = f"PARTITION BY {', '.join(f'`{c}`' for c in by)}" if by else ""
+    sequence = ", ".join(f"`{c}`" for c in order)
     # One row per group and range: at most _SAMPLE + 1 ranges plus the group count.
-    before = W.partitionBy(*by).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(
-        *group, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start")
+    sizes = ranged.groupBy(*by, "__range").agg(F.count(F.lit(1)).alias("__size"))
+    starts = sizes.selectExpr(
+        *(f"`{c}`" for c in by),
+        "__range",
+        f"coalesce(sum(__size) OVER ({partition} ORDER BY __range "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __start",
     )
-    inside = F.row_number().over(W.partitionBy(*group).orderBy(*order))
-    numbered = ranged.withColumn("__inside", inside).join(F.broadcast(starts), group)
-    columns = [c for c in df.columns if c != pos]
-    return numbered.select(*columns, (F.col("__inside") + F.col("__start")).alias(pos))
+    inside = f"row_number() OVER (PARTITION BY {group} ORDER BY {sequence}) AS __inside"
+    numbered = ranged.selectExpr("*", inside).join(F.broadcast(starts), [*by, "__range"])
+    kept = [f"`{c}`" for c in df.columns if c != pos]
+    return numbered.selectExpr(*kept, f"__inside + __start AS `{pos}`")
 
 
 def _splitters(keyed: DataFrame) -> Column:
     """Sorted bottom-k hash sample of the keys: repeatable, and at most _SAMPLE keys."""
     sample = keyed.select("__key").orderBy(F.xxhash64("__key"), "__key").limit(_SAMPLE)
-    fine = F.sort_array(F.collect_list("__key"))
-    coarse = F.filter("fine", lambda key, i: i % _FAN == _FAN - 1)
     return (
-        sample.agg(fine.alias("fine"))
-        .select(F.struct("fine", coarse.alias("coarse")).alias("splitters"))
+        sample.selectExpr("sort_array(collect_list(__key)) AS fine")
+        .selectExpr(f"struct(fine, filter(fine, (s, i) -> i % {_FAN} = {_FAN - 1}) AS coarse)")
         .scalar()
     )
-
-
-def _range_of(key: Column, splitters: Column) -> Column:
-    block = F.size(F.filter(splitters["coarse"], lambda s: s < key))
-    within = F.slice(splitters["fine"], block * _FAN + 1, F.lit(_FAN))
-    return block * _FAN + F.size(F.filter(within, lambda s: s < key))

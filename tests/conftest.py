@@ -13,7 +13,10 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tally-tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        # The tables are tiny: few tasks, and no time spent on compiling each plan.
+        .config("spark.default.parallelism", "2")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .getOrCreate()

@@ -82,7 +82,7 @@ def test_partition_count_does_not_change_results(spark, orders, lines):
     try:
         assert results(2) == results(7)
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
 
 
 def test_invariants(orders, lines):
