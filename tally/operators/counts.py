@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 from tally.functions import check_order, keep_values, ordinal_rank, percent_of
 from tally.operators.position import with_position
 from tally.operators.specs import (
-    METRIC,
     as_column,
     group_keys,
     is_yes,
+    kept_per_metric,
     name_column,
     named,
     per_metric,
     pick,
     pick_order,
+    stack,
 )
 
 # Default privacy thresholds and the label of the combined bin.
@@ -94,14 +95,10 @@ def value_counts(df: DataFrame, metrics: Sequence[SingleCount]) -> DataFrame:
         kept = keep_values(df, value, metrics[0].exclude)
         answers = kept.select(value.cast("string").alias("label"))
     else:
-        cells = []
-        for i, metric in enumerate(metrics):
-            value = as_column(metric.column).cast("string")
-            cell = F.struct(F.lit(i).alias(METRIC), value.alias("label"))
-            if metric.exclude:
-                cell = F.when(~value.isin(list(metric.exclude)), cell)
-            cells.append(cell)
-        answers = df.select(F.inline(F.array_compact(F.array(*cells))))
+        values = [[as_column(metric.column).cast("string")] for metric in metrics]
+        answers = stack(df, values, ["label"]).filter(
+            kept_per_metric("label", [metric.exclude for metric in metrics])
+        )
     keys = [*group_keys(len(metrics)), "label"]
     return answers.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 

@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 from tally.functions import check_order, keep_values, ordinal_rank, percent_of
 from tally.operators.position import with_position
 from tally.operators.specs import (
-    METRIC,
     as_column,
     group_keys,
     is_yes,
+    kept_per_metric,
     name_column,
     named,
     per_metric,
     pick,
     pick_order,
+    stack,
 )
 
 # How a cell's value is to be read.
@@ -59,15 +60,11 @@ def _pair_counts(df: DataFrame, specs: Sequence[CrossTab]) -> DataFrame:
         kept = keep_values(keep_values(df, x, spec.x_exclude), y, spec.y_exclude)
         pairs = kept.select(x.cast("string").alias("x"), y.cast("string").alias("y"))
     else:
-        cells = []
-        for i, spec in enumerate(specs):
-            x, y = as_column(spec.x).cast("string"), as_column(spec.y).cast("string")
-            cell = F.struct(F.lit(i).alias(METRIC), x.alias("x"), y.alias("y"))
-            for value, exclude in ((x, spec.x_exclude), (y, spec.y_exclude)):
-                if exclude:
-                    cell = F.when(~value.isin(list(exclude)), cell)
-            cells.append(cell)
-        pairs = df.select(F.inline(F.array_compact(F.array(*cells))))
+        values = [[as_column(v).cast("string") for v in (s.x, s.y)] for s in specs]
+        pairs = stack(df, values, ["x", "y"]).filter(
+            kept_per_metric("x", [s.x_exclude for s in specs])
+            & kept_per_metric("y", [s.y_exclude for s in specs])
+        )
     keys = [*group_keys(len(specs)), "x", "y"]
     return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 

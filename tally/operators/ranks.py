@@ -137,22 +137,16 @@ def rank_distribution_family(
     ``(name, item_pos, label, score, seg_pos, segment, count, percent)``.
     """
     names, specs = named(dict(metrics), "ranking metric")
-    keys = group_keys(len(specs))
     cells = []
     for q, metric in enumerate(specs):
-        head = [F.lit(q).alias(METRIC)] if keys else []
-        ranks = [as_column(c).cast("string") for c in metric.ranks]
-        cells.append(
-            F.struct(*head, F.lit(0).alias("position"), F.lit(None).cast("string").alias("choice"))
-        )
-        cells += [
-            F.when(
-                choice != "",
-                F.struct(*head, F.lit(p).alias("position"), choice.alias("choice")),
-            )
-            for p, choice in enumerate(ranks, start=1)
-        ]
-    placed = df.select(F.inline(F.array_compact(F.array(*cells))))
+        cells += [F.lit(q), F.lit(0), F.lit(None).cast("string")]
+        for p, choice in enumerate(metric.ranks, start=1):
+            cells += [F.lit(q), F.lit(p), as_column(choice).cast("string")]
+    rows = sum(1 + len(metric.ranks) for metric in specs)
+    stacked = df.select(F.stack(F.lit(rows), *cells).alias(METRIC, "position", "choice"))
+    placed = stacked.filter((F.col("position") == 0) | (F.col("choice") != "")).select(
+        *group_keys(len(specs)), "position", "choice"
+    )
     sizes = [len(m.ranks) for m in specs]
     counted = _band_counts(placed, specs, sizes)
     shared = [c for c in counted.columns if c == "ranked" or c.startswith("__b")]

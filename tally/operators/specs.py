@@ -21,6 +21,24 @@ def group_keys(count: int) -> list[str]:
     return [METRIC] if count > 1 else []
 
 
+def stack(df: DataFrame, rows: Sequence[Sequence[Column]], names: Sequence[str]) -> DataFrame:
+    """Several output rows per input row, led by the row's index as the metric.
+
+    ``stack`` stays in generated code, unlike building and filtering arrays.
+    """
+    cells = [part for i, row in enumerate(rows) for part in (F.lit(i), *row)]
+    return df.select(F.stack(F.lit(len(rows)), *cells).alias(METRIC, *names))
+
+
+def kept_per_metric(column: str, excludes: Sequence[Sequence[str] | None]) -> Column:
+    """Whether a stacked value is not excluded for its metric; null fails any list."""
+    keep = F.lit(True)
+    for i, exclude in enumerate(excludes):
+        if exclude:
+            keep = F.when(F.col(METRIC) == i, ~F.col(column).isin(list(exclude))).otherwise(keep)
+    return keep
+
+
 def pick(values: Sequence[Column]) -> Column:
     """The entry that belongs to the row's metric."""
     if len(values) == 1:

@@ -88,32 +88,30 @@ class Survey:
         ``(respondent_id, question_id, kind, choice, choice_pos, value)``. Multi
         and ranking answers keep only what was picked or placed.
         """
-        cells = []
+        rows = []
         for qid, binding in self._bindings.items():
             kind = binding["type"]
             if kind == "multiple":
-                cells += [
-                    F.when(flag, _cell(qid, kind, choice, i, F.lit("Yes")))
+                rows += [
+                    (qid, kind, choice, i, F.when(flag, F.lit("Yes")))
                     for i, (choice, flag) in enumerate(self.multi(qid).items(), start=1)
                 ]
             elif kind == "ranking":
-                cells += [
-                    F.when(value != "", _cell(qid, kind, None, p, value))
+                rows += [
+                    (qid, kind, None, p, F.nullif(value, F.lit("")))
                     for p, value in enumerate(self.ranking(qid), start=1)
                 ]
             else:
-                cells.append(_cell(qid, kind, None, None, self.col(qid)))
-        return self.frame.select(RESPONDENT, F.inline(F.array_compact(F.array(*cells))))
-
-
-def _cell(qid: str, kind: str, choice: str | None, pos: int | None, value: Column) -> Column:
-    return F.struct(
-        F.lit(qid).alias("question_id"),
-        F.lit(kind).alias("kind"),
-        F.lit(choice).cast("string").alias("choice"),
-        F.lit(pos).cast("int").alias("choice_pos"),
-        value.alias("value"),
-    )
+                rows.append((qid, kind, None, None, self.col(qid)))
+        cells = []
+        for qid, kind, choice, pos, value in rows:
+            choice_cell = F.lit(choice).cast("string")
+            cells += [F.lit(qid), F.lit(kind), choice_cell, F.lit(pos).cast("int"), value]
+        answers = F.stack(F.lit(len(rows)), *cells).alias(
+            "question_id", "kind", "choice", "choice_pos", "value"
+        )
+        # Only what was not picked or placed is null here: answers are cleaned.
+        return self.frame.select(RESPONDENT, answers).filter(F.col("value").isNotNull())
 
 
 def read_header(spark: SparkSession, path: str, *, multi_line: bool = True) -> list[str]:
