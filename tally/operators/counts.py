@@ -96,7 +96,7 @@ def value_counts(df: DataFrame, metrics: Sequence[SingleCount]) -> DataFrame:
         answers = kept.select(value.cast("string").alias("label"))
     else:
         values = [[as_column(metric.column).cast("string")] for metric in metrics]
-        answers = stack(df, values, ["label"]).filter(
+        answers = stack(df, list(enumerate(values)), ["label"]).filter(
             kept_per_metric("label", [metric.exclude for metric in metrics])
         )
     keys = [*group_keys(len(metrics)), "label"]

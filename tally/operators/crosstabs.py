@@ -23,6 +23,7 @@ from tally.operators.specs import (
     per_metric,
     pick,
     pick_order,
+    settled,
     stack,
 )
 
@@ -61,7 +62,7 @@ def _pair_counts(df: DataFrame, specs: Sequence[CrossTab]) -> DataFrame:
         pairs = kept.select(x.cast("string").alias("x"), y.cast("string").alias("y"))
     else:
         values = [[as_column(v).cast("string") for v in (s.x, s.y)] for s in specs]
-        pairs = stack(df, values, ["x", "y"]).filter(
+        pairs = stack(df, list(enumerate(values)), ["x", "y"]).filter(
             kept_per_metric("x", [s.x_exclude for s in specs])
             & kept_per_metric("y", [s.y_exclude for s in specs])
         )
@@ -82,7 +83,7 @@ def crosstab_family(
     """
     names, specs = named(dict(metrics), "crosstab")
     keys = group_keys(len(specs))
-    pairs = _pair_counts(df, specs)
+    pairs = settled(_pair_counts(df, specs), *keys, "x", "y")
 
     # Both label sets are numbered together: side 0 is x, side 1 is y.
     sides = F.array(
@@ -103,10 +104,13 @@ def crosstab_family(
     labels = with_position(
         ranked, ["__rank", "__most", "label"], by=[*keys, "side"], max_rows=max_labels
     )
-    xs = labels.filter(F.col("side") == 0).select(
+    # Tested together with the position, the side is not pushed below the numbering,
+    # which would number each side by a plan of its own.
+    side = F.when(F.col("pos") > 0, F.col("side"))
+    xs = labels.filter(side == 0).select(
         *keys, F.col("label").alias("x"), F.col("pos").alias("x_pos"), F.col("label_n").alias("x_n")
     )
-    ys = labels.filter(F.col("side") == 1).select(
+    ys = labels.filter(side == 1).select(
         *keys, F.col("label").alias("y"), F.col("pos").alias("y_pos"), F.col("label_n").alias("y_n")
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tally.functions import keep_values, map_values, percent_of, round_tenths
 from tally.operators.counts import MIN_COUNT
 from tally.operators.position import with_position
-from tally.operators.specs import as_column
+from tally.operators.specs import as_column, settled
 
 
 @dataclass(frozen=True)
@@ -192,7 +192,7 @@ def _surviving(df: DataFrame, flow: Flow) -> DataFrame:
     runs on every pair, before the floor is applied. All branches read the same
     columns of the pairs and margins, so each is shuffled once.
     """
-    pairs = _flow_pairs(df, flow)
+    pairs = settled(_flow_pairs(df, flow), "x", "y")
     margins = _margins(pairs)
     per_label = margins.groupBy("label").agg(
         F.count(F.lit(1)).alias("sides"),

@@ -45,6 +45,9 @@ def with_position(
         checked = F.when(F.col(pos) > max_rows, over.cast("bigint")).otherwise(F.col(pos))
         return df.withColumn(pos, number).withColumn(pos, checked)
 
+    # Three branches read the rows. Shuffled once more, by their unique key, they
+    # are read as they are; otherwise each branch would redo what produced them.
+    df = df.repartition(*by, *order)
     # The key ends with the remaining columns. They never decide the order, but
     # with them every branch below reads the same columns of ``df``, so its last
     # shuffle is computed once and reused instead of being pruned differently.

@@ -12,13 +12,13 @@ from tally.functions import percent_of
 from tally.operators.counts import MIN_COUNT
 from tally.operators.position import with_position
 from tally.operators.specs import (
-    METRIC,
     as_column,
     group_keys,
     name_column,
     named,
     per_metric,
     pick,
+    stack,
 )
 
 # Fixed value: label of the share that was not placed in any shown band.
@@ -137,15 +137,15 @@ def rank_distribution_family(
     ``(name, item_pos, label, score, seg_pos, segment, count, percent)``.
     """
     names, specs = named(dict(metrics), "ranking metric")
-    cells = []
+    rows = []
     for q, metric in enumerate(specs):
-        cells += [F.lit(q), F.lit(0), F.lit(None).cast("string")]
+        rows.append((q, [F.lit(0), F.lit(None).cast("string")]))
         for p, choice in enumerate(metric.ranks, start=1):
-            cells += [F.lit(q), F.lit(p), as_column(choice).cast("string")]
-    rows = sum(1 + len(metric.ranks) for metric in specs)
-    stacked = df.select(F.stack(F.lit(rows), *cells).alias(METRIC, "position", "choice"))
-    placed = stacked.filter((F.col("position") == 0) | (F.col("choice") != "")).select(
-        *group_keys(len(specs)), "position", "choice"
+            rows.append((q, [F.lit(p), as_column(choice).cast("string")]))
+    placed = (
+        stack(df, rows, ["position", "choice"])
+        .filter((F.col("position") == 0) | (F.col("choice") != ""))
+        .select(*group_keys(len(specs)), "position", "choice")
     )
     sizes = [len(m.ranks) for m in specs]
     counted = _band_counts(placed, specs, sizes)

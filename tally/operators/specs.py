@@ -21,13 +21,18 @@ def group_keys(count: int) -> list[str]:
     return [METRIC] if count > 1 else []
 
 
-def stack(df: DataFrame, rows: Sequence[Sequence[Column]], names: Sequence[str]) -> DataFrame:
-    """Several output rows per input row, led by the row's index as the metric.
-
-    ``stack`` stays in generated code, unlike building and filtering arrays.
+def stack(
+    df: DataFrame, rows: Sequence[tuple[int, Sequence[Column]]], names: Sequence[str]
+) -> DataFrame:
+    """Several output rows per input row, each given as its metric and its values.
+
+    ``stack`` stays in generated code, unlike building and filtering arrays. Its
+    metric is never null; saying so keeps later joins from filtering below the
+    aggregation, which would give each reader a scan of its own.
     """
-    cells = [part for i, row in enumerate(rows) for part in (F.lit(i), *row)]
-    return df.select(F.stack(F.lit(len(rows)), *cells).alias(METRIC, *names))
+    cells = [part for metric, values in rows for part in (F.lit(metric), *values)]
+    stacked = df.select(F.stack(F.lit(len(rows)), *cells).alias(METRIC, *names))
+    return stacked.withColumn(METRIC, F.coalesce(METRIC, F.lit(0)))
 
 
 def kept_per_metric(column: str, excludes: Sequence[Sequence[str] | None]) -> Column:
@@ -39,6 +44,15 @@ def kept_per_metric(column: str, excludes: Sequence[Sequence[str] | None]) -> Co
     return keep
 
 
+def settled(frame: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle aggregated rows once more so that several readers share the result.
+
+    A reused shuffle holds the rows before the final aggregation, which every
+    reader would repeat. This one holds one row per key.
+    """
+    return frame.repartition(*keys)
+
+
 def pick(values: Sequence[Column]) -> Column:
     """The entry that belongs to the row's metric."""
     if len(values) == 1:

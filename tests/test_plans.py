@@ -5,16 +5,20 @@ from plans import executed_operators, nested_loops
 from pyspark.sql import functions as F
 
 from tally.operators import (
+    CrossTab,
     MultiCount,
+    RankCount,
     SingleCount,
     counts_multi_family,
     counts_single,
     counts_single_family,
     crosstab,
+    crosstab_family,
     crosstab_multi,
     flow_links,
     flow_nodes,
     rank_distribution,
+    rank_distribution_family,
     set_combinations,
     staged_funnel,
 )
@@ -47,6 +51,12 @@ def plans(orders, lines):
         ),
         "multi family": counts_multi_family(lines, {"m": MultiCount(flags()), "n": MultiCount(flags())}),
         "crosstab": crosstab(orders, *cross, normalize="x"),
+        "crosstab family": crosstab_family(
+            orders, {"a": CrossTab(*cross), "b": CrossTab(*cross, normalize="y")}
+        ),
+        "rank family": rank_distribution_family(
+            orders, {"a": RankCount(list(cross)), "b": RankCount(list(cross), [(1, 2)])}
+        ),
         "crosstab multi": crosstab_multi(lines, flags(), "l_linestatus", denominator="lift"),
         "ranks": rank_distribution(orders, list(cross)),
         "sets": set_combinations(lines, flags()),
