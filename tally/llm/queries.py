@@ -25,7 +25,62 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+from tally.llm.embeddings import near_vectors  # noqa: E402
 from tally.llm.minhash import Banding, near_duplicates  # noqa: E402
+from tally.llm.topk import top_k  # noqa: E402
+
+_SOUND_SQL = """embedding IS NOT NULL AND len(embedding) > 0 AND
+    len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"""
+
+_OP1_SQL = f"""
+WITH RECURSIVE sound AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND {_SOUND_SQL}
+),
+units AS (SELECT *, sqrt(list_inner_product(v, v)) AS norm FROM sound WHERE list_inner_product(v, v) > 0),
+links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM units a JOIN units b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+    WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.98
+),
+degrees AS (SELECT x, count(*) AS n FROM links GROUP BY 1),
+reach AS (
+    SELECT vec_id AS x, vec_id AS least FROM embeddings
+    UNION
+    SELECT l.y, r.least FROM reach r JOIN links l ON l.x = r.x
+),
+classes AS (SELECT x, min(least) AS component_id FROM reach GROUP BY 1)
+SELECT e.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN classes c ON c.x = e.vec_id LEFT JOIN degrees d ON d.x = e.vec_id
+"""
+
+
+@query("op1_embedding_near_dedup", _OP1_SQL)
+def embedding_near_dedup(spark, d):
+    return near_vectors(table(spark, d, "embeddings"), threshold=0.98)
+
+
+_OP8_SQL = f"""
+WITH whole AS (
+    SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(64 * x)) AS v
+    FROM embeddings WHERE {_SOUND_SQL}
+),
+scores AS (
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM whole a JOIN whole b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 20 = 0
+),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op8_exact_top_k", _OP8_SQL)
+def exact_top_k(spark, d):
+    return top_k(table(spark, d, "embeddings"), "vec_id % 20 = 0", k=20, scale=64.0)
+
 
 # Links are found between distinct shingle sets; a shingle that only one set has links nothing.
 _OP10_SQL = r"""
