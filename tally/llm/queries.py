@@ -27,6 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 from tally.llm.embeddings import near_vectors  # noqa: E402
 from tally.llm.minhash import Banding, near_duplicates  # noqa: E402
+from tally.llm.substrings import without_repeats  # noqa: E402
 from tally.llm.topk import top_k  # noqa: E402
 
 _SOUND_SQL = """embedding IS NOT NULL AND len(embedding) > 0 AND
@@ -119,3 +120,38 @@ FROM sets s LEFT JOIN classes c ON len(s.s) > 0 AND c.k = md5(array_to_string(s.
 def minhash_near_dedup(spark, d):
     """Three-word shingles linked at 85 %; one row per document."""
     return near_duplicates(table(spark, d, "documents"), Banding(size=3, percent=85))
+
+
+_OP7_SQL = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+windows AS (
+    SELECT r, list_transform(range(1, len(w) - 33), lambda p: md5(array_to_string(w[p : p + 34], ' '))) AS h
+    FROM words WHERE len(w) >= 35
+),
+starts AS (SELECT r, unnest(h) AS h, generate_subscripts(h, 1) AS i FROM windows),
+repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM starts) WHERE n > 1),
+places AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+covered AS (
+    SELECT p.r, p.i, p.word, coalesce(max(CASE WHEN s.i IS NOT NULL THEN 1 END)
+        OVER (PARTITION BY p.r ORDER BY p.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) AS gone
+    FROM places p LEFT JOIN repeated s ON s.r = p.r AND s.i = p.i
+),
+kept AS (
+    SELECT r, CAST(sum(gone) AS BIGINT) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept
+    FROM covered GROUP BY 1
+)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k USING (r)
+"""
+
+
+@query("op7_substring_dedup", _OP7_SQL)
+def substring_dedup(spark, d):
+    found = without_repeats(table(spark, d, "documents"), window=35)
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")
+    )
