@@ -26,7 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 from tally.llm.embeddings import near_vectors  # noqa: E402
+from tally.llm.lines import without_later_lines  # noqa: E402
 from tally.llm.minhash import Banding, near_duplicates  # noqa: E402
+from tally.llm.sharding import shards  # noqa: E402
 from tally.llm.substrings import without_repeats  # noqa: E402
 from tally.llm.topk import top_k  # noqa: E402
 
@@ -155,3 +157,45 @@ def substring_dedup(spark, d):
     return found.select(
         "doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@query("op2_sharding")
+def sharding(spark, d):
+    return shards(table(spark, d, "documents"), 40)
+
+
+# Filled lines in order; a run of two starts at each but the last of a text.
+_OP9_SQL = r"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+lines AS (SELECT r, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM texts),
+filled AS (
+    SELECT r, doc_id, line, i, row_number() OVER (PARTITION BY r ORDER BY i) AS p FROM lines
+    WHERE regexp_matches(line, '[^\s]')
+),
+runs AS (
+    SELECT a.r, a.doc_id, a.p, a.line AS x, b.line AS y FROM filled a JOIN filled b ON a.r = b.r AND b.p = a.p + 1
+),
+later AS (
+    SELECT r, p FROM (SELECT r, p, row_number() OVER (PARTITION BY x, y ORDER BY doc_id NULLS FIRST, p) AS nth FROM runs)
+    WHERE nth > 1
+),
+gone AS (SELECT r, p FROM later UNION SELECT r, p + 1 FROM later),
+marked AS (
+    SELECT l.r, l.i, l.line, g.p IS NOT NULL AS out
+    FROM lines l LEFT JOIN filled f ON f.r = l.r AND f.i = l.i LEFT JOIN gone g ON g.r = f.r AND g.p = f.p
+),
+kept AS (
+    SELECT r, count(*) AS n_lines, count(*) FILTER (out) AS n_removed,
+           string_agg(line, chr(10) ORDER BY i) FILTER (NOT out) AS kept_text
+    FROM marked GROUP BY 1
+)
+SELECT t.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed,
+       CASE WHEN t.text IS NOT NULL THEN coalesce(k.kept_text, '') END AS kept_text
+FROM texts t LEFT JOIN kept k USING (r)
+"""
+
+
+@query("op9_line_dedup", _OP9_SQL)
+def line_dedup(spark, d):
+    """Runs of two lines and more, fingerprints of single lines."""
+    return without_later_lines(table(spark, d, "documents"), gram=1, window=2)
