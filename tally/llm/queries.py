@@ -25,6 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+from tally.llm import language, quality  # noqa: E402
 from tally.llm.embeddings import near_vectors  # noqa: E402
 from tally.llm.lines import without_later_lines  # noqa: E402
 from tally.llm.minhash import Banding, near_duplicates  # noqa: E402
@@ -199,3 +200,25 @@ FROM texts t LEFT JOIN kept k USING (r)
 def line_dedup(spark, d):
     """Runs of two lines and more, fingerprints of single lines."""
     return without_later_lines(table(spark, d, "documents"), gram=1, window=2)
+
+
+def held_out(parts: int, part: int):
+    """True for the documents whose hashed id falls into the part kept from training."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(False))
+
+
+@query("op5_language_id")
+def language_id(spark, d):
+    docs = table(spark, d, "documents")
+    model = language.fit(docs, ~held_out(3, 1))
+    return language.predicted(docs, model).select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_quality_classifier")
+def quality_classifier(spark, d):
+    docs = table(spark, d, "documents")
+    model = quality.fit(docs, table(spark, d, "labels"), ~held_out(4, 2))
+    return quality.scored(docs, model).select(
+        "doc_id", held_out(4, 2).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
