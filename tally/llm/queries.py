@@ -29,6 +29,8 @@ from tally.llm import language, quality  # noqa: E402
 from tally.llm.embeddings import near_vectors  # noqa: E402
 from tally.llm.lines import without_later_lines  # noqa: E402
 from tally.llm.minhash import Banding, near_duplicates  # noqa: E402
+from tally.llm.packing import Sizes, best_fit  # noqa: E402
+from tally.llm.pieces import Vocabulary, decoded, encoded  # noqa: E402
 from tally.llm.sharding import shards  # noqa: E402
 from tally.llm.substrings import without_repeats  # noqa: E402
 from tally.llm.topk import top_k  # noqa: E402
@@ -222,3 +224,22 @@ def quality_classifier(spark, d):
         "doc_id", held_out(4, 2).alias("held_out"), "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
     )
+
+
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op3_sentencepiece")
+def sentencepiece(spark, d, model: str = PIECES):
+    """Ids of every text, and a checksum of the text that they decode to."""
+    vocabulary = Vocabulary.load(model)
+    restored = decoded(encoded(table(spark, d, "documents"), vocabulary), vocabulary)
+    return restored.select(
+        "doc_id", F.when(F.col("ids").isNotNull(), F.size("ids")).cast("bigint").alias("n_tokens"), "ids",
+        F.crc32("text").alias("decoded_crc32"),
+    )
+
+
+@query("op4_best_fit_packing")
+def best_fit_packing(spark, d):
+    return best_fit(table(spark, d, "documents"), Sizes())
