@@ -18,6 +18,12 @@ def schema_of(ddl: str) -> StructType:
     return _parse_datatype_string(ddl)
 
 
+def carried(batch: pa.RecordBatch, columns: list[str], rows: slice | None = None) -> dict[str, pa.Array]:
+    """Columns of a batch, or of a part of its rows, for ``Emitter.add``."""
+    part = batch if rows is None else batch.slice(rows.start, rows.stop - rows.start)
+    return {c: part.column(c) for c in columns}
+
+
 class Emitter:
     """Collects columns of output and hands them on as record batches of a useful size."""
 
@@ -40,6 +46,9 @@ class Emitter:
             arrays = []
             for field in self._schema:
                 values = [p[field.name] for p in self._parts]
+                if all(isinstance(v, pa.Array) for v in values):
+                    arrays.append(pa.concat_arrays(values).cast(field.type))
+                    continue
                 if all(isinstance(v, np.ndarray) for v in values):
                     values = np.concatenate(values)
                 else:

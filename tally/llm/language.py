@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.groups import Emitter, map_batches
+from tally.llm.groups import Emitter, carried, map_batches
 from tally.llm.storage import stored
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -169,13 +169,14 @@ class Model:
 
 
 def fit(docs: DataFrame, learn: Column, settings: Settings = Settings()) -> Model | None:
-    """Learn from texts with a language where ``learn`` is true; None where there are none.
+    """Learn from texts with a language where ``learn`` (of doc_id) is true; None where there are none.
 
     ``docs(doc_id, text, lang)``. Each language gives about ``settings.rows`` texts, drawn by
     the hash of id and text; all are used where there are fewer. The driver gets at most
     ``settings.contexts`` contexts, the commonest ones, with the counts of their bytes.
     """
-    usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learn)
+    usable = docs.select("doc_id", "text", "lang")
+    usable = usable.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learn)
     share = usable.groupBy("lang").agg((settings.rows / F.count(F.lit(1))).alias("share"))
     uniform = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
     sample = usable.join(stored(share, "shares"), "lang").where(uniform < F.col("share")).select("lang", "text")
@@ -212,7 +213,7 @@ def predicted(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = ("d
                 chance = 1 / np.exp2(-behind).sum(axis=1)
                 langs = [model.langs[b] if n else UNKNOWN for b, n in zip(best, named)]
                 score = np.where(named, chance, 0.0)
-            out.add(**{c: batch.column(c)[rows].to_pylist() for c in columns}, lang_pred=langs, score=score)
+            out.add(**carried(batch, columns, rows), lang_pred=langs, score=score)
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in columns), "lang_pred string, score double"])
     return map_batches(docs.select(*dict.fromkeys([*columns, "text"])), work, schema)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -38,6 +38,11 @@ class Banding:
     tile_shingles: int = 1 << 21
 
 
+def _row_key() -> Column:
+    """Stands for a row's id and text (64 bits)."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), "text").alias("row_key")
+
+
 _SEEDS = mixed(np.arange(1, 8193, dtype=U64))
 _COLUMNS = 4096
 
@@ -55,21 +60,20 @@ def _minima(values: np.ndarray, count: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, banding: Banding) -> DataFrame:
-    """``doc_id, text_key, n_shingles, bytes, set_key, halves`` per row; no key for an empty set.
+    """``doc_id, row_key, n_shingles, set_key, halves`` per row; no key for an empty set.
 
-    ``set_key`` stands for the shingle set (64 bits), ``text_key`` for the text.
+    ``set_key`` stands for the shingle set (64 bits), ``row_key`` for the row's id and text.
     """
     count = 2 * banding.halves * banding.rows
 
     def work(batch, out: Emitter):
-        ids, keys = batch.column("doc_id"), batch.column("text_key")
+        ids, keys = batch.column("doc_id"), batch.column("row_key")
         for words in words_of(batch.column("text"), lower=True):
-            n, size, set_key, halves = [], [], [], []
+            n, set_key, halves = [], [], []
             for i in range(len(words.first) - 1):
                 word = words.hash[words.first[i] : words.first[i + 1]]
                 found = shingles(word, banding.size)
                 n.append(len(found))
-                size.append(int(words.first[i + 1] - words.first[i]))
                 if not len(found):
                     set_key.append(None)
                     halves.append([])
@@ -81,18 +85,17 @@ def signatures(docs: DataFrame, banding: Banding) -> DataFrame:
                 halves.append(signed(chained([*groups.T, np.arange(len(groups), dtype=U64)])))
             out.add(
                 doc_id=ids[words.rows].to_pylist(),
-                text_key=keys[words.rows].to_pylist(),
+                row_key=keys[words.rows].to_pylist(),
                 n_shingles=np.array(n, np.int64),
-                n_words=np.array(size, np.int64),
                 set_key=set_key,
                 halves=halves,
             )
 
-    columns = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("text_key"))
+    columns = docs.select(F.col("doc_id").cast("bigint"), "text", _row_key())
     return map_batches(
         columns,
         work,
-        "doc_id bigint, text_key bigint, n_shingles bigint, n_words bigint, set_key bigint, halves array<bigint>",
+        "doc_id bigint, row_key bigint, n_shingles bigint, set_key bigint, halves array<bigint>",
     )
 
 
@@ -122,7 +125,7 @@ def candidate_links(nodes: DataFrame, banding: Banding) -> DataFrame:
 
 
 def _cells(nodes: DataFrame, clusters: DataFrame, banding: Banding) -> DataFrame:
-    """``set_key, text_key, cell``: the comparison tasks that a set takes part in.
+    """``set_key, row_key, cell``: the comparison tasks that a set takes part in.
 
     Linked sets differ in size by less than the threshold, so they fall into the same or
     neighbouring classes of size. A class of a cluster is cut into tiles; a cell is a pair of
@@ -130,7 +133,7 @@ def _cells(nodes: DataFrame, clusters: DataFrame, banding: Banding) -> DataFrame
     """
     step = float(np.log(100 / banding.percent)) * 1.000001
     member = nodes.join(clusters, F.col("set_key") == F.col("node")).select(
-        "set_key", "text_key", "n_shingles", F.col("component").alias("cluster"),
+        "set_key", "row_key", "n_shingles", F.col("component").alias("cluster"),
         F.floor(F.log(F.col("n_shingles").cast("double")) / step).alias("grade"),
     )
     member = stored(member, "members")
@@ -162,7 +165,7 @@ def _cells(nodes: DataFrame, clusters: DataFrame, banding: Banding) -> DataFrame
     return (
         placed.withColumn("tile", F.expr("pmod(set_key, filter(near, c -> c.g = grade)[0].tiles)"))
         .withColumn("pair", F.explode(F.when(F.col("one_cell"), alone).otherwise(pairs)))
-        .select("set_key", "text_key", F.xxhash64("cluster", "pair").alias("cell"))
+        .select("set_key", "row_key", F.xxhash64("cluster", "pair").alias("cell"))
     )
 
 
@@ -223,7 +226,7 @@ def _linked(sets: list[np.ndarray], sizes: np.ndarray, percent: int) -> np.ndarr
 
 
 def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs(doc_id, text, ...)``.
+    """``doc_id, n_shingles, component_id, kept, row_key``, one row per row of ``docs(doc_id, text, ...)``.
 
     Texts are lower-cased in A-Z and cut into words at ASCII white space. A document's set
     holds its distinct shingles; a text with fewer words has one, its whole sequence. Null
@@ -231,22 +234,22 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     component. ``component_id`` is the smallest ``doc_id`` reachable; ``kept`` marks the
     documents whose id that is, so rows that repeat a kept ``doc_id`` with a linked text are
     all kept, and a null ``doc_id`` counts only where nothing else is reachable. Equal sets
-    are compared once. Other columns are ignored, whatever their names.
+    are compared once. ``row_key`` is the 64-bit hash of id and text. Other columns are ignored, whatever their names.
     """
     rows = stored(signatures(docs, banding), "signatures")
     nodes = stored(
         rows.where("set_key IS NOT NULL").groupBy("set_key").agg(
             F.min("doc_id").alias("least_id"),
-            F.min_by(F.struct("text_key", "n_shingles", "halves"), "text_key").alias("one"),
+            F.min_by(F.struct("row_key", "n_shingles", "halves"), "row_key").alias("one"),
         ).select("set_key", "least_id", "one.*"),
         "sets",
     )
     clusters = components(candidate_links(nodes, banding))
     cells = _cells(nodes, clusters, banding)
-    texts = docs.select("text", F.xxhash64("text").alias("text_key"))
+    texts = docs.select("text", _row_key())
     work = _link_cell(banding.percent, banding.size)
     links = map_groups(
-        cells.join(texts, "text_key").select("cell", "set_key", "text"), ["cell"], work, "a bigint, b bigint"
+        cells.join(texts, "row_key").select("cell", "set_key", "text"), ["cell"], work, "a bigint, b bigint"
     )
     found = components(links)
     least = (
@@ -259,7 +262,14 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     )
     filled = rows.where("set_key IS NOT NULL").join(stored(classes, "classes"), "set_key")
     empty = rows.where("set_key IS NULL").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id"]
-    return filled.select(columns).unionByName(empty.select(columns)).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    columns = ["doc_id", "n_shingles", "component_id", "row_key"]
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return filled.select(columns).unionByName(empty.select(columns)).select(
+        "doc_id", "n_shingles", "component_id", kept, "row_key"
     )
+
+
+def one_of_each(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    keys = near_duplicates(docs, banding).where("kept").select(F.col("row_key").alias("_row_key")).distinct()
+    return docs.join(stored(keys, "kept"), _row_key() == F.col("_row_key"), "left_semi")

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.groups import Emitter, map_batches, map_groups
+from tally.llm.groups import Emitter, carried, map_batches, map_groups
 from tally.llm.storage import stored
 from tally.llm.words import U64, Words, mixed, words_of
 
@@ -235,7 +235,7 @@ def scored(docs: DataFrame, model: Quality, carry: tuple[str, ...] = ("doc_id",)
     def work(batch, out: Emitter):
         for words in words_of(batch.column("text")):
             out.add(
-                **{c: batch.column(c)[words.rows].to_pylist() for c in columns}, score=model.score(words)
+                **carried(batch, columns, words.rows), score=model.score(words)
             )
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in columns), "score double"])

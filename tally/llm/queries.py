@@ -124,7 +124,7 @@ FROM sets s LEFT JOIN classes c ON len(s.s) > 0 AND c.k = md5(array_to_string(s.
 @query("op10_minhash_near_dedup", _OP10_SQL)
 def minhash_near_dedup(spark, d):
     """Three-word shingles linked at 85 %; one row per document."""
-    return near_duplicates(table(spark, d, "documents"), Banding(size=3, percent=85))
+    return near_duplicates(table(spark, d, "documents"), Banding(size=3, percent=85)).drop("row_key")
 
 
 _OP7_SQL = r"""

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.groups import Emitter, map_batches
+from tally.llm.groups import Emitter, carried, map_batches
 from tally.llm.storage import stored
 from tally.llm.words import U64, mixed, signed, words_of
 
@@ -143,7 +143,7 @@ def _assemble(window: int, columns: list[str], schema: str):
                 present = texts[row].is_valid
                 kept.append(remaining(words.data, words.start[a:b], words.end[a:b], ~gone).decode() if present else None)
             out.add(
-                **{c: batch.column(c)[words.rows].to_pylist() for c in columns},
+                **carried(batch, columns, words.rows),
                 n_words=np.array(n_words, np.int64), n_removed=np.array(n_removed, np.int64), kept_text=kept,
             )
 
