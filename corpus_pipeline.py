@@ -48,8 +48,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that occur again go wherever they stand; texts without any stay as they are."""
-    found = without_repeats(docs, window=REPEATED_WORDS, carry=("doc_id", "lang", "source", "n_chars"))
-    return _with_text(found)
+    columns = ("doc_id", "lang", "source", "n_chars")
+    return _with_text(without_repeats(docs, window=REPEATED_WORDS, carry=columns, rejoin=False))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,8 +9,6 @@ again into windows, read at their source coordinates and counted one by one.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -125,7 +123,7 @@ def remaining(data: np.ndarray, start: np.ndarray, end: np.ndarray, keep: np.nda
     return b" ".join([raw[a:b] for a, b in zip(start[keep].tolist(), end[keep].tolist())])
 
 
-def _assemble(window: int, columns: list[str], schema: str):
+def _assemble(window: int, columns: list[str], rejoin: bool):
     def work(batch, out: Emitter):
         ranges = batch.column("ranges")
         ends = pa.array(ranges.flatten())
@@ -140,8 +138,10 @@ def _assemble(window: int, columns: list[str], schema: str):
                 gone = covered(b - a, heads[of], tails[of], window)
                 n_words.append(b - a)
                 n_removed.append(int(gone.sum()))
-                present = texts[row].is_valid
-                kept.append(remaining(words.data, words.start[a:b], words.end[a:b], ~gone).decode() if present else None)
+                if not texts[row].is_valid or not (rejoin or n_removed[-1]):
+                    kept.append(texts[row].as_py())
+                else:
+                    kept.append(remaining(words.data, words.start[a:b], words.end[a:b], ~gone).decode())
             out.add(
                 **carried(batch, columns, words.rows),
                 n_words=np.array(n_words, np.int64), n_removed=np.array(n_removed, np.int64), kept_text=kept,
@@ -150,13 +150,16 @@ def _assemble(window: int, columns: list[str], schema: str):
     return work
 
 
-def without_repeats(docs: DataFrame, window: int = 50, edge: int = 8, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, window: int = 50, edge: int = 8, carry: tuple[str, ...] = ("doc_id",), rejoin: bool = True
+) -> DataFrame:
     """``*carry, n_words, n_removed, kept_text``: the texts without their repeated passages.
 
     A word goes if it lies in ``window`` consecutive words of a document whose sequence also
     starts at another place of any document, its own included; all occurrences go. Windows
     are judged on the input. Words are runs of bytes other than ASCII white space, compared
-    unchanged; kept words are joined by one space. A null text has no words and stays null;
+    unchanged; kept words are joined by one space, but without ``rejoin`` texts that lose
+    nothing stay as they are. A null text has no words and stays null;
     texts with fewer than ``window`` words keep them all. Every row counts as a document,
     also one that repeats another. Words and windows are compared by 64-bit hashes. ``docs``
     needs ``text`` and the columns to ``carry``; others are ignored.
@@ -186,4 +189,4 @@ def without_repeats(docs: DataFrame, window: int = 50, edge: int = 8, carry: tup
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in columns), "n_words bigint, n_removed bigint, kept_text string"])
     marked = docs.select(*columns, "text", F.xxhash64("text").alias("text_key")).join(ranges, "text_key", "left")
-    return map_batches(marked.select(*columns, "text", "ranges"), _assemble(window, columns, schema), schema)
+    return map_batches(marked.select(*columns, "text", "ranges"), _assemble(window, columns, rejoin), schema)
