@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,8 +24,8 @@ SEMVER_PATTERN = (
 # Every version contains this.
 _DOTTED = r"[0-9]\.[0-9]+\.[0-9]"
 
-# Above this many entries a literal map (scanned linearly) loses to a hash join.
-_MAX_LITERAL_MAP = 64
+# Literal maps are scanned, so a larger mapping is dealt into maps of about this size.
+_ENTRIES_PER_MAP = 8
 
 
 def yes_no(
@@ -71,15 +72,20 @@ def keep_values(df: DataFrame, column: Column, exclude: Sequence[str] | None) ->
 
 
 def map_values(value: Column, mapping: Mapping[str, str] | None) -> Column:
-    """Group values by a small mapping; unmapped values pass through."""
+    """Group values by a mapping of any size; unmapped values pass through.
+
+    The mapping becomes part of the plan: a value's checksum names the one short
+    map that may hold it. :func:`map_values_join` takes mappings kept in a table.
+    """
     if not mapping:
         return value
-    if len(mapping) > _MAX_LITERAL_MAP:
-        raise ValueError(
-            f"map_values takes up to {_MAX_LITERAL_MAP} entries; use map_values_join for more"
-        )
-    pairs = [F.lit(part) for entry in mapping.items() for part in entry]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), value), value)
+    count = -(-len(mapping) // _ENTRIES_PER_MAP)
+    dealt: list[list[Column]] = [[] for _ in range(count)]
+    for entry in mapping.items():
+        dealt[zlib.crc32(entry[0].encode()) % count] += [F.lit(part) for part in entry]
+    maps = F.array(*[F.create_map(*pairs).cast("map<string,string>") for pairs in dealt])
+    own = F.get(maps, (F.crc32(value) % count).cast("int"))
+    return F.coalesce(F.try_element_at(own, value), value)
 
 
 def map_values_join(

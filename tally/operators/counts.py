@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -30,6 +29,8 @@ MIN_COUNT = 5
 COMBINED_LABEL = "Other (combined)"
 
 _ACTIONS = ("combine", "drop")
+# A floor of this many percent leaves 10,001 bins at most.
+_FEW_PERCENT = 0.01
 
 
 @dataclass(frozen=True)
@@ -47,9 +48,9 @@ class SingleCount:
         check_order(self.order)
         _check_action(self.action)
 
-    def max_bins(self) -> int | None:
-        """Bins left after suppression, when a percent floor bounds them."""
-        return math.ceil(100 / self.min_percent) + 1 if self.min_percent else None
+    def few_bins(self) -> bool:
+        """Whether the percent floor leaves no more than some thousand bins."""
+        return bool(self.min_percent) and self.min_percent >= _FEW_PERCENT
 
 
 @dataclass(frozen=True)
@@ -128,15 +129,12 @@ def suppress_rare(
     )
 
 
-def counts_single_family(
-    df: DataFrame, metrics: Mapping[str, SingleCount], *, max_labels: int | None = None
-) -> DataFrame:
+def counts_single_family(df: DataFrame, metrics: Mapping[str, SingleCount]) -> DataFrame:
     """Count several single-choice columns in one pass.
 
     Returns ``(name, pos, label, count, percent)``, ``pos`` starting at 1 in each
     name. Bins are ordered by the metric's ordinal scale when it has one, then by
-    count descending, then by label. ``max_labels`` promises that no metric has
-    more bins than that; a percent floor proves such a bound by itself.
+    count descending, then by label.
     """
     names, specs = named(dict(metrics), "single-choice metric")
     keys = group_keys(len(specs))
@@ -150,12 +148,11 @@ def counts_single_family(
         ordinal_rank(F.col("label"), pick_order([m.order for m in specs])).alias("__rank"),
         (-F.col("n")).alias("__most"),
     )
-    bounds = [m.max_bins() or max_labels for m in specs]
     placed = with_position(
         bins,
         ["__rank", "__most", "label", "__combined"],
         by=keys,
-        max_rows=None if None in bounds else sum(bounds),
+        few=all(m.few_bins() for m in specs),
     )
     return placed.select(
         name_column(names).alias("name"),
@@ -175,7 +172,6 @@ def counts_single(
     min_percent: float | None = MIN_PERCENT,
     min_count: int | None = MIN_COUNT,
     action: str = "combine",
-    max_labels: int | None = None,
 ) -> DataFrame:
     """Bins ``(pos, label, count, percent)`` of one single-choice column.
 
@@ -184,7 +180,7 @@ def counts_single(
     dropped, while percentages keep the full base.
     """
     metric = SingleCount(column, order, exclude, min_percent, min_count, action)
-    return counts_single_family(df, {"": metric}, max_labels=max_labels).drop("name")
+    return counts_single_family(df, {"": metric}).drop("name")
 
 
 def counts_multi_family(df: DataFrame, metrics: Mapping[str, MultiCount]) -> DataFrame:
@@ -276,7 +272,7 @@ def counts_multi(
 def counts_multi_long(
     picks: DataFrame,
     choice: str | Column,
-    choices: Sequence[str],
+    choices: Sequence[str] | None,
     total: Column,
     *,
     min_percent: float | None = MIN_PERCENT,
@@ -286,17 +282,46 @@ def counts_multi_long(
     """Multi-select counts from a long table holding one row per pick.
 
     Long tables lose whoever picked nothing, so ``total`` (a literal or a scalar
-    subquery) gives the number of respondents.
+    subquery) gives the number of respondents. A pick outside the declared
+    ``choices`` fails the query; without declared choices (None) every choice
+    picked is counted, ties going by label. Null picks count for nothing.
     """
-    metric = MultiCount({c: c for c in choices}, min_percent, min_count, action)
     value = as_column(choice)
+    if choices is None:
+        return _open_choices(picks, value, total, SingleCount("", None, None, min_percent, min_count, action))
+    metric = MultiCount({c: c for c in choices}, min_percent, min_count, action)
     slots = [(c, f"__q0_{i}") for i, c in enumerate(choices)]
     counters = [F.count_if(value == F.lit(c)).alias(slot) for c, slot in slots]
-    row = picks.agg(*counters).withColumn("__total", total.cast("bigint"))
-    row = row.filter(F.col("__total") > 0)
+    row = picks.agg(*counters, _undeclared(value, choices).alias("__other"))
+    # The check sits in the base, which every bin reads.
+    base = _unless_undeclared(F.col("__other"), total.cast("bigint"))
+    row = row.withColumn("__total", base).filter(F.col("__total") > 0)
     return _multi_bins(row, [""], [metric], [slots]).drop("name")
 
 
+def _undeclared(value: Column, choices: Sequence[str]) -> Column:
+    """Aggregate: the smallest pick that no declared choice covers, or null."""
+    return F.min(F.when(~value.isin(list(choices)), value.cast("string")))
+
+
+def _unless_undeclared(other: Column, value: Column) -> Column:
+    message = F.concat(F.lit("picks name choices that are not declared, such as "), other)
+    return F.when(other.isNotNull(), F.raise_error(message).cast("bigint")).otherwise(value)
+
+
+def _open_choices(picks: DataFrame, value: Column, total: Column, metric: SingleCount) -> DataFrame:
+    """Bins of whatever was picked; the combined bin goes last."""
+    base = total.cast("bigint")
+    tallied = (
+        picks.filter(value.isNotNull())
+        .groupBy(value.cast("string").alias("label"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    bins = suppress_rare(tallied, base, [metric]).withColumn("__most", -F.col("n"))
+    placed = with_position(bins, ["__combined", "__most", "label"])
+    return placed.select("pos", "label", F.col("n").alias("count"), percent_of(F.col("n"), base).alias("percent"))
+
+
 def set_totals(df: DataFrame, choices: Mapping[str, str | Column]) -> DataFrame:
     """``(pos, label, count)`` per choice in choice order; unpicked choices show 0."""
     slots = [(choice, f"__n{i}") for i, choice in enumerate(choices)]
@@ -319,7 +344,7 @@ def flags_from_long(
     """One row per respondent with a boolean column per choice, and the column map.
 
     Repeated picks collapse, and partial aggregation keeps a respondent with many
-    rows from reaching one task as a block.
+    rows from reaching one task as a block. A pick outside ``choices`` fails the query.
     """
     value = as_column(choice)
     columns = {c: f"pick_{i}" for i, c in enumerate(choices)}
@@ -327,4 +352,10 @@ def flags_from_long(
         F.coalesce(F.bool_or(value == F.lit(c)), F.lit(False)).alias(name)
         for c, name in columns.items()
     ]
-    return df.groupBy(*ids).agg(*flags), columns
+    picked = df.groupBy(*ids).agg(*flags, _undeclared(value, choices).alias("__other"))
+    # Every flag carries the check, whichever of them is read.
+    checked = [
+        (_unless_undeclared(F.col("__other"), F.col(name).cast("bigint")) == 1).alias(name)
+        for name in columns.values()
+    ]
+    return picked.select(*ids, *checked), columns

@@ -70,16 +70,13 @@ def _pair_counts(df: DataFrame, specs: Sequence[CrossTab]) -> DataFrame:
     return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def crosstab_family(
-    df: DataFrame, metrics: Mapping[str, CrossTab], *, max_labels: int | None = None
-) -> DataFrame:
+def crosstab_family(df: DataFrame, metrics: Mapping[str, CrossTab], *, dense: bool = True) -> DataFrame:
     """Cross several pairs of single-choice columns in one pass over the rows.
 
     Returns ``(name, x_pos, x, y_pos, y, count, value, cell_kind)``. An order list
     moves listed labels to the front and never filters; remaining labels follow
-    by count descending, then label. ``max_labels`` promises that no side has
-    more labels than that, which makes numbering them cheaper (see
-    :func:`with_position`).
+    by count descending, then label. Without ``dense`` only pairs that occur have a
+    cell, for questions with many labels.
     """
     names, specs = named(dict(metrics), "crosstab")
     keys = group_keys(len(specs))
@@ -102,7 +99,7 @@ def crosstab_family(
         "__most", -F.col("label_n")
     )
     labels = with_position(
-        ranked, ["__rank", "__most", "label"], by=[*keys, "side"], max_rows=max_labels
+        ranked, ["__rank", "__most", "label"], by=[*keys, "side"]
     )
     # Tested together with the position, the side is not pushed below the numbering,
     # which would number each side by a plan of its own.
@@ -121,8 +118,11 @@ def crosstab_family(
         F.sum(F.when(F.col("side") == 0, F.col("label_n"))).alias("total"),
     )
     sized = xs.withColumn("__shape", per_metric(margins, shape, len(specs)))
+    if not dense:
+        placed = _joined(_joined(pairs, sized, [*keys, "x"]), ys, [*keys, "y"])
+        return _cells(placed, names, specs)
     y_run = F.sequence(F.lit(1).cast("bigint"), F.col("__shape.y_labels"))
-    dense = sized.withColumn("y_pos", F.explode(y_run)).join(ys, [*keys, "y_pos"])
+    filled = sized.withColumn("y_pos", F.explode(y_run)).join(ys, [*keys, "y_pos"])
     counted = pairs.select(
         *[F.col(k).alias(f"__p{k}") for k in keys],
         F.col("x").alias("__px"),
@@ -132,7 +132,20 @@ def crosstab_family(
     same_cell = F.col("x").eqNullSafe(F.col("__px")) & F.col("y").eqNullSafe(F.col("__py"))
     for k in keys:
         same_cell = same_cell & (F.col(k) == F.col(f"__p{k}"))
-    cells = dense.join(counted, same_cell, "left")
+    cells = filled.join(counted, same_cell, "left")
+    return _cells(cells, names, specs)
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join by keys of which null is one more value."""
+    other = right.select(*[F.col(c).alias(f"__r{c}" if c in keys else c) for c in right.columns])
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"__r{key}"))
+    return left.join(other, same).drop(*[f"__r{key}" for key in keys])
+
+
+def _cells(cells: DataFrame, names: Sequence[str], specs: Sequence[CrossTab]) -> DataFrame:
     n = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
     base = {"global": F.col("__shape.total"), "x": F.col("x_n"), "y": F.col("y_n")}
     return cells.select(
@@ -162,14 +175,15 @@ def crosstab(
     y_order: Sequence[str] | None = None,
     x_exclude: Sequence[str] | None = None,
     y_exclude: Sequence[str] | None = None,
-    max_labels: int | None = None,
+    dense: bool = True,
 ) -> DataFrame:
-    """Dense cells ``(x_pos, x, y_pos, y, count, value, cell_kind)``.
+    """Cells ``(x_pos, x, y_pos, y, count, value, cell_kind)``, one for every x and y label.
 
     ``value`` is a percentage of all kept rows, of the x row or of the y column.
+    Without ``dense`` pairs that do not occur are left out.
     """
     spec = CrossTab(x, y, normalize, x_order, y_order, x_exclude, y_exclude)
-    return crosstab_family(df, {"": spec}, max_labels=max_labels).drop("name")
+    return crosstab_family(df, {"": spec}, dense=dense).drop("name")
 
 
 def crosstab_multi(
@@ -180,7 +194,6 @@ def crosstab_multi(
     denominator: str,
     x_order: Sequence[str] | None = None,
     x_exclude: Sequence[str] | None = None,
-    max_labels: int | None = None,
 ) -> DataFrame:
     """Cross the traits of a multi-select question (y) with a single choice (x).
 
@@ -191,7 +204,7 @@ def crosstab_multi(
     if denominator not in CELL_KINDS:
         raise ValueError(f"denominator must be one of {tuple(CELL_KINDS)}, not {denominator!r}")
     cells = trait_counts(
-        df, choices, single, x_order=x_order, x_exclude=x_exclude, max_labels=max_labels
+        df, choices, single, x_order=x_order, x_exclude=x_exclude
     )
     both, in_x, in_trait = F.col("count"), F.col("__x_n"), F.col("__y_n")
     if denominator == "rate":
@@ -220,7 +233,6 @@ def trait_counts(
     *,
     x_order: Sequence[str] | None = None,
     x_exclude: Sequence[str] | None = None,
-    max_labels: int | None = None,
 ) -> DataFrame:
     """Counts behind :func:`crosstab_multi`: one scan, one conditional count per trait."""
     value = as_column(single)
@@ -241,7 +253,7 @@ def trait_counts(
         "__most", -F.col("__x_n")
     )
     placed = with_position(
-        ranked, ["__rank", "__most", "x"], pos="x_pos", max_rows=max_labels
+        ranked, ["__rank", "__most", "x"], pos="x_pos"
     )
     rows = [
         F.struct(

@@ -242,18 +242,18 @@ def flow_links(
     exclude: Sequence[str] | None = None,
     min_count: int = MIN_COUNT,
     as_percent: bool = False,
-    max_labels: int | None = None,
 ) -> DataFrame:
     """Links ``(link_pos, source, target, count, value)`` between two questions.
 
     A row is left out when either raw value is null or excluded. Labels are then
     grouped by the maps. Links below ``min_count`` are dropped before percentages
     (share of included rows, to one decimal). Order is by first appearance, which
-    ``id`` defines. ``max_labels`` promises a bound on the labels of a side.
+    ``id`` defines: the row with the smallest id comes first, so it must sort as the
+    answers arrived, numbers as numbers.
     """
     flow = Flow(x, y, id, x_map, y_map, exclude, min_count, as_percent)
     placed = with_position(
-        _surviving(df, flow), ["x_first", "x", "y_first", "y"], pos="link_pos", max_rows=_squared(max_labels)
+        _surviving(df, flow), ["x_first", "x", "y_first", "y"], pos="link_pos"
     )
     share = round_tenths(percent_of(F.col("n"), F.col("total")))
     number = share if as_percent else F.col("n")
@@ -266,10 +266,6 @@ def flow_links(
     )
 
 
-def _squared(max_labels: int | None) -> int | None:
-    return None if max_labels is None else max_labels * max_labels
-
-
 def flow_nodes(
     df: DataFrame,
     x: str | Column,
@@ -280,7 +276,6 @@ def flow_nodes(
     y_map: Mapping[str, str] | None = None,
     exclude: Sequence[str] | None = None,
     min_count: int = MIN_COUNT,
-    max_labels: int | None = None,
 ) -> DataFrame:
     """``(node_pos, node, side)``: x labels, then y labels, by first appearance."""
     flow = Flow(x, y, id, x_map, y_map, exclude, min_count)
@@ -303,8 +298,7 @@ def flow_nodes(
         .groupBy("side_no", "node")
         .agg(F.min("seen").alias("seen"), *pinned)
     )
-    bound = None if max_labels is None else 2 * max_labels
-    placed = with_position(nodes, ["side_no", "seen", "node"], pos="node_pos", max_rows=bound)
+    placed = with_position(nodes, ["side_no", "seen", "node"], pos="node_pos")
     return placed.select(
         "node_pos",
         "node",

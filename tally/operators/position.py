@@ -1,8 +1,8 @@
 """Explicit output positions.
 
 Every ordered result carries a ``pos`` column so that its order survives
-shuffles and writes. Results with a proven row bound are numbered with one
-window. Anything else is numbered in parallel: rows are cut into ranges by
+shuffles and writes. Results that the metric itself keeps few are numbered with
+one window. Anything else is numbered in parallel: rows are cut into ranges by
 splitters taken from the data, numbered inside each range, and shifted by the
 number of rows in the ranges before it. No range is tied to one key, so a label
 set of any size spreads over the cluster.
@@ -10,18 +10,17 @@ set of any size spreads over the cluster.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# A result proven to hold at most this many rows is numbered by a single task.
-SINGLE_TASK_ROWS = 50_000
-# Splitters are chosen in two levels of _FAN each, so locating a row's range
-# takes 2 * _FAN comparisons and yields up to _FAN * _FAN + 1 ranges.
-_FAN = 32
-_SAMPLE = _FAN * _FAN
+# Ranges per shuffle partition, so that a range is a fraction of a task.
+_RANGES_PER_PARTITION = 4
+# Text is compared by this many characters in choosing ranges, never in numbering.
+_PREFIX = 32
 
 
 def with_position(
@@ -30,45 +29,45 @@ def with_position(
     *,
     by: Sequence[str] = (),
     pos: str = "pos",
-    max_rows: int | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Number rows from 1 (BIGINT) by ascending ``order`` columns, per group ``by``.
 
-    ``order`` must be a total order within a group. ``by`` is meant for a small,
-    known set of groups such as metric names; a group may be of any size.
-    ``max_rows`` is an upper bound the caller can prove for the whole frame; a
-    group that turns out larger fails the query instead of overloading a task.
+    ``order`` must be a total order within a group. ``few`` is for frames whose
+    size is bounded by the parameters of a metric (a percent floor, a top-k); it
+    numbers each group in one task.
     """
-    if max_rows is not None and max_rows <= SINGLE_TASK_ROWS:
+    if few:
         number = F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("bigint")
-        over = F.raise_error(F.lit(f"more than the promised {max_rows} labels"))
-        checked = F.when(F.col(pos) > max_rows, over.cast("bigint")).otherwise(F.col(pos))
-        return df.withColumn(pos, number).withColumn(pos, checked)
+        return df.withColumn(pos, number)
 
     # Three branches read the rows. Shuffled once more, by their unique key, they
     # are read as they are; otherwise each branch would redo what produced them.
     df = df.repartition(*by, *order)
-    # The key ends with the remaining columns. They never decide the order, but
-    # with them every branch below reads the same columns of ``df``, so its last
-    # shuffle is computed once and reused instead of being pruned differently.
-    rest = [c for c in df.columns if c not in (*by, *order)]
     columns = [f"`{c}`" for c in df.columns]
-    key = ", ".join(f"`{c}`" for c in (*by, *order, *rest))
-    keyed = df.selectExpr(*columns, f"struct({key}) AS __key")
+    kinds = dict(df.dtypes)
+    parts = _cut_key([*by, *order], kinds)
+    # Every branch reads all columns, or they would be pruned differently and each
+    # branch would shuffle for itself. The hash does it in eight bytes.
+    keyed = df.selectExpr(*columns, f"struct({', '.join(parts)}) AS __key", f"xxhash64({', '.join(columns)}) AS __hash")
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fan = max(2, math.isqrt(_RANGES_PER_PARTITION * partitions - 1) + 1)
     ranged = (
-        keyed.withColumn("__splitters", _splitters(keyed))
-        .selectExpr("*", f"{_FAN} * size(filter(__splitters.coarse, s -> s < __key)) AS __block")
+        keyed.withColumn("__splitters", _splitters(keyed, fan))
+        .selectExpr("*", f"{fan} * size(filter(__splitters.coarse, s -> s < __key)) AS __block")
         .selectExpr(
             *columns,
+            "__hash",
             "__block + size(filter("
-            f"slice(__splitters.fine, __block + 1, {_FAN}), s -> s < __key)) AS __range",
+            f"slice(__splitters.fine, __block + 1, {fan}), s -> s < __key)) AS __range",
         )
     )
     group = ", ".join([*(f"`{c}`" for c in by), "__range"])
     partition = f"PARTITION BY {', '.join(f'`{c}`' for c in by)}" if by else ""
     sequence = ", ".join(f"`{c}`" for c in order)
-    # One row per group and range: at most _SAMPLE + 1 ranges plus the group count.
-    sizes = ranged.groupBy(*by, "__range").agg(F.count(F.lit(1)).alias("__size"))
+    count = F.count_if(F.col("__hash") >= 0) + F.count_if(F.col("__hash") < 0)
+    # One row per group and range.
+    sizes = ranged.groupBy(*by, "__range").agg(count.alias("__size"))
     starts = sizes.selectExpr(
         *(f"`{c}`" for c in by),
         "__range",
@@ -76,16 +75,35 @@ def with_position(
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __start",
     )
     inside = f"row_number() OVER (PARTITION BY {group} ORDER BY {sequence}) AS __inside"
-    numbered = ranged.selectExpr("*", inside).join(F.broadcast(starts), [*by, "__range"])
+    numbered = ranged.selectExpr("*", inside).join(starts, [*by, "__range"])
     kept = [f"`{c}`" for c in df.columns if c != pos]
     return numbered.selectExpr(*kept, f"__inside + __start AS `{pos}`")
 
 
-def _splitters(keyed: DataFrame) -> Column:
-    """Sorted bottom-k hash sample of the keys: repeatable, and at most _SAMPLE keys."""
-    sample = keyed.select("__key").orderBy(F.xxhash64("__key"), "__key").limit(_SAMPLE)
+def _cut_key(columns: Sequence[str], kinds: dict[str, str]) -> list[str]:
+    """Short expressions in the order of the columns, good for cutting it into ranges.
+
+    Texts with one prefix compare as equal, and so does all that follows them; a
+    text that is its own prefix comes before those that go on.
+    """
+    parts: list[str] = []
+    longer: list[str] = []
+    for column in columns:
+        own = [f"`{column}`"]
+        if kinds[column] == "string":
+            goes_on = f"coalesce(length(`{column}`) > {_PREFIX}, false)"
+            own = [f"left(`{column}`, {_PREFIX})", goes_on]
+        parts += [f"IF({' OR '.join(longer)}, NULL, {part})" if longer else part for part in own]
+        if kinds[column] == "string":
+            longer.append(goes_on)
+    return parts
+
+
+def _splitters(keyed: DataFrame, fan: int) -> Column:
+    """Sorted bottom-k hash sample of the keys: repeatable, and at most ``fan`` squared keys."""
+    sample = keyed.select("__key", "__hash").orderBy("__hash", "__key").limit(fan * fan)
     return (
         sample.selectExpr("sort_array(collect_list(__key)) AS fine")
-        .selectExpr(f"struct(fine, filter(fine, (s, i) -> i % {_FAN} = {_FAN - 1}) AS coarse)")
+        .selectExpr(f"struct(fine, filter(fine, (s, i) -> i % {fan} = {fan - 1}) AS coarse)")
         .scalar()
     )

@@ -54,8 +54,9 @@ def band_index(position: Column, bands: Sequence[Band] | None, positions: int) -
 def _band_counts(placed: DataFrame, specs, sizes) -> DataFrame:
     """(metric, choice, base, ranked, one count per band) from single placements.
 
-    Position 0 marks a respondent rather than a placement. ``base`` counts those,
-    so later filters test an aggregate and cannot slip below the shuffle.
+    A row with ``asked`` stands for a respondent rather than a placement. ``base``
+    counts those, so later filters test an aggregate and cannot slip below the
+    shuffle. A placement outside all bands, at whatever position, is ranked only.
     """
     keys = group_keys(len(specs))
     labels = [band_labels(m.bands, n) for m, n in zip(specs, sizes)]
@@ -65,14 +66,14 @@ def _band_counts(placed: DataFrame, specs, sizes) -> DataFrame:
     )
     per_band = [F.count_if(F.col("__band") == i).alias(f"__b{i}") for i in range(width)]
     return banded.groupBy(*keys, "choice").agg(
-        F.count_if(F.col("position") == 0).alias("base"),
-        F.count_if(F.col("position") > 0).alias("ranked"),
+        F.count_if("asked").alias("base"),
+        F.count_if(~F.col("asked")).alias("ranked"),
         *per_band,
     )
 
 
 def _segments(
-    counted: DataFrame, total: Column, names, specs, sizes, max_labels: int | None
+    counted: DataFrame, total: Column, names, specs, sizes
 ) -> DataFrame:
     """Score, place and unfold the counted choices into one row per segment."""
     keys = group_keys(len(specs))
@@ -90,9 +91,7 @@ def _segments(
         lambda acc, p: acc + p,
     )
     scored = items.withColumn("score", points).withColumn("__most", -F.col("score"))
-    placed = with_position(
-        scored, ["__most", "choice"], by=keys, pos="item_pos", max_rows=max_labels
-    )
+    placed = with_position(scored, ["__most", "choice"], by=keys, pos="item_pos")
     shares = F.transform("bands", lambda n: percent_of(n, F.col("total")))
     rest = F.lit(100.0) - F.aggregate("shares", F.lit(0.0), lambda acc, p: acc + p)
     rest = F.when((rest < 0) & (rest > -1e-9), F.lit(0.0)).otherwise(rest)
@@ -127,9 +126,7 @@ def _segments(
     )
 
 
-def rank_distribution_family(
-    df: DataFrame, metrics: Mapping[str, RankCount], *, max_labels: int | None = None
-) -> DataFrame:
+def rank_distribution_family(df: DataFrame, metrics: Mapping[str, RankCount]) -> DataFrame:
     """Distribute several ranking questions in one pass.
 
     Every respondent also emits one empty placement per question; those rows
@@ -139,19 +136,19 @@ def rank_distribution_family(
     names, specs = named(dict(metrics), "ranking metric")
     rows = []
     for q, metric in enumerate(specs):
-        rows.append((q, [F.lit(0), F.lit(None).cast("string")]))
+        rows.append((q, [F.lit(True), F.lit(None).cast("int"), F.lit(None).cast("string")]))
         for p, choice in enumerate(metric.ranks, start=1):
-            rows.append((q, [F.lit(p), as_column(choice).cast("string")]))
+            rows.append((q, [F.lit(False), F.lit(p), as_column(choice).cast("string")]))
     placed = (
-        stack(df, rows, ["position", "choice"])
-        .filter((F.col("position") == 0) | (F.col("choice") != ""))
-        .select(*group_keys(len(specs)), "position", "choice")
+        stack(df, rows, ["asked", "position", "choice"])
+        .filter(F.col("asked") | (F.col("choice") != ""))
+        .select(*group_keys(len(specs)), "asked", "position", "choice")
     )
     sizes = [len(m.ranks) for m in specs]
     counted = _band_counts(placed, specs, sizes)
     shared = [c for c in counted.columns if c == "ranked" or c.startswith("__b")]
     total = per_metric(counted, F.sum("base"), len(specs), pin=shared)
-    return _segments(counted, total, names, specs, sizes, max_labels)
+    return _segments(counted, total, names, specs, sizes)
 
 
 def rank_distribution(
@@ -160,7 +157,6 @@ def rank_distribution(
     *,
     bands: Sequence[Band] | None = None,
     min_count: int = MIN_COUNT,
-    max_labels: int | None = None,
 ) -> DataFrame:
     """Share of respondents placing each choice in each rank position or band.
 
@@ -170,7 +166,7 @@ def rank_distribution(
     with N bands a placement in the i-th is worth ``N - i + 1``.
     """
     metrics = {"": RankCount(ranks, bands, min_count)}
-    return rank_distribution_family(df, metrics, max_labels=max_labels).drop("name")
+    return rank_distribution_family(df, metrics).drop("name")
 
 
 def rank_distribution_long(
@@ -182,20 +178,21 @@ def rank_distribution_long(
     *,
     bands: Sequence[Band] | None = None,
     min_count: int = MIN_COUNT,
-    max_labels: int | None = None,
 ) -> DataFrame:
     """:func:`rank_distribution` from a long table with one row per placement.
 
     ``total`` is the number of respondents, which the long table cannot tell.
+    Placements at other positions than 1 to ``positions``, null among them, count
+    towards the floor and are part of what is unranked.
     """
     label = as_column(choice).cast("string")
     placed = placements.filter(label != "").select(
-        as_column(position).cast("int").alias("position"), label.alias("choice")
+        F.lit(False).alias("asked"), as_column(position).cast("int").alias("position"), label.alias("choice")
     )
     metric = RankCount([], bands, min_count)
     counted = _band_counts(placed, [metric], [positions])
     base = total.cast("bigint")
-    return _segments(counted, base, [""], [metric], [positions], max_labels).drop("name")
+    return _segments(counted, base, [""], [metric], [positions]).drop("name")
 
 
 def borda_scores(distribution: DataFrame) -> DataFrame:

@@ -14,30 +14,31 @@ from tally.operators.specs import is_yes
 MIN_SIZE = 5
 MAX_COMBOS = 20
 
-# A membership of up to this many sets packs into one BIGINT group key.
-_MASK_SETS = 62
+# Sets whose membership one BIGINT of the group key holds.
+_SETS_PER_MASK = 62
 
 
 def combination_sizes(df: DataFrame, choices: Mapping[str, str | Column]) -> DataFrame:
     """``(members, size)`` of every non-empty exact membership, members in set order."""
     flags = [F.coalesce(is_yes(df, column), F.lit(False)) for column in choices.values()]
     labels = [F.lit(choice) for choice in choices]
-    if len(labels) > _MASK_SETS:
-        members = F.array_compact(F.array(*[F.when(f, name) for f, name in zip(flags, labels)]))
-        picked = df.select(members.alias("members")).filter(F.size("members") > 0)
-        return picked.groupBy("members").agg(F.count(F.lit(1)).alias("size"))
-    mask = F.lit(0).cast("bigint")
-    for i, flag in enumerate(flags):
-        mask = mask + F.when(flag, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+    masks: list[Column] = []
+    for low in range(0, len(flags), _SETS_PER_MASK):
+        mask = F.lit(0).cast("bigint")
+        for i, flag in enumerate(flags[low : low + _SETS_PER_MASK]):
+            mask = mask + F.when(flag, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+        masks.append(mask.alias(f"mask{len(masks)}"))
+    keys = [f"mask{i}" for i in range(len(masks))]
     sizes = (
-        df.select(mask.alias("mask"))
-        .filter(F.col("mask") > 0)
-        .groupBy("mask")
+        df.select(*masks)
+        .filter(" OR ".join(f"{key} > 0" for key in keys))
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("size"))
     )
-    bits = [
-        F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, name) for i, name in enumerate(labels)
-    ]
+    bits = []
+    for i, name in enumerate(labels):
+        mask, place = divmod(i, _SETS_PER_MASK)
+        bits.append(F.when(F.col(keys[mask]).bitwiseAND(F.lit(1 << place)) != 0, name))
     return sizes.select(F.array_compact(F.array(*bits)).alias("members"), "size")
 
 
@@ -62,7 +63,7 @@ def set_combinations(
         .orderBy("__most", "members")
         .limit(max_combos)
     )
-    placed = with_position(top, ["__most", "members"], max_rows=max_combos)
+    placed = with_position(top, ["__most", "members"], few=True)
     return placed.select(
         "pos", "members", "size", dropped.alias("dropped")
     )

@@ -51,10 +51,8 @@ from tally.operators.sets import (
     set_combinations,
     totals_of_sizes,
 )
+from tally.sources.reports import DEFAULT_SERIES, SCHEMA_VERSION
 
-# Document version and the default series.
-SCHEMA_VERSION = 1
-DEFAULT_SERIES = "community"
 
 
 @dataclass(frozen=True)
@@ -397,7 +395,7 @@ def _upset_options(df: DataFrame, key: str, metric: Combinations) -> DataFrame:
         connectors=connectors,
         dots=matrix,
         totals=left,
-        subtext=dropped_note(F.col("dropped")),
+        subtext=dropped_note(F.col("dropped"), min_size=metric.min_size),
     )
 
 

@@ -1,5 +1,6 @@
 from tally.sources.catalog import (
     bind_questions,
+    catalog_faults,
     choice_mismatches,
     header_forms,
     header_frame,

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tally.functions import bracket_base, bracket_suffix, normalize_text, rank_position
@@ -23,26 +24,49 @@ HEADER_SCHEMA = "pos int, raw string"
 def question_catalog(spark: SparkSession, questions: Sequence[Mapping[str, Any]]) -> DataFrame:
     """Catalog frame ``(question_id, position, prompt, type, choices, norm_prompt)``.
 
-    Rejects questions without an id, ids that are no identifiers, and repeated ids.
-    Choices that a YAML reader turned into booleans read Yes and No again.
+    Choices that a YAML reader turned into booleans read Yes and No again. Entries
+    that break a rule of :func:`catalog_faults` are refused, all of them at once.
     """
-    rows, seen = [], set()
-    for position, question in enumerate(questions):
-        if "id" not in question:
-            raise ValueError(f"question {question.get('prompt', '?')!r} is missing 'id'")
-        qid = question["id"]
-        if not str(qid).isidentifier():
-            raise ValueError(f"question id {qid!r} is not a valid Python identifier")
-        if qid in seen:
-            raise ValueError(f"duplicate question id {qid!r}")
-        if question["type"] not in QUESTION_TYPES:
-            raise ValueError(f"question {qid!r} has unknown type {question['type']!r}")
-        seen.add(qid)
-        choices = question.get("choices")
-        texts = None if choices is None else [_choice_text(c) for c in choices]
-        rows.append((qid, position, question["prompt"], question["type"], texts))
-    frame = spark.createDataFrame(rows, CATALOG_SCHEMA)
-    return frame.withColumn("norm_prompt", normalize_text(F.col("prompt")))
+    rows = [
+        (
+            None if q.get("id") is None else str(q["id"]),
+            place,
+            q.get("prompt"),
+            q.get("type"),
+            None if q.get("choices") is None else [_choice_text(c) for c in q["choices"]],
+        )
+        for place, q in enumerate(questions)
+    ]
+    catalog = spark.createDataFrame(rows, CATALOG_SCHEMA)
+    # As many rows as the questionnaire has faulty entries.
+    faults = catalog_faults(catalog).orderBy("position", "fault").collect()
+    if faults:
+        lines = [f"entry {f.position} ({f.question_id or 'no id'}): {f.fault}" for f in faults]
+        raise ValueError("the questionnaire cannot be used:\n" + "\n".join(lines))
+    return with_normal_prompts(catalog)
+
+
+def with_normal_prompts(catalog: DataFrame) -> DataFrame:
+    return catalog.withColumn("norm_prompt", normalize_text(F.col("prompt")))
+
+
+def catalog_faults(catalog: DataFrame) -> DataFrame:
+    """``(position, question_id, fault)``: entries of a catalog that break a rule.
+
+    Every question has an id that can serve as an attribute name, no two share
+    one, and its type is one of ``QUESTION_TYPES``.
+    """
+    name = F.col("question_id")
+    checks = {
+        "it has no id": name.isNull(),
+        "its id is no attribute name": ~name.rlike(r"^[\p{L}_][\p{L}\p{Nd}_]*$"),
+        "its id is taken by an earlier entry": F.col("uses") > 1,
+        "its type is unknown": ~F.coalesce(F.col("type").isin(*QUESTION_TYPES), F.lit(False)),
+    }
+    by_id = F.row_number().over(W.partitionBy("question_id").orderBy("position"))
+    numbered = catalog.withColumn("uses", F.when(name.isNotNull(), by_id))
+    found = F.array_compact(F.array(*[F.when(broken, F.lit(text)) for text, broken in checks.items()]))
+    return numbered.select("position", "question_id", F.explode(found).alias("fault"))
 
 
 def _choice_text(choice: Any) -> str:
@@ -129,55 +153,47 @@ def choice_mismatches(catalog: DataFrame, matched: DataFrame) -> DataFrame:
     return extra.unionByName(absent).select("question_id", "side", "choice")
 
 
+def binding_faults(catalog: DataFrame, matched: DataFrame) -> DataFrame:
+    """``(question_id, fault, detail)``: what keeps questions from being bound to columns."""
+    lonely = missing_questions(catalog, matched).select(
+        "question_id", F.lit("no column fits its prompt").alias("fault"), F.col("prompt").alias("detail")
+    )
+    side = F.when(F.col("side") == "columns", F.lit("a column offers an undeclared choice")).otherwise(
+        F.lit("a declared choice has no column")
+    )
+    choices = choice_mismatches(catalog, matched).select("question_id", side.alias("fault"), F.col("choice").alias("detail"))
+    rankless = matched.filter((F.col("type") == "ranking") & F.col("rank").isNull()).select(
+        "question_id", F.lit("a column of a ranking names no rank").alias("fault"), F.col("raw").alias("detail")
+    )
+    return lonely.unionByName(choices).unionByName(rankless)
+
+
 def bind_questions(catalog: DataFrame, headers: DataFrame) -> dict[str, dict[str, Any]]:
-    """Per question id: type, prompt and the header positions of its columns.
+    """Per question id: type, prompt, the header positions of its columns and the headers.
 
-    Everything collected here is as small as the header line. Raises when a
-    question has no column, when choices and columns differ, or when a ranking
-    column has no rank.
+    Everything collected here is as small as the header line. All faults of
+    :func:`binding_faults` are reported together.
     """
     matched = match_headers(headers, catalog)
-    questions = catalog.orderBy("position").collect()
-    columns: dict[str, list] = {q["question_id"]: [] for q in questions}
-    for row in matched.orderBy("position", "pos").collect():
-        columns[row["question_id"]].append(row)
-    differing: dict[str, dict[str, list[str]]] = {}
-    for row in choice_mismatches(catalog, matched).collect():
-        sides = differing.setdefault(row["question_id"], {"columns": [], "declared": []})
-        sides[row["side"]].append(row["choice"])
-
+    faults = binding_faults(catalog, matched).orderBy("question_id", "fault", "detail").collect()
+    if faults:
+        lines = [f"{f.question_id}: {f.fault}: {f.detail!r}" for f in faults]
+        raise ValueError("questions and columns do not fit:\n" + "\n".join(lines))
+    own: dict[str, list] = {}
+    for row in matched.collect():
+        own.setdefault(row["question_id"], []).append(row)
     bound = {}
-    for question in questions:
+    for question in catalog.orderBy("position").collect():
         qid, kind = question["question_id"], question["type"]
-        found = columns[qid]
-        if not found:
-            text = "columns matched" if kind in ("multiple", "ranking") else "column matches"
-            raise ValueError(f"no CSV {text} question id {qid!r} (prompt: {question['prompt']!r})")
-        if qid in differing:
-            raise ValueError(_mismatch_text(qid, differing[qid]))
-        if kind == "ranking":
-            for row in found:
-                if row["rank"] is None:
-                    raise ValueError(
-                        f"ranking column {row['raw']!r} has non-'Rank N' suffix {row['suffix']!r}"
-                    )
-            fields = [row["pos"] for row in sorted(found, key=lambda r: (r["rank"], r["pos"]))]
-        elif kind == "multiple":
-            by_choice = {row["suffix"]: row["pos"] for row in found}
-            order = question["choices"] or [row["suffix"] for row in found]
-            fields = {choice: by_choice[choice] for choice in order}
+        found = sorted(own[qid], key=lambda r: r["pos"])
+        if kind == "multiple":
+            places = {r["suffix"]: r["pos"] for r in found}
+            fields = {choice: places[choice] for choice in question["choices"] or places}
+        elif kind == "ranking":
+            fields = [r["pos"] for r in sorted(found, key=lambda r: r["rank"])]
         else:
             fields = found[0]["pos"]
-        bound[qid] = {"type": kind, "prompt": question["prompt"], "fields": fields}
+        bound[qid] = {
+            "type": kind, "prompt": question["prompt"], "fields": fields, "headers": [r["raw"] for r in found]
+        }
     return bound
-
-
-def _mismatch_text(qid: str, sides: Mapping[str, Sequence[str]]) -> str:
-    lines = [f"choice mismatch for multi-choice question id {qid!r}:"]
-    if sides["columns"]:
-        lines.append(f"  CSV has {len(sides['columns'])} column(s) not in declared choices:")
-        lines += [f"    + {choice!r}" for choice in sorted(sides["columns"])]
-    if sides["declared"]:
-        lines.append(f"  catalog has {len(sides['declared'])} choice(s) not in CSV columns:")
-        lines += [f"    - {choice!r}" for choice in sorted(sides["declared"])]
-    return "\n".join(lines)

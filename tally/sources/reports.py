@@ -63,11 +63,12 @@ def write_frames(frames: Mapping[str, DataFrame], path: str, *, series: str, yea
         )
 
 
-def read_reports(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
+def read_reports(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
     """Report documents with the enforced schema and defaults filled in.
 
-    Malformed documents and other versions fail the read. Series and year come
-    from the documents, not from folder names.
+    A file holds one document, indented or not; without ``multi_line`` it holds
+    one on each line. Malformed documents and other versions fail the read. Series
+    and year come from the documents, not from folder names.
     """
     documents = (
         spark.read.schema(REPORT_SCHEMA)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import difflib
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,7 +37,7 @@ class Survey:
     def __getattr__(self, qid: str):
         bindings = self.__dict__.get("_bindings", {})
         if qid not in bindings:
-            raise AttributeError(f"no question id {qid!r}")
+            raise AttributeError(f"the survey asks nothing under {qid!r}")
         return self[qid]
 
     def __iter__(self) -> Iterator[str]:
@@ -52,12 +53,13 @@ class Survey:
         return self._bindings.keys()
 
     def _binding(self, qid: str, *kinds: str) -> dict[str, Any]:
-        if qid not in self._bindings:
-            known = ", ".join(sorted(self._bindings)) or "(none)"
-            raise KeyError(f"unknown question id {qid!r}; available: {known}")
-        binding = self._bindings[qid]
+        binding = self._bindings.get(qid)
+        if binding is None:
+            near = difflib.get_close_matches(qid, self._bindings, n=3)
+            hint = f"; close to it: {', '.join(near)}" if near else ""
+            raise KeyError(f"the survey asks nothing under {qid!r}{hint}")
         if kinds and binding["type"] not in kinds:
-            raise TypeError(f"question {qid!r} is {binding['type']}, not {' or '.join(kinds)}")
+            raise TypeError(f"{qid!r} was asked as {binding['type']}; this reads {' and '.join(kinds)} questions")
         return binding
 
     def type(self, qid: str) -> str:
@@ -66,6 +68,10 @@ class Survey:
     def prompt(self, qid: str) -> str:
         return self._binding(qid)["prompt"]
 
+    def headers(self, qid: str) -> list[str]:
+        """Headers of the question's columns as written, in column order."""
+        return list(self._binding(qid).get("headers", ()))
+
     def choices(self, qid: str) -> list[str]:
         return list(self._binding(qid, "multiple")["fields"])
 
@@ -114,7 +120,7 @@ class Survey:
         return self.frame.select(RESPONDENT, answers).filter(F.col("value").isNotNull())
 
 
-def read_header(spark: SparkSession, path: str, *, multi_line: bool = True) -> list[str]:
+def read_header(spark: SparkSession, path: str, *, multi_line: bool = False) -> list[str]:
     """Header fields as written, quotes removed and inner line breaks kept."""
     rows = spark.read.options(**csv_options(multi_line)).option("header", False).csv(path)
     first = rows.first()
@@ -135,26 +141,32 @@ def csv_options(multi_line: bool) -> dict[str, str | bool | int]:
     }
 
 
+def comparable(headers: Sequence[str]) -> bool:
+    """Whether Spark can compare a file's header with these names."""
+    return all(headers) and len({h.lower() for h in headers}) == len(headers)
+
+
+def header_schema(headers: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in headers])
+
+
 def read_fields(
-    spark: SparkSession, path: str, headers: list[str], *, multi_line: bool = True
+    spark: SparkSession, path: str, headers: list[str], *, multi_line: bool = False
 ) -> DataFrame:
     """All fields as strings named ``f0..fn``, in one lazy scan.
 
-    Files whose header differs from ``headers`` fail the read, unless the header
-    repeats a name, which Spark cannot check. ``multi_line`` allows line breaks
-    inside fields but reads each file in one task; turn it off for files without
-    them, or land the data as Parquet.
+    Files whose header differs from ``headers`` fail the read. Headers with an
+    empty or a repeated name, which Spark cannot compare, are allowed in a single
+    file only. Files are read in splits; ``multi_line`` allows line breaks inside
+    fields but reads each file in one task.
     """
-    unique = len({h.lower() for h in headers}) == len(headers) and all(headers)
-    names = headers if unique else [f"f{i}" for i in range(len(headers))]
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = (
-        spark.read.options(**csv_options(multi_line))
-        .option("header", True)
-        .option("enforceSchema", not unique)
-        .schema(schema)
-        .csv(path)
-    )
+    reader = spark.read.options(**csv_options(multi_line)).option("header", True)
+    if comparable(headers):
+        rows = reader.option("enforceSchema", False).schema(header_schema(headers)).csv(path)
+    else:
+        rows = reader.schema(header_schema([f"f{i}" for i in range(len(headers))])).csv(path)
+        if len(rows.inputFiles()) > 1:
+            raise ValueError("a header with an empty or repeated name can be read from one file only")
     return rows.toDF(*[f"f{i}" for i in range(len(headers))])
 
 
@@ -164,13 +176,15 @@ def read_responses(
     catalog: DataFrame,
     *,
     id_header: str | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> Survey:
     """Match a response CSV to the catalog and return the survey.
 
-    ``id_header`` names a column that identifies respondents. Without it ids are
-    generated; they follow the row order inside a file, so first-seen orders over
-    several files need an explicit id.
+    ``respondent_id`` (BIGINT) orders respondents by arrival. ``id_header`` names
+    a column of whole numbers that do; anything else in it fails the query, and
+    the text stays in its field. Without it ids are generated; they follow the row
+    order inside a file, so first-seen orders over several files need the column.
+    Set ``multi_line`` where fields or headers hold line breaks.
     """
     headers = read_header(spark, path, multi_line=multi_line)
     bindings = bind_questions(catalog, header_frame(spark, headers))
@@ -178,7 +192,7 @@ def read_responses(
     if id_header is None:
         respondent = F.monotonically_increasing_id()
     else:
-        respondent = F.col(f"f{headers.index(id_header)}")
+        respondent = F.col(f"f{headers.index(id_header)}").cast("bigint")
     return Survey(fields.withColumn(RESPONDENT, respondent), bindings)
 
 

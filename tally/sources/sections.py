@@ -54,16 +54,21 @@ def split_sections(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFr
 
 
 def load_commentary(spark: SparkSession, path: str) -> DataFrame:
-    """``(section_id, body)`` of one commentary document."""
-    document = spark.read.text(path, wholetext=True)
-    return split_sections(document, "value").select("section_id", "body")
+    """``(section_id, body)`` of the commentary in one document or a folder of them.
+
+    A section that several documents have takes the body of the last path.
+    """
+    documents = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("path"))
+    found = split_sections(documents, "value", ["path"])
+    return found.groupBy("section_id").agg(F.max_by("body", "path").alias("body"))
 
 
 def attach_commentary(rows: DataFrame, commentary: DataFrame, *, key: str = "row_id") -> DataFrame:
-    """Add ``commentary`` to report rows; a row without a section fails the query."""
-    notes = commentary.select(
-        F.col("section_id").alias(key), F.struct("body").alias("__note")
-    )
+    """Add ``commentary`` to report rows; a row without a section fails the query.
+
+    Rows never multiply: of several bodies of a section the greatest is taken.
+    """
+    notes = commentary.groupBy(F.col("section_id").alias(key)).agg(F.max(F.struct("body")).alias("__note"))
     missing = F.raise_error(F.concat(F.lit("no commentary for row "), F.col(key))).cast("string")
     return (
         rows.join(notes, key, "left")

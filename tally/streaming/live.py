@@ -11,7 +11,6 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tally.operators.counts import SingleCount, value_counts
@@ -19,7 +18,7 @@ from tally.operators.specs import name_column, named
 from tally.plans.report import Report, build_report
 from tally.sources.catalog import bind_questions, header_frame
 from tally.sources.reports import write_report
-from tally.sources.responses import RESPONDENT, Survey, csv_options
+from tally.sources.responses import RESPONDENT, Survey, comparable, csv_options, header_schema
 
 
 def checkpoint_folder(spark: SparkSession, name: str) -> str:
@@ -31,17 +30,23 @@ def checkpoint_folder(spark: SparkSession, name: str) -> str:
 
 
 def stream_fields(
-    spark: SparkSession, folder: str, headers: Sequence[str], *, multi_line: bool = True
+    spark: SparkSession, folder: str, headers: Sequence[str], *, multi_line: bool = False
 ) -> DataFrame:
-    """Response files of a folder as a stream of fields ``f0..fn``."""
-    fields = [f"f{i}" for i in range(len(headers))]
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
-    return (
+    """Response files of a folder as a stream of fields ``f0..fn``.
+
+    A file whose header differs from ``headers`` fails the stream, so the names
+    must be given and differ from one another.
+    """
+    if not comparable(headers):
+        raise ValueError("a stream of files needs headers without empty or repeated names")
+    rows = (
         spark.readStream.options(**csv_options(multi_line))
         .option("header", True)
-        .schema(schema)
+        .option("enforceSchema", False)
+        .schema(header_schema(headers))
         .csv(folder)
     )
+    return rows.toDF(*[f"f{i}" for i in range(len(headers))])
 
 
 def stream_counts(stream: DataFrame, metrics: Mapping[str, SingleCount]) -> DataFrame:
@@ -67,7 +72,7 @@ def start_live_report(
     output: str,
     commentary: DataFrame | None = None,
     checkpoint: str | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
     once: bool = False,
 ) -> StreamingQuery:
     """Rebuild and write the report whenever response files arrive in ``folder``.

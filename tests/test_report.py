@@ -120,29 +120,32 @@ def test_rank_stack(frame):
 
 
 def test_upset_frames(frame):
+    # Nine answers name the kettle and the stove, seven all three, two the pan alone.
+    sets = ["kettle", "stove", "pan"]
     yes, no = ["Yes"], ["No"]
-    df = frame(A=yes * 16 + no * 5, B=no * 10 + yes * 11, C=no * 16 + yes * 5)
-    choices = {c: c for c in "ABC"}
-    combos, totals = set_combinations(df, choices), set_totals(df, choices)
+    df = frame(kettle=yes * 16 + no * 2, stove=yes * 16 + no * 2, pan=no * 9 + yes * 9)
+    choices = {c: c for c in sets}
+    combos, totals = set_combinations(df, choices, min_size=2), set_totals(df, choices)
     assert rows(combos.select("pos", "members", "size"), "pos") == [
-        (1, ["A"], 10), (2, ["A", "B"], 6), (3, ["B", "C"], 5),
+        (1, ["kettle", "stove"], 9), (2, sets, 7), (3, ["pan"], 2),
     ]
-    filled = [(c, r) for c, r, _, on in rows(upset_matrix(combos, list("ABC")), "col", "row") if on]
-    assert upset_matrix(combos, list("ABC")).count() == 9
-    assert filled == [(0, 0), (1, 0), (1, 1), (2, 1), (2, 2)]
-    assert rows(upset_connectors(combos, list("ABC")), "col") == [(1, 0, 1), (2, 1, 2)]
-    codes = {"A": "a1", "C": "c3"}
+    filled = [(c, r) for c, r, _, on in rows(upset_matrix(combos, sets), "col", "row") if on]
+    assert upset_matrix(combos, sets).count() == 9
+    assert filled == [(0, 0), (0, 1), (1, 0), (1, 1), (1, 2), (2, 2)]
+    assert rows(upset_connectors(combos, sets), "col") == [(0, 0, 1), (1, 0, 2)]
+    codes = {"kettle": "kt", "pan": "pn"}
     assert rows(upset_combo_names(combos, codes), "col") == [
-        (0, "a1: 10", 10), (1, "a1 · B: 6", 6), (2, "B · c3: 5", 5),
+        (0, "kt · stove: 9", 9), (1, "kt · stove · pn: 7", 7), (2, "pn: 2", 2),
     ]
     assert rows(upset_set_names(totals, codes), "row") == [
-        (0, "a1", "a1: 16", 16), (1, "B", "B: 11", 11), (2, "c3", "c3: 5", 5),
+        (0, "kt", "kt: 16", 16), (1, "stove", "stove: 16", 16), (2, "pn", "pn: 9", 9),
     ]
     assert upset_totals_axis(totals).first()[0] == int(16 * 1.6) + 1
-    assert upset_key(codes).splitlines()[2:] == ["- **a1** — A", "- **c3** — C"]
+    assert upset_key(codes).splitlines()[2:] == ["| kt | kettle |", "| pn | pan |"]
     assert upset_key(None) is None
-    note = df.sparkSession.range(0, 4, 3).select(dropped_note(F.col("id"))).collect()
-    assert note[0][0] is None and note[1][0].startswith("3 combination(s) not shown")
+    found = df.sparkSession.range(3).orderBy("id").select(dropped_note(F.col("id"), min_size=30)).collect()
+    assert found[0][0] is None and found[1][0].startswith("1 combination is left out: fewer than 30 answers")
+    assert found[2][0].startswith("2 combinations are")
 
 
 def test_sankey_frame_keeps_links(frame):
@@ -245,7 +248,7 @@ def test_bar_data(document):
 def test_other_chart_data(document):
     stove, mixed = document["sections"][1]["rows"]
     upset = stove["charts"][1]
-    assert upset["caption"].endswith("- **G** — Gas")
+    assert upset["caption"].endswith("| G | Gas |")
     assert upset["option"]["rowAxis"]["data"] == ["G", "Induction", "Wood"]
     assert sum(b["value"] for b in upset["option"]["sizes"]["data"]) <= 20
     assert len(upset["option"]["dots"]["data"]) == 3 * len(upset["option"]["sizes"]["data"])

@@ -57,10 +57,10 @@ def test_catalog_from_json(spark, tmp_path):
 @pytest.mark.parametrize(
     "questions, message",
     [
-        ([{"prompt": "hi", "type": "single"}], "missing 'id'"),
-        ([single("1bad", "hi")], "not a valid Python identifier"),
-        ([single("dup", "a"), single("dup", "b")], "duplicate question id"),
-        ([{"id": "a", "prompt": "a", "type": "slider"}], "unknown type"),
+        ([{"prompt": "hi", "type": "single"}], "it has no id"),
+        ([single("1bad", "hi")], "no attribute name"),
+        ([single("dup", "a"), single("dup", "b")], "taken by an earlier entry"),
+        ([{"id": "a", "prompt": "a", "type": "slider"}], "its type is unknown"),
     ],
 )
 def test_catalog_rejects(spark, questions, message):
@@ -157,38 +157,48 @@ def test_golden_counts(survey):
     ]
 
 
-def test_unknown_question_lists_the_known_ones(survey):
-    with pytest.raises(KeyError, match="unknown question id 'nope'; available: firmware, folded"):
-        survey["nope"]
-    with pytest.raises(AttributeError, match="no question id 'nope'"):
+def test_all_faults_of_a_catalog_are_named_together(spark):
+    wrong = [single("ok", "A"), {"prompt": "B", "type": "single"}, {**single("ok", "C"), "type": "dial"}]
+    with pytest.raises(ValueError) as error:
+        question_catalog(spark, wrong)
+    assert [line.split(":")[0] for line in str(error.value).splitlines()[1:]] == [
+        "entry 1 (no id)", "entry 2 (ok)", "entry 2 (ok)",
+    ]
+
+
+def test_unknown_question_names_close_ones(survey):
+    with pytest.raises(KeyError, match="nothing under 'stoves'; close to it: stove"):
+        survey["stoves"]
+    with pytest.raises(AttributeError, match="nothing under 'nope'"):
         survey.nope
-    with pytest.raises(TypeError, match="is multiple"):
+    with pytest.raises(TypeError, match="'stove' was asked as multiple"):
         survey.col("stove")
+    assert [h[h.index("["):] for h in survey.headers("stove")] == ["[Gas]", "[Induction]", "[Wood]"]
+    assert len(survey.headers("level")) == 1
 
 
 def test_missing_column(spark, tmp_path):
-    path = write(tmp_path / "r.csv", '"Some other column"\n"value"\n')
-    for kind, text in (("single", "no CSV column matches"), ("multiple", "no CSV columns matched")):
+    path = write(tmp_path / "r.csv", '"Something else"\n"value"\n')
+    for kind in ("single", "multiple"):
         catalog = question_catalog(spark, [{"id": "q", "prompt": "Q?", "type": kind}])
-        with pytest.raises(ValueError, match=text):
+        with pytest.raises(ValueError, match="q: no column fits its prompt: 'Q[?]'"):
             read_responses(spark, path, catalog)
 
 
-def test_choice_mismatch_names_both_sides(spark, tmp_path):
-    path = write(tmp_path / "r.csv", '"OS? [Linux]","OS? [Plan9]"\n"Yes","No"\n')
-    question = {"id": "os", "prompt": "OS?", "type": "multiple", "choices": ["Linux", "BSD", "VMS"]}
+def test_all_binding_faults_are_named_together(spark, tmp_path):
+    path = write(tmp_path / "r.csv", '"Tree? [oak]","Tree? [fig]","Best [Rank 1]","Best [Later]"\n"Yes","No","a","b"\n')
+    questions = [
+        {"id": "tree", "prompt": "Tree?", "type": "multiple", "choices": ["oak", "elm", "ash"]},
+        {"id": "best", "prompt": "Best", "type": "ranking"},
+    ]
     with pytest.raises(ValueError) as error:
-        read_responses(spark, path, question_catalog(spark, [question]))
-    text = str(error.value)
-    assert "choice mismatch" in text and "CSV has 1 column" in text and "catalog has 2 choice" in text
-    assert "'Plan9'" in text and "'BSD'" in text and "'VMS'" in text
-
-
-def test_rank_suffix_must_be_numbered(spark, tmp_path):
-    path = write(tmp_path / "r.csv", '"R [Rank 1]","R [Second]"\n"a","b"\n')
-    catalog = question_catalog(spark, [{"id": "r", "prompt": "R", "type": "ranking"}])
-    with pytest.raises(ValueError, match="non-'Rank N' suffix 'Second'"):
-        read_responses(spark, path, catalog)
+        read_responses(spark, path, question_catalog(spark, questions))
+    assert str(error.value).splitlines()[1:] == [
+        "best: a column of a ranking names no rank: 'Best [Later]'",
+        "tree: a column offers an undeclared choice: 'fig'",
+        "tree: a declared choice has no column: 'ash'",
+        "tree: a declared choice has no column: 'elm'",
+    ]
 
 
 def test_ranks_sort_by_number_and_open_choices_keep_column_order(spark, tmp_path):
@@ -219,7 +229,7 @@ def test_header_and_cells_with_line_breaks_quotes_and_dots(spark, tmp_path):
     catalog = question_catalog(
         spark, [single("q", 'Say "x.y" in `two` lines'), {"id": "t", "prompt": "T", "type": "text"}]
     )
-    survey = read_responses(spark, path, catalog)
+    survey = read_responses(spark, path, catalog, multi_line=True)
     rows = survey.frame.select(survey.q.alias("q"), survey.t.alias("t")).collect()
     assert [tuple(r) for r in rows] == [("a\nb", "007"), ("Skipped", "2.10")]
 
@@ -246,10 +256,24 @@ def test_long_answers_and_landing(survey, tmp_path):
     assert {r.choice: r["count"] for r in picks.collect()} == {"Gas": 19, "Induction": 6, "Wood": 3}
 
 
-def test_explicit_respondent_id(spark, tmp_path):
-    path = write(tmp_path / "r.csv", '"id","Q"\n"r9","a"\n')
-    survey = read_responses(spark, path, question_catalog(spark, [single("q", "Q")]), id_header="id")
-    assert survey.frame.first().respondent_id == "r9"
+def test_explicit_respondent_id_is_a_number(spark, tmp_path):
+    path = write(tmp_path / "r.csv", '"id","Q"\n"10","a"\n"9","b"\n"11","a"\n')
+    catalog = question_catalog(spark, [single("q", "Q")])
+    survey = read_responses(spark, path, catalog, id_header="id")
+    assert dict(survey.frame.dtypes)["respondent_id"] == "bigint"
+    assert [r.f0 for r in survey.frame.orderBy("respondent_id").collect()] == ["9", "10", "11"]
+    odd = write(tmp_path / "odd.csv", '"id","Q"\n"r9","a"\n')
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_responses(spark, odd, catalog, id_header="id").frame.collect()
+
+
+def test_repeated_headers_need_a_single_file(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name in ("a.csv", "b.csv"):
+        write(folder / name, '"Q3","Q3"\n"first","last"\n')
+    with pytest.raises(ValueError, match="one file only"):
+        read_responses(spark, str(folder), question_catalog(spark, [single("q", "Q3")]))
 
 
 def test_commentary(spark, data_dir):
@@ -261,6 +285,15 @@ def test_commentary(spark, data_dir):
     }
 
 
+def test_commentary_of_a_folder_has_one_body_per_section(spark, tmp_path):
+    write(tmp_path / "1.md", "## a\nold\n## b\nonly\n")
+    write(tmp_path / "2.md", "## a\nnew\n")
+    assert {r.section_id: r.body for r in load_commentary(spark, str(tmp_path)).collect()} == {"a": "new", "b": "only"}
+    rows = spark.createDataFrame([("a",)], "row_id string")
+    twice = spark.createDataFrame([("a", "x"), ("a", "y")], "section_id string, body string")
+    assert [r.commentary for r in attach_commentary(rows, twice).collect()] == ["y"]
+
+
 def test_sections_edge_cases(spark):
     text = (
         "lost\r\n## a\r\none\r\n##  b  \x0btwo\n## 9bad\n##c\n## d e\n"

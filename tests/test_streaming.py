@@ -78,6 +78,20 @@ def test_running_counts_equal_the_batch(spark, tmp_path):
     assert {label: n for (name, label), n in got.items() if name == "level"} == expected
 
 
+def test_a_file_with_swapped_columns_fails_the_stream(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Level?,Stove? [Wood],Stove? [Gas]\nLow,Yes,No\n")
+    query = (
+        stream_fields(spark, str(folder), HEADERS).writeStream.format("noop")
+        .option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start()
+    )
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        query.awaitTermination()
+    with pytest.raises(ValueError, match="repeated names"):
+        stream_fields(spark, str(folder), ["A", "a"])
+
+
 def test_checkpoint_folder_comes_from_the_session():
     def session(settings):
         return SimpleNamespace(conf=SimpleNamespace(get=settings.get))

@@ -20,6 +20,7 @@ from tally.operators import counts_single
 from tally.sources import (
     Survey,
     attach_commentary,
+    catalog_faults,
     choice_mismatches,
     header_forms,
     match_headers,
@@ -33,21 +34,20 @@ from workload.registry import query, table
 @query(
     "clean_single",
     """
-    SELECT conv_id, turn, md5(CASE WHEN t = '' THEN 'Skipped' ELSE t END) AS answer
-    FROM (SELECT conv_id, turn, trim(CASE WHEN turn % 3 = 0 THEN chr(9) || ' ' || text || chr(10)
-                 WHEN turn % 3 = 1 THEN ' ' || chr(9) || chr(13) || chr(10)
-                 ELSE coalesce(text, '') END, ' ' || chr(9) || chr(10) || chr(13)) AS t
-          FROM conversations)
+    SELECT conv_id, turn, side, md5(CASE WHEN t = '' THEN 'Skipped' ELSE t END) AS answer
+    FROM (SELECT conv_id, turn, 'padded' AS side,
+                 trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13)) AS t FROM conversations
+          UNION ALL SELECT conv_id, turn, 'blank', '' FROM conversations)
     """,
 )
 def cleaned(spark, d):
-    text = (
-        F.when(F.col("turn") % 3 == 0, F.concat(F.lit("\t "), "text", F.lit("\n")))
-        .when(F.col("turn") % 3 == 1, F.lit(" \t\r\n"))
-        .otherwise(F.col("text"))
+    """Every text with white space around it, and a blank answer beside it."""
+    sides = F.array(
+        F.struct(F.lit("padded").alias("side"), F.concat(F.lit("\t "), "text", F.lit(" \r\n")).alias("value")),
+        F.struct(F.lit("blank").alias("side"), F.lit(" \t\r\n").alias("value")),
     )
-    turns = table(spark, d, "conversations")
-    return turns.select("conv_id", "turn", F.md5(clean_single(text)).alias("answer"))
+    turns = table(spark, d, "conversations").select("conv_id", "turn", F.inline(sides))
+    return turns.select("conv_id", "turn", "side", F.md5(clean_single(F.col("value"))).alias("answer"))
 
 
 @query(
@@ -68,20 +68,45 @@ def yes_or_no(spark, d):
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-_SEMVER = (
-    r"(?:^|[^0-9])((?:0|[1-9]\d*)\.(?:0|[1-9]\d*)\.(?:0|[1-9]\d*))(?:$|[^0-9])"
-)
-
-
 def _semver_sql(key: str, column: str, source: str) -> str:
+    """Runs of dotted numbers, split at the dots: the first three neighbours without leading zeros."""
+    plain = "regexp_full_match({0}, '0|[1-9][0-9]*')"
+    sound = " AND ".join(plain.format(f"p[i + {k}]") for k in range(3))
+    triples = (
+        f"list_transform(list_filter(range(1, len(p) - 1), lambda i: {sound}), "
+        "lambda i: p[i] || '.' || p[i + 1] || '.' || p[i + 2])"
+    )
     return f"""
-    SELECT {key}, CASE WHEN trim({column}) = '' OR {column} IS NULL THEN 'Skipped'
-           WHEN regexp_extract({column}, '{_SEMVER}', 1) = '' THEN 'No Match'
-           ELSE regexp_extract({column}, '{_SEMVER}', 1) END AS version
+    SELECT {key}, CASE WHEN trim({column}, ' ' || chr(9) || chr(10) || chr(13)) = '' OR {column} IS NULL THEN 'Skipped'
+           ELSE coalesce(list_extract(flatten(list_transform(
+               list_transform(regexp_extract_all({column}, '[0-9]+([.][0-9]+)+'), lambda r: string_split(r, '.')),
+               lambda p: {triples})), 1), 'No Match') END AS version
     FROM {source}
     """
 
 
+@query(
+    "normalize_yes_no_defaults",
+    """
+    SELECT l_returnflag || l_linestatus AS answers,
+           CASE WHEN l_returnflag = 'R' THEN 'Yes' WHEN l_returnflag = 'N' THEN 'No'
+                WHEN l_linestatus = 'F' THEN 'Skipped' ELSE 'Other' END AS label, count(*) AS n
+    FROM lineitem GROUP BY 1, 2
+    """,
+)
+def yes_or_no_by_default(spark, d):
+    lines = table(spark, d, "lineitem")
+    said = (
+        F.when(F.col("l_returnflag") == "R", F.lit(" YEP\n"))
+        .when(F.col("l_returnflag") == "N", F.lit("nope "))
+        .when(F.col("l_linestatus") == "F", F.lit(" \t"))
+        .otherwise(F.lit("perhaps"))
+    )
+    return lines.groupBy(
+        F.concat("l_returnflag", "l_linestatus").alias("answers"), yes_no(said).alias("label")
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("extract_semver_documents", _semver_sql("doc_id", "text", "documents"))
 def document_versions(spark, d):
     return table(spark, d, "documents").select("doc_id", first_semver(F.col("text")).alias("version"))
@@ -322,23 +347,129 @@ def matched(spark, d):
     return found.select("question_id", "type", "suffix", "pos")
 
 
-@query("missing_questions", "SELECT DISTINCT 'promo_single' AS question_id, 'single' AS type FROM part")
+@query(
+    "missing_questions",
+    """
+    SELECT 'label_' || doc_id AS question_id, 'single' AS type FROM labels
+    WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE n_chars > 2000)
+    """,
+)
 def missing(spark, d):
-    catalog = part_catalog(spark, d)
-    found = match_headers(part_headers(spark, d), catalog)
-    return missing_questions(catalog, found).select("question_id", "type")
+    """A question for each labelled document; the long documents bring the columns."""
+    prompt = F.concat(F.lit("How good is "), F.col("doc_id").cast("string"), F.lit("?"))
+    catalog = table(spark, d, "labels").select(
+        F.concat(F.lit("label_"), F.col("doc_id").cast("string")).alias("question_id"),
+        F.col("doc_id").cast("int").alias("position"),
+        prompt.alias("norm_prompt"),
+        F.lit("single").alias("type"),
+        F.lit(None).cast("array<string>").alias("choices"),
+    )
+    long = table(spark, d, "documents").filter("n_chars > 2000")
+    headers = long.select(F.col("doc_id").cast("int").alias("pos"), F.concat(F.lit(" "), prompt).alias("raw"))
+    return missing_questions(catalog, match_headers(header_forms(headers), catalog)).select("question_id", "type")
+
+
+_OFFERS = """
+    WITH declared AS (SELECT DISTINCT p_brand AS b, p_type || ' ' || p_size AS choice FROM part
+                      WHERE p_retailprice < 1500),
+    present AS (SELECT DISTINCT p_brand AS b, p_type || ' ' || p_size AS choice FROM part WHERE p_size <= 25)
+"""
 
 
 @query(
     "choice_mismatches",
-    """
-    SELECT DISTINCT lower(p_type) || '_multiple' AS question_id, 'declared' AS side, 'None' AS choice
-    FROM part
+    f"""
+    {_OFFERS}
+    SELECT b AS question_id, 'columns' AS side, choice FROM (FROM present EXCEPT FROM declared)
+    WHERE b IN (SELECT b FROM declared)
+    UNION ALL SELECT b, 'declared', choice FROM (FROM declared EXCEPT FROM present)
     """,
 )
 def mismatched(spark, d):
-    catalog = part_catalog(spark, d)
-    return choice_mismatches(catalog, match_headers(part_headers(spark, d), catalog))
+    """A question for each brand: cheap parts declare its choices, small parts bring its columns."""
+    parts = table(spark, d, "part").withColumn("choice", F.concat_ws(" ", "p_type", F.col("p_size").cast("string")))
+    prompt = F.concat(F.lit("Parts of "), "p_brand")
+    # The distinct types and sizes of a brand.
+    declared = parts.filter("p_retailprice < 1500").groupBy("p_brand").agg(F.collect_set("choice").alias("choices"))
+    catalog = declared.select(
+        F.col("p_brand").alias("question_id"), F.hash("p_brand").alias("position"), prompt.alias("norm_prompt"),
+        F.lit("multiple").alias("type"), "choices",
+    )
+    headers = parts.filter("p_size <= 25").select(
+        F.col("p_partkey").cast("int").alias("pos"), F.concat(prompt, F.lit(" ["), "choice", F.lit("]")).alias("raw")
+    )
+    return choice_mismatches(catalog, match_headers(header_forms(headers), catalog))
+
+
+@query(
+    "catalog_faults",
+    """
+    WITH entries AS (
+        SELECT p_partkey, CASE WHEN p_size = 1 THEN NULL WHEN p_size = 2 THEN p_brand
+                               ELSE lower(p_type) || '_' || p_size END AS id,
+               CASE WHEN p_retailprice > 1900 THEN 'dial' ELSE 'single' END AS type FROM part
+    ),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY p_partkey) AS uses FROM entries)
+    SELECT CAST(p_partkey AS INTEGER) AS position, id AS question_id, fault FROM (
+        SELECT *, 'it has no id' AS fault FROM numbered WHERE id IS NULL
+        UNION ALL SELECT *, 'its id is no attribute name' FROM numbered WHERE contains(id, '#')
+        UNION ALL SELECT *, 'its id is taken by an earlier entry' FROM numbered WHERE id IS NOT NULL AND uses > 1
+        UNION ALL SELECT *, 'its type is unknown' FROM numbered WHERE type = 'dial')
+    """,
+)
+def faulty_entries(spark, d):
+    """A questionnaire with one entry for each part, checked."""
+    size = F.col("p_size")
+    name = F.when(size == 1, F.lit(None)).when(size == 2, F.col("p_brand")).otherwise(
+        F.concat(F.lower("p_type"), F.lit("_"), size.cast("string"))
+    )
+    entries = table(spark, d, "part").select(
+        name.alias("question_id"), F.col("p_partkey").cast("int").alias("position"), F.col("p_name").alias("prompt"),
+        F.when(F.col("p_retailprice") > 1900, F.lit("dial")).otherwise(F.lit("single")).alias("type"),
+        F.lit(None).cast("array<string>").alias("choices"),
+    )
+    return catalog_faults(entries)
+
+
+@query(
+    "survey_lookup",
+    """
+    SELECT c_custkey AS respondent_id, c_mktsegment AS segment,
+           CASE WHEN o.n IS NULL THEN 'Skipped' ELSE o.first END AS note,
+           coalesce(o.open, false) AS open, coalesce(o.done, false) AS done, o.first AS best, o.last AS second
+    FROM customer LEFT JOIN (
+        SELECT o_custkey, count(*) AS n, min(o_orderpriority) AS first, max(o_orderpriority) AS last,
+               bool_or(o_orderstatus = 'O') AS open, bool_or(o_orderstatus = 'F') AS done
+        FROM orders GROUP BY 1) o ON o_custkey = c_custkey
+    """,
+)
+def looked_up(spark, d):
+    """Questions of each type by id, over customers and their orders as a response file holds them."""
+    status = F.col("o_orderstatus")
+
+    def said(flag):
+        return F.when(flag, F.lit("Yes")).otherwise(F.lit("No"))
+
+    orders = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.min("o_orderpriority").alias("f1"), said(F.bool_or(status == "O")).alias("f2"),
+        said(F.bool_or(status == "F")).alias("f3"), F.max("o_orderpriority").alias("f4"),
+    )
+    wide = table(spark, d, "customer").join(orders, "c_custkey", "left").select(
+        F.col("c_custkey").alias("respondent_id"), F.concat(F.lit(" "), "c_mktsegment", F.lit("\n")).alias("f0"),
+        "f1", F.coalesce("f2", F.lit("No")).alias("f2"), F.coalesce("f3", F.lit("No")).alias("f3"), "f4",
+    )
+    survey = Survey(wide, {
+        "segment": {"type": "single", "prompt": "Segment?", "fields": 0},
+        "note": {"type": "text", "prompt": "Note?", "fields": 1},
+        "status": {"type": "multiple", "prompt": "Status?", "fields": {"open": 2, "done": 3}},
+        "urgency": {"type": "ranking", "prompt": "Urgency?", "fields": [1, 4]},
+    })
+    best, second = survey.ranking("urgency")
+    flags = [flag.alias(choice) for choice, flag in survey.multi("status").items()]
+    return survey.frame.select(
+        "respondent_id", survey.segment.alias("segment"), survey["note"].alias("note"), *flags,
+        best.alias("best"), second.alias("second"),
+    )
 
 
 def turn_sections(spark, d):
@@ -395,12 +526,10 @@ def commented(spark, d):
 
 @query(
     "rows_without_commentary",
-    "SELECT n_nationkey AS nation, n_name AS row_id FROM nation WHERE n_nationkey NOT IN "
-    "(SELECT c_nationkey FROM customer WHERE c_acctbal > 9990)",
+    "SELECT doc_id, 'doc_' || doc_id AS row_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
 )
 def uncommented(spark, d):
-    nations = table(spark, d, "nation")
-    rich = table(spark, d, "customer").filter("c_acctbal > 9990")
-    notes = nations.join(rich, F.col("n_nationkey") == F.col("c_nationkey"), "left_semi")
-    rows = nations.select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("row_id"))
-    return rows_without_commentary(rows, notes.select(F.col("n_name").alias("section_id")))
+    """Documents as report rows, labels as the commentary on them."""
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"))
+    rows = table(spark, d, "documents").select("doc_id", name.alias("row_id"))
+    return rows_without_commentary(rows, table(spark, d, "labels").select(name.alias("section_id")))

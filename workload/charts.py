@@ -73,10 +73,10 @@ def percent_range(spark, d):
 
 @query(
     "heatmap_range_lift",
-    f"WITH {TRAITS_SQL} SELECT DISTINCT 0.0::DOUBLE AS low, 2.5::DOUBLE AS high FROM cells",
+    f"WITH {TRAITS_SQL} SELECT DISTINCT 0.0::DOUBLE AS low, 2.0::DOUBLE AS high FROM cells",
 )
 def lift_range(spark, d):
-    return heatmap_range(trait_table(spark, d, "lift"), high=2.5)
+    return heatmap_range(trait_table(spark, d, "lift"))
 
 
 @query(
@@ -199,7 +199,9 @@ def totals_axis(spark, d):
     WITH {_TOP_SQL}
     SELECT pos, CASE WHEN (SELECT count(*) FROM sizes) > (SELECT count(*) FROM top)
            THEN ((SELECT count(*) FROM sizes) - (SELECT count(*) FROM top))
-                || ' combination(s) not shown (below 5 respondents or beyond the display cap).' END AS note
+                || CASE WHEN (SELECT count(*) FROM sizes) - (SELECT count(*) FROM top) = 1
+                   THEN ' combination is' ELSE ' combinations are' END
+                || ' left out: fewer than 5 answers each, or past the last column of the chart.' END AS note
     FROM top
     """,
 )

@@ -184,23 +184,40 @@ def counts_multi_drop(spark, d):
     return counts_multi(visits(spark, d), visit_flags(), min_percent=40.1, action="drop")
 
 
+def picks(spark, d):
+    """One row per visit and event type."""
+    events = table(spark, d, "events")
+    return events.select("user_id", F.to_date("ts").alias("day"), "event_type").distinct()
+
+
+def visit_count(spark, d):
+    return visits(spark, d).agg(F.count(F.lit(1))).scalar()
+
+
 @query(
     "counts_multi_long",
-    """
-    WITH c AS (
-        SELECT k.choice_pos, k.label, count(e.event_id) AS n,
-               (SELECT count(*) FROM customer) AS total
-        FROM (VALUES (0, 'click'), (1, 'error'), (2, 'purchase')) k(choice_pos, label)
-        LEFT JOIN events e ON e.event_type = k.label GROUP BY 1, 2)
+    f"""
+    WITH {PICKS_SQL}
     SELECT CAST(row_number() OVER (ORDER BY n DESC, choice_pos) AS INTEGER) AS pos,
            label, n AS count, n / total * 100.0::DOUBLE AS percent
-    FROM c
+    FROM pick_counts
     """,
 )
 def counts_multi_from_picks(spark, d):
-    total = table(spark, d, "customer").agg(F.count(F.lit(1))).scalar()
-    picks = table(spark, d, "events")
-    return counts_multi_long(picks, "event_type", ["click", "error", "purchase"], total, **OFF)
+    return counts_multi_long(picks(spark, d), "event_type", EVENT_TYPES, visit_count(spark, d), **OFF)
+
+
+@query(
+    "counts_multi_long_all_picks",
+    f"""
+    WITH {PICKS_SQL}
+    SELECT row_number() OVER (ORDER BY n DESC, label) AS pos, label, n AS count,
+           n / total * 100.0::DOUBLE AS percent
+    FROM pick_counts
+    """,
+)
+def counts_multi_of_all_picks(spark, d):
+    return counts_multi_long(picks(spark, d), "event_type", None, visit_count(spark, d), **OFF)
 
 
 @query(

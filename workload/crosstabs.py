@@ -141,3 +141,18 @@ def _register_multi(denominator: str, kind: str, value: str) -> None:
 _register_multi("rate", "rate_pct", "n / xn * 100.0::DOUBLE")
 _register_multi("composition", "composition_pct", "n / yn * 100.0::DOUBLE")
 _register_multi("lift", "lift", "(n * total) / (yn * xn)")
+
+
+@query(
+    "crosstab_many_labels",
+    """
+    WITH pairs AS (SELECT CAST(l_partkey AS VARCHAR) AS x, CAST(l_suppkey AS VARCHAR) AS y, count(*) AS n
+                   FROM lineitem GROUP BY 1, 2),
+    xs AS (SELECT x, sum(n) AS xn, row_number() OVER (ORDER BY sum(n) DESC, x) AS x_pos FROM pairs GROUP BY 1),
+    ys AS (SELECT y, row_number() OVER (ORDER BY sum(n) DESC, y) AS y_pos FROM pairs GROUP BY 1)
+    SELECT x_pos, x, y_pos, y, n AS count, n / xn * 100.0::DOUBLE AS value, 'rate_pct' AS cell_kind
+    FROM pairs JOIN xs USING (x) JOIN ys USING (y)
+    """,
+)
+def crosstab_of_many_labels(spark, d):
+    return crosstab(table(spark, d, "lineitem"), "l_partkey", "l_suppkey", normalize="x", dense=False)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tally.operators import (
+    UPGRADE_STAGES,
     Flow,
     Stages,
     flow_links,
@@ -11,6 +12,7 @@ from tally.operators import (
     name_collisions,
     staged_funnel,
 )
+from tally.sources import Survey
 from workload.registry import query, table, tenths
 
 STAGES = Stages(
@@ -165,3 +167,82 @@ def collisions(spark, d):
         F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string"))
     )
     return name_collisions(table(spark, d, "customer"), Flow("c_mktsegment", nation, "c_custkey"))
+
+
+UPGRADES = list(UPGRADE_STAGES.paths)
+_ANSWER_SQL = f"""
+    SELECT CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN 'Skipped' ELSE
+           {UPGRADES!r}[1 + (o_custkey + o_orderkey) % {len(UPGRADES)}] END AS answer FROM orders
+"""
+
+
+@query(
+    "staged_funnel_upgrades",
+    f"""
+    WITH answers AS ({_ANSWER_SQL}),
+    steps(link_pos, source, target, first, last) AS (VALUES
+        (1, 'All', 'Knew', 2, 7), (2, 'All', 'Didn''t know', 1, 1), (3, 'Knew', 'Upgraded', 3, 7),
+        (4, 'Knew', 'Did not upgrade', 2, 2), (5, 'Upgraded', 'No issues', 3, 3), (6, 'Upgraded', 'Minor', 4, 4),
+        (7, 'Upgraded', 'Moderate', 5, 5), (8, 'Upgraded', 'Severe (resolved)', 6, 6),
+        (9, 'Upgraded', 'Severe (stuck)', 7, 7))
+    SELECT CAST(row_number() OVER (ORDER BY link_pos) AS INTEGER) AS link_pos, source, target, n AS count,
+           CAST(n AS DOUBLE) AS value
+    FROM (SELECT link_pos, source, target, count(answer) AS n FROM steps JOIN answers
+          ON list_position({UPGRADES!r}, answer) BETWEEN first AND last GROUP BY 1, 2, 3)
+    WHERE n >= 5
+    """,
+)
+def funnel_of_upgrades(spark, d):
+    """The default stages, over orders as answers."""
+    options = F.array(*[F.lit(a) for a in UPGRADES])
+    answer = F.when(
+        (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F"), F.lit("Skipped")
+    ).otherwise(F.get(options, ((F.col("o_custkey") + F.col("o_orderkey")) % len(UPGRADES)).cast("int")))
+    return staged_funnel(table(spark, d, "orders"), answer)
+
+
+def _flow_sql(pairs: str) -> str:
+    return f"""
+    WITH pairs AS ({pairs}),
+    xf AS (SELECT x, min(first) AS x_first FROM pairs GROUP BY 1),
+    yf AS (SELECT y, min(first) AS y_first FROM pairs GROUP BY 1)
+    SELECT row_number() OVER (ORDER BY x_first, x, y_first, y) AS link_pos, x AS source, y AS target,
+           n AS count, CAST(n AS DOUBLE) AS value
+    FROM pairs JOIN xf USING (x) JOIN yf USING (y) WHERE n >= 5
+    """
+
+
+@query(
+    "flow_links_large_map",
+    _flow_sql("""
+        SELECT CASE WHEN l_suppkey % 3 = 0 THEN 'supplier ' || l_suppkey ELSE 'band ' || l_suppkey % 7 END AS x,
+               l_returnflag AS y, count(*) AS n, min(l_orderkey) AS first FROM lineitem GROUP BY 1, 2
+    """),
+)
+def links_with_a_large_map(spark, d):
+    """Labels grouped by a mapping of a thousand entries."""
+    supplier = F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string"))
+    bands = {f"supplier {i}": f"band {i % 7}" for i in range(1500) if i % 3}
+    return flow_links(table(spark, d, "lineitem"), supplier, "l_returnflag", id="l_orderkey", x_map=bands)
+
+
+@query(
+    "flow_links_numeric_order",
+    _flow_sql("""
+        SELECT 'segment ' || c_mktsegment AS x, 'nation ' || c_nationkey AS y, count(*) AS n, min(c_custkey) AS first
+        FROM customer GROUP BY 1, 2
+    """),
+)
+def links_in_order_of_arrival(spark, d):
+    """Respondents whose ids came as text: 9 arrived before 10."""
+    wide = table(spark, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("f0"),
+        F.concat(F.lit("segment "), "c_mktsegment").alias("f1"),
+        F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")).alias("f2"),
+    )
+    bindings = {
+        "segment": {"type": "single", "prompt": "Segment?", "fields": 1},
+        "nation": {"type": "single", "prompt": "Nation?", "fields": 2},
+    }
+    survey = Survey(wide.withColumn("respondent_id", F.col("f0").cast("bigint")), bindings)
+    return flow_links(survey.frame, survey.segment, survey.nation, id="respondent_id")

@@ -9,7 +9,7 @@ from tally.operators import (
     rank_distribution_family,
     rank_distribution_long,
 )
-from workload.registry import EVENT_TYPES, VISITS_SQL, query, visits
+from workload.registry import EVENT_TYPES, VISITS_SQL, query, table, visits
 
 BANDS = [(1, 1), (2, 3)]
 
@@ -114,3 +114,19 @@ def ranks_in_one_pass(spark, d):
 @query("borda_scores", f"SELECT DISTINCT item_pos, label, score FROM ({BANDED_SQL})")
 def scores(spark, d):
     return borda_scores(ranks_banded(spark, d))
+
+
+_ANY_PLACES = """
+    WITH visits AS (SELECT o_orderkey FROM orders),
+    places AS (SELECT p_brand AS label, l_linenumber - 2 AS p
+               FROM lineitem JOIN part ON p_partkey = l_partkey)
+"""
+
+
+@query("rank_distribution_long_any_position", _rank_sql([("#1", 1, 1), ("#2", 2, 2), ("#3", 3, 3)], head=_ANY_PLACES))
+def ranks_at_any_position(spark, d):
+    """Brands placed by line number less two: positions from -1 on, of which 1 to 3 are shown."""
+    parts = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    lines = table(spark, d, "lineitem").join(parts, "l_partkey")
+    total = table(spark, d, "orders").agg(F.count(F.lit(1))).scalar()
+    return rank_distribution_long(lines, F.col("l_linenumber") - 2, "p_brand", total, 3)
