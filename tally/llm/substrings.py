@@ -76,17 +76,26 @@ def paths_of(word: np.ndarray, first: np.ndarray, window: int, edge: int):
 
 
 def _paths(docs: DataFrame, window: int, edge: int) -> DataFrame:
+    """``edge, path, text_key, head, tail, again``: a row for each path of each text.
+
+    ``again`` marks paths that a batch holds twice. They are known to repeat before
+    anything is shuffled; the commonest passages are all among them.
+    """
+
     def work(batch, out: Emitter):
-        keys = batch.column("text_key").to_numpy()
+        keys, parts = batch.column("text_key").to_numpy(), []
         for words in words_of(batch.column("text")):
             text, head, tail, edges, path = paths_of(words.hash, words.first, window, edge)
-            out.add(
-                edge=signed(edges), path=signed(path), text_key=keys[words.rows][text],
-                head=head.astype(np.int32), tail=tail.astype(np.int32),
-            )
+            parts.append((edges, path, keys[words.rows][text], head, tail))
+        edges, path, text_key, head, tail = (np.concatenate(x) for x in zip(*parts))
+        _, at, n = np.unique(path, return_inverse=True, return_counts=True)
+        out.add(
+            edge=signed(edges), path=signed(path), text_key=text_key, head=head.astype(np.int32),
+            tail=tail.astype(np.int32), again=n[at] > 1,
+        )
 
     texts = docs.where("text IS NOT NULL").select("text", F.xxhash64("text").alias("text_key"))
-    return map_batches(texts, work, "edge bigint, path bigint, text_key bigint, head int, tail int")
+    return map_batches(texts, work, "edge bigint, path bigint, text_key bigint, head int, tail int, again boolean")
 
 
 def _unfolded(asked: DataFrame, window: int) -> DataFrame:
@@ -182,7 +191,10 @@ def without_repeats(
     single = unfolded.where("n = 1").join(stored(again, "again"), "window_key").select(
         "text_key", F.col("at").alias("head"), F.col("at").alias("tail")
     )
-    whole = paths.join(distinct.where("n > 1").select("path", "edge"), ["edge", "path"]).select("text_key", "head", "tail")
+    # Only paths that no batch has shown to repeat must be looked up.
+    place = ["text_key", "head", "tail"]
+    apart = paths.where("NOT again").join(distinct.where("n > 1").select("path", "edge"), ["edge", "path"])
+    whole = paths.where("again").select(place).unionByName(apart.select(place))
     ranges = whole.unionByName(single).groupBy("text_key").agg(F.collect_set(F.struct("head", "tail")).alias("ranges"))
     ranges = stored(ranges, "ranges")
     columns = [c for c in carry if c != "text"]
