@@ -13,7 +13,6 @@ from tally.operators.position import with_position
 from tally.operators.specs import (
     as_column,
     group_keys,
-    is_yes,
     kept_per_metric,
     name_column,
     named,
@@ -21,6 +20,7 @@ from tally.operators.specs import (
     pick,
     pick_order,
     stack,
+    yes_flags,
 )
 
 # Default privacy thresholds and the label of the combined bin.
@@ -137,8 +137,12 @@ def counts_single_family(df: DataFrame, metrics: Mapping[str, SingleCount]) -> D
     count descending, then by label.
     """
     names, specs = named(dict(metrics), "single-choice metric")
+    return single_bins(value_counts(df, specs), names, specs)
+
+
+def single_bins(tallied: DataFrame, names: Sequence[str], specs: Sequence[SingleCount]) -> DataFrame:
+    """Bins of :func:`counts_single_family` from its counted labels."""
     keys = group_keys(len(specs))
-    tallied = value_counts(df, specs)
     total = per_metric(tallied, F.sum("n"), len(specs))
     bins = suppress_rare(tallied, total, specs).select(
         *keys,
@@ -191,16 +195,22 @@ def counts_multi_family(df: DataFrame, metrics: Mapping[str, MultiCount]) -> Dat
     Returns ``(name, pos, label, count, percent)``.
     """
     names, specs = named(dict(metrics), "multi-select metric")
-    counters, questions = [], []
-    for q, metric in enumerate(specs):
-        slots = []
-        for i, (choice, column) in enumerate(metric.choices.items()):
-            slot = f"__q{q}_{i}"
-            counters.append(F.count_if(is_yes(df, column)).alias(slot))
-            slots.append((choice, slot))
-        questions.append(slots)
+    questions = multi_slots(specs)
+    flags = yes_flags(df, [column for metric in specs for column in metric.choices.values()])
+    slots = [slot for question in questions for _, slot in question]
+    counters = [F.count_if(flag).alias(slot) for flag, slot in zip(flags, slots)]
     row = df.agg(F.count(F.lit(1)).alias("__total"), *counters)
-    return _multi_bins(row.filter(F.col("__total") > 0), names, specs, questions)
+    return multi_bins(row, names, specs)
+
+
+def multi_slots(specs: Sequence[MultiCount]) -> list[list[tuple[str, str]]]:
+    """(choice, column of the one-row aggregate) per metric."""
+    return [[(choice, f"__q{q}_{i}") for i, choice in enumerate(m.choices)] for q, m in enumerate(specs)]
+
+
+def multi_bins(row: DataFrame, names: Sequence[str], specs: Sequence[MultiCount]) -> DataFrame:
+    """Bins from one row with ``__total`` and the picks of each choice; none without respondents."""
+    return _multi_bins(row.filter(F.col("__total") > 0), names, specs, multi_slots(specs))
 
 
 def _multi_bins(row: DataFrame, names, specs, questions) -> DataFrame:
@@ -326,8 +336,7 @@ def set_totals(df: DataFrame, choices: Mapping[str, str | Column]) -> DataFrame:
     """``(pos, label, count)`` per choice in choice order; unpicked choices show 0."""
     slots = [(choice, f"__n{i}") for i, choice in enumerate(choices)]
     counters = [
-        F.count_if(is_yes(df, column)).alias(slot)
-        for (_, slot), column in zip(slots, choices.values())
+        F.count_if(flag).alias(slot) for (_, slot), flag in zip(slots, yes_flags(df, list(choices.values())))
     ]
     rows = [
         F.struct(

@@ -16,7 +16,6 @@ from tally.operators.position import with_position
 from tally.operators.specs import (
     as_column,
     group_keys,
-    is_yes,
     kept_per_metric,
     name_column,
     named,
@@ -25,6 +24,7 @@ from tally.operators.specs import (
     pick_order,
     settled,
     stack,
+    yes_flags,
 )
 
 # How a cell's value is to be read.
@@ -79,8 +79,15 @@ def crosstab_family(df: DataFrame, metrics: Mapping[str, CrossTab], *, dense: bo
     cell, for questions with many labels.
     """
     names, specs = named(dict(metrics), "crosstab")
+    return crosstab_cells(_pair_counts(df, specs), names, specs, dense=dense)
+
+
+def crosstab_cells(
+    pairs: DataFrame, names: Sequence[str], specs: Sequence[CrossTab], *, dense: bool = True
+) -> DataFrame:
+    """Cells of :func:`crosstab_family` from its counted pairs."""
     keys = group_keys(len(specs))
-    pairs = settled(_pair_counts(df, specs), *keys, "x", "y")
+    pairs = settled(pairs, *keys, "x", "y")
 
     # Both label sets are numbered together: side 0 is x, side 1 is y.
     sides = F.array(
@@ -203,9 +210,12 @@ def crosstab_multi(
     """
     if denominator not in CELL_KINDS:
         raise ValueError(f"denominator must be one of {tuple(CELL_KINDS)}, not {denominator!r}")
-    cells = trait_counts(
-        df, choices, single, x_order=x_order, x_exclude=x_exclude
-    )
+    cells = trait_counts(df, choices, single, x_order=x_order, x_exclude=x_exclude)
+    return trait_values(cells, denominator)
+
+
+def trait_values(cells: DataFrame, denominator: str) -> DataFrame:
+    """Cells of :func:`crosstab_multi` from :func:`trait_counts`."""
     both, in_x, in_trait = F.col("count"), F.col("__x_n"), F.col("__y_n")
     if denominator == "rate":
         value = percent_of(both, in_x)
@@ -236,15 +246,24 @@ def trait_counts(
 ) -> DataFrame:
     """Counts behind :func:`crosstab_multi`: one scan, one conditional count per trait."""
     value = as_column(single)
-    traits = list(choices)
-    slots = [f"__t{i}" for i in range(len(traits))]
+    slots = trait_slots(len(choices))
     kept = keep_values(df, value, x_exclude)
-    flags = [is_yes(df, column).alias(slot) for slot, column in zip(slots, choices.values())]
+    flags = [flag.alias(slot) for slot, flag in zip(slots, yes_flags(df, list(choices.values())))]
     per_x = (
         kept.select(value.cast("string").alias("x"), *flags)
         .groupBy("x")
         .agg(F.count(F.lit(1)).alias("__x_n"), *[F.count_if(F.col(s)).alias(s) for s in slots])
     )
+    return trait_cells(per_x, list(choices), x_order)
+
+
+def trait_slots(count: int) -> list[str]:
+    return [f"__t{i}" for i in range(count)]
+
+
+def trait_cells(per_x: DataFrame, traits: Sequence[str], x_order: Sequence[str] | None) -> DataFrame:
+    """Placed cells from a row per x value: ``x``, its base ``__x_n`` and a count for each trait."""
+    slots = trait_slots(len(traits))
     # One row: the base and each trait's total.
     sums = F.struct(F.sum("__x_n").alias("total"), F.array(*[F.sum(s) for s in slots]).alias("traits"))
     base = per_x.agg(sums.alias("base")).scalar()

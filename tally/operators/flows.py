@@ -90,12 +90,27 @@ def staged_funnel(
     ``as_percent`` the value is the share of rows that have a path, to one decimal.
     """
     value = as_column(column)
+    answers = df.filter(value.isin(list(stages.paths))).select(value.alias("value"))
+    return funnel_links(answers, stages, min_count=min_count, as_percent=as_percent)
+
+
+def funnel_links(
+    answers: DataFrame, stages: Stages, *, min_count: int, as_percent: bool, weight: Column | None = None
+) -> DataFrame:
+    """Links of :func:`staged_funnel` from ``(value)`` rows that have a path.
+
+    ``weight`` tells how many answers a row stands for.
+    """
+    value = F.col("value")
     links = stages.links()
-    counters = [
-        F.count_if(value.isin(values)).alias(f"__l{i}") for i, (_, _, values) in enumerate(links)
-    ]
-    in_base = F.count_if(value.isin(list(stages.paths))).alias("__base")
-    row = df.filter(value.isin(list(stages.paths))).agg(in_base, *counters)
+
+    def number(condition: Column) -> Column:
+        if weight is None:
+            return F.count_if(condition)
+        return F.coalesce(F.sum(F.when(condition, weight)), F.lit(0).cast("bigint"))
+
+    counters = [number(value.isin(values)).alias(f"__l{i}") for i, (_, _, values) in enumerate(links)]
+    row = answers.agg(number(value.isin(list(stages.paths))).alias("__base"), *counters)
     rows = [
         F.struct(
             F.lit(source).alias("source"),
@@ -141,6 +156,10 @@ class Flow:
     as_percent: bool = False
 
 
+def flow_label(column: Column, mapping: Mapping[str, str] | None) -> Column:
+    return F.coalesce(map_values(column.cast("string"), mapping), F.lit(""))
+
+
 def _flow_pairs(df: DataFrame, flow: Flow) -> DataFrame:
     """(x, y, n, first): mapped pairs with their first-seen respondent id.
 
@@ -148,16 +167,13 @@ def _flow_pairs(df: DataFrame, flow: Flow) -> DataFrame:
     below the aggregation, which would give each branch a shuffle of its own.
     """
 
-    def label(column: Column, mapping: Mapping[str, str] | None) -> Column:
-        return F.coalesce(map_values(column.cast("string"), mapping), F.lit(""))
-
     x, y = as_column(flow.x), as_column(flow.y)
     kept = df.filter(x.isNotNull() & y.isNotNull())
     kept = keep_values(keep_values(kept, x, flow.exclude), y, flow.exclude)
     return (
         kept.select(
-            label(x, flow.x_map).alias("x"),
-            label(y, flow.y_map).alias("y"),
+            flow_label(x, flow.x_map).alias("x"),
+            flow_label(y, flow.y_map).alias("y"),
             as_column(flow.id).alias("id"),
         )
         .groupBy("x", "y")
@@ -185,14 +201,14 @@ def name_collisions(df: DataFrame, flow: Flow) -> DataFrame:
     return x_names.intersect(margins.filter(F.col("side") == 1).select("label"))
 
 
-def _surviving(df: DataFrame, flow: Flow) -> DataFrame:
+def _surviving(pairs: DataFrame, flow: Flow) -> DataFrame:
     """Pairs at or above the floor with both labels' first appearance and the base.
 
     A label used on both sides fails the query: it would close a cycle. The check
     runs on every pair, before the floor is applied. All branches read the same
     columns of the pairs and margins, so each is shuffled once.
     """
-    pairs = settled(_flow_pairs(df, flow), "x", "y")
+    pairs = settled(pairs, "x", "y")
     margins = _margins(pairs)
     per_label = margins.groupBy("label").agg(
         F.count(F.lit(1)).alias("sides"),
@@ -252,11 +268,14 @@ def flow_links(
     answers arrived, numbers as numbers.
     """
     flow = Flow(x, y, id, x_map, y_map, exclude, min_count, as_percent)
-    placed = with_position(
-        _surviving(df, flow), ["x_first", "x", "y_first", "y"], pos="link_pos"
-    )
+    return links_of_pairs(_flow_pairs(df, flow), flow)
+
+
+def links_of_pairs(pairs: DataFrame, flow: Flow) -> DataFrame:
+    """Links of :func:`flow_links` from counted pairs ``(x, y, n, first)``."""
+    placed = with_position(_surviving(pairs, flow), ["x_first", "x", "y_first", "y"], pos="link_pos")
     share = round_tenths(percent_of(F.col("n"), F.col("total")))
-    number = share if as_percent else F.col("n")
+    number = share if flow.as_percent else F.col("n")
     return placed.select(
         "link_pos",
         F.col("x").alias("source"),
@@ -279,6 +298,11 @@ def flow_nodes(
 ) -> DataFrame:
     """``(node_pos, node, side)``: x labels, then y labels, by first appearance."""
     flow = Flow(x, y, id, x_map, y_map, exclude, min_count)
+    return nodes_of_pairs(_flow_pairs(df, flow), flow)
+
+
+def nodes_of_pairs(pairs: DataFrame, flow: Flow) -> DataFrame:
+    """Nodes of :func:`flow_nodes` from counted pairs ``(x, y, n, first)``."""
     ends = F.array(
         *[
             F.struct(
@@ -293,7 +317,7 @@ def flow_nodes(
     # Only the first appearance is wanted; the maxima keep the shared columns in use.
     pinned = [F.max(c).alias(c) for c in ("label_n", "n", "first", "total")]
     nodes = (
-        _surviving(df, flow)
+        _surviving(pairs, flow)
         .select("n", "first", "total", F.inline(ends))
         .groupBy("side_no", "node")
         .agg(F.min("seen").alias("seen"), *pinned)

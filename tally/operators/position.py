@@ -64,7 +64,8 @@ def with_position(
     )
     group = ", ".join([*(f"`{c}`" for c in by), "__range"])
     partition = f"PARTITION BY {', '.join(f'`{c}`' for c in by)}" if by else ""
-    sequence = ", ".join(f"`{c}`" for c in order)
+    # The order is total without the hash, which is there for the shared shuffle only.
+    sequence = ", ".join([*(f"`{c}`" for c in order), "__hash"])
     count = F.count_if(F.col("__hash") >= 0) + F.count_if(F.col("__hash") < 0)
     # One row per group and range.
     sizes = ranged.groupBy(*by, "__range").agg(count.alias("__size"))

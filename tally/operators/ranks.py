@@ -51,9 +51,11 @@ def band_index(position: Column, bands: Sequence[Band] | None, positions: int) -
     return index
 
 
-def _band_counts(placed: DataFrame, specs, sizes) -> DataFrame:
+def _band_counts(placed: DataFrame, specs, sizes, weight: Column | None = None) -> DataFrame:
     """(metric, choice, base, ranked, one count per band) from single placements.
 
+    ``weight`` tells how many placements a row stands for.
+
     A row with ``asked`` stands for a respondent rather than a placement. ``base``
     counts those, so later filters test an aggregate and cannot slip below the
     shuffle. A placement outside all bands, at whatever position, is ranked only.
@@ -64,10 +66,16 @@ def _band_counts(placed: DataFrame, specs, sizes) -> DataFrame:
     banded = placed.withColumn(
         "__band", pick([band_index(F.col("position"), m.bands, n) for m, n in zip(specs, sizes)])
     )
-    per_band = [F.count_if(F.col("__band") == i).alias(f"__b{i}") for i in range(width)]
+
+    def number(condition: Column) -> Column:
+        if weight is None:
+            return F.count_if(condition)
+        return F.sum(F.when(condition, weight).otherwise(F.lit(0).cast("bigint")))
+
+    per_band = [number(F.col("__band") == i).alias(f"__b{i}") for i in range(width)]
     return banded.groupBy(*keys, "choice").agg(
-        F.count_if("asked").alias("base"),
-        F.count_if(~F.col("asked")).alias("ranked"),
+        number(F.col("asked")).alias("base"),
+        number(~F.col("asked")).alias("ranked"),
         *per_band,
     )
 
@@ -144,8 +152,15 @@ def rank_distribution_family(df: DataFrame, metrics: Mapping[str, RankCount]) ->
         .filter(F.col("asked") | (F.col("choice") != ""))
         .select(*group_keys(len(specs)), "asked", "position", "choice")
     )
+    return rank_segments(placed, names, specs)
+
+
+def rank_segments(
+    placed: DataFrame, names: Sequence[str], specs: Sequence[RankCount], weight: Column | None = None
+) -> DataFrame:
+    """Segments of :func:`rank_distribution_family` from ``(asked, position, choice)`` rows."""
     sizes = [len(m.ranks) for m in specs]
-    counted = _band_counts(placed, specs, sizes)
+    counted = _band_counts(placed, specs, sizes, weight)
     shared = [c for c in counted.columns if c == "ranked" or c.startswith("__b")]
     total = per_metric(counted, F.sum("base"), len(specs), pin=shared)
     return _segments(counted, total, names, specs, sizes)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.operators.position import with_position
-from tally.operators.specs import is_yes
+from tally.operators.specs import yes_flags
 
 # Default floor and display cap of the combination report.
 MIN_SIZE = 5
@@ -20,7 +20,7 @@ _SETS_PER_MASK = 62
 
 def combination_sizes(df: DataFrame, choices: Mapping[str, str | Column]) -> DataFrame:
     """``(members, size)`` of every non-empty exact membership, members in set order."""
-    flags = [F.coalesce(is_yes(df, column), F.lit(False)) for column in choices.values()]
+    flags = [F.coalesce(flag, F.lit(False)) for flag in yes_flags(df, list(choices.values()))]
     labels = [F.lit(choice) for choice in choices]
     masks: list[Column] = []
     for low in range(0, len(flags), _SETS_PER_MASK):
@@ -54,7 +54,11 @@ def set_combinations(
     ``dropped`` counts the distinct combinations that are not listed, because
     they are smaller than ``min_size`` or beyond ``max_combos``.
     """
-    sizes = combination_sizes(df, choices)
+    return largest_sizes(combination_sizes(df, choices), min_size=min_size, max_combos=max_combos)
+
+
+def largest_sizes(sizes: DataFrame, *, min_size: int, max_combos: int) -> DataFrame:
+    """Rows of :func:`set_combinations` from ``(members, size)``."""
     shown = F.least(F.count_if(F.col("size") >= min_size), F.lit(max_combos))
     dropped = sizes.agg((F.count(F.lit(1)) - shown).alias("dropped")).scalar()
     top = (
@@ -77,8 +81,13 @@ def combinations_dropped(
     max_combos: int = MAX_COMBOS,
 ) -> DataFrame:
     """One row ``(shown, dropped)``, also when no combination reaches the floor."""
+    return dropped_of_sizes(combination_sizes(df, choices), min_size=min_size, max_combos=max_combos)
+
+
+def dropped_of_sizes(sizes: DataFrame, *, min_size: int, max_combos: int) -> DataFrame:
+    """Row of :func:`combinations_dropped` from ``(members, size)``."""
     shown = F.least(F.count_if(F.col("size") >= min_size), F.lit(max_combos).cast("bigint"))
-    return combination_sizes(df, choices).agg(
+    return sizes.agg(
         shown.alias("shown"), (F.count(F.lit(1)) - shown).alias("dropped")
     )
 

@@ -87,12 +87,14 @@ def name_column(names: Sequence[str]) -> Column:
     return pick([F.lit(name) for name in names])
 
 
-def is_yes(df: DataFrame, column: str | Column) -> Column:
-    """A pick flag: boolean columns are taken as they are, others compare to Yes."""
-    value = as_column(column)
-    if df.select(value).schema[0].dataType.typeName() == "boolean":
-        return value
-    return value == F.lit("Yes")
+def yes_flags(df: DataFrame, columns: Sequence[str | Column]) -> list[Column]:
+    """Pick flags: boolean columns are taken as they are, others compare to Yes.
+
+    The schema is asked once for all of them.
+    """
+    values = [as_column(column) for column in columns]
+    kinds = [f.dataType.typeName() for f in df.select(*values).schema] if values else []
+    return [v if kind == "boolean" else v == F.lit("Yes") for v, kind in zip(values, kinds)]
 
 
 def named(metrics: dict, what: str) -> tuple[list[str], list]:

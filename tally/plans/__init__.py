@@ -9,6 +9,9 @@ from tally.plans.report import (
     TraitTab,
     build_report,
     chart_options,
+    merged_counts,
+    report_counts,
+    report_of_counts,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -1,15 +1,16 @@
-"""Declarative reports: rows of charts, evaluated in one pass per metric family.
-
-A report names its metrics; it does not run them one by one. All single-choice
-counts share one scan, as do all multi-select counts, all rankings and all
-crosstabs; a flow, a funnel, a set chart or a trait table takes one each, and
-trait tables over the same questions share it. The result is one nested JSON document. A chart's data is what the
-page displays, so the document is meant for metrics with a displayable number of
-labels; metric frames of any size are written with :func:`write_frames`.
+"""Declarative reports: rows of charts, all counted in one pass.
+
+Every metric of a report is a count over (metric, key, key) with the first id seen.
+``report_counts`` stacks all of them and aggregates once, whatever the number of charts;
+everything after reads that small table. Counts of several inputs add up, so a growing
+survey keeps the counts of its parts. The result is one nested JSON document. A chart's
+data is what the page displays, so the document is meant for metrics with a displayable
+number of labels; metric frames of any size are written with :func:`write_frames`.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -27,31 +28,35 @@ from tally.operators.charts import (
     upset_set_names,
     upset_totals_axis,
 )
-from tally.operators.counts import (
-    MultiCount,
-    SingleCount,
-    counts_multi_family,
-    counts_single_family,
+from tally.operators.counts import MultiCount, SingleCount, multi_bins, multi_slots, single_bins
+from tally.operators.crosstabs import (
+    LIFT,
+    CrossTab,
+    crosstab_cells,
+    trait_cells,
+    trait_slots,
+    trait_values,
 )
-from tally.operators.crosstabs import LIFT, CrossTab, crosstab_family, crosstab_multi
 from tally.operators.flows import (
     UPGRADE_STAGES,
     Flow,
     Stages,
-    flow_links,
-    flow_nodes,
-    staged_funnel,
+    flow_label,
+    funnel_links,
+    links_of_pairs,
+    nodes_of_pairs,
 )
-from tally.operators.ranks import RankCount, rank_distribution_family
+from tally.operators.ranks import RankCount, rank_segments
 from tally.operators.sets import (
     MAX_COMBOS,
     MIN_SIZE,
-    combination_sizes,
-    combinations_dropped,
-    set_combinations,
+    dropped_of_sizes,
+    largest_sizes,
     totals_of_sizes,
 )
+from tally.operators.specs import METRIC, as_column, yes_flags
 from tally.sources.reports import DEFAULT_SERIES, SCHEMA_VERSION
+from tally.storage import stored
 
 
 
@@ -301,26 +306,17 @@ def _rank_options(distribution: DataFrame) -> DataFrame:
     return _options(segments, yAxis=_axis(labels), series=series)
 
 
-def _sankey_options(df: DataFrame, key: str, metric: Funnel | Flow) -> DataFrame:
+def _sankey_options(counts: DataFrame, key: str, metric: Funnel | Flow) -> DataFrame:
     if isinstance(metric, Funnel):
-        links = staged_funnel(
-            df,
-            metric.column,
-            metric.stages,
-            min_count=metric.min_count,
-            as_percent=metric.as_percent,
+        links = funnel_links(
+            counts.select(F.col("k1").alias("value"), "n"), metric.stages,
+            min_count=metric.min_count, as_percent=metric.as_percent, weight=F.col("n"),
         )
         nodes = None
     else:
-        shared = {
-            "id": metric.id,
-            "x_map": metric.x_map,
-            "y_map": metric.y_map,
-            "exclude": metric.exclude,
-            "min_count": metric.min_count,
-        }
-        links = flow_links(df, metric.x, metric.y, as_percent=metric.as_percent, **shared)
-        nodes = flow_nodes(df, metric.x, metric.y, **shared).select("node_pos", "node")
+        pairs = counts.select(F.col("k1").alias("x"), F.col("k2").alias("y"), "n", "first")
+        links = links_of_pairs(pairs, metric)
+        nodes = nodes_of_pairs(pairs, metric).select("node_pos", "node")
     row = links.agg(_ordered(["link_pos"], "source", "target", "value").alias("links"))
     if nodes is None:
         # Declared nodes that a surviving link touches, read off the links themselves.
@@ -340,16 +336,18 @@ def _sankey_options(df: DataFrame, key: str, metric: Funnel | Flow) -> DataFrame
     return _options(keyed, series=F.array(series))
 
 
-def _upset_options(df: DataFrame, key: str, metric: Combinations) -> DataFrame:
+def _upset_options(counts: DataFrame, key: str, metric: Combinations) -> DataFrame:
     sets, codes = list(metric.choices), metric.codes
     limits = {"min_size": metric.min_size, "max_combos": metric.max_combos}
-    combos = set_combinations(df, metric.choices, **limits)
-    totals = totals_of_sizes(combination_sizes(df, metric.choices), sets)
+    members = [F.when(F.substring("k1", i + 1, 1) == "1", F.lit(label)) for i, label in enumerate(sets)]
+    sizes_ = counts.select(F.array_compact(F.array(*members)).alias("members"), F.col("n").alias("size"))
+    combos = largest_sizes(sizes_, **limits)
+    totals = totals_of_sizes(sizes_, sets)
     sizes = upset_combo_names(combos, codes).agg(_ordered(["col"], "name", "size").alias("v"))
     dots = upset_matrix(combos, sets).agg(_ordered(["col", "row"], "filled").alias("v"))
     spans = upset_connectors(combos, sets).agg(_ordered(["col"], "min_row", "max_row").alias("v"))
     rows = upset_set_names(totals, codes).agg(_ordered(["row"], "code", "name", "total").alias("v"))
-    dropped = combinations_dropped(df, metric.choices, **limits).select("dropped").scalar()
+    dropped = dropped_of_sizes(sizes_, **limits).select("dropped").scalar()
     frame = (
         sizes.withColumnRenamed("v", "combos")
         .withColumn("dots", dots.scalar())
@@ -406,49 +404,170 @@ def _stack(frames: Sequence[DataFrame]) -> DataFrame:
     return stacked
 
 
-def chart_options(df: DataFrame, report: Report) -> DataFrame:
-    """``(key, option)``: the data of every chart that has any, as JSON text."""
+# --- counts ----------------------------------------------------------------
+
+
+def _numbered(report: Report) -> tuple[dict[str, Chart], list[object], dict[str, int]]:
+    """Charts by key, the distinct metrics, and the number of each chart's metric."""
     charts = report.charts()
     if not charts:
         raise ValueError("the report has no charts")
+    found: dict[int, int] = {}
+    metrics: list[object] = []
+    numbers = {}
+    for key, chart in charts.items():
+        metric = chart.metric.bins if isinstance(chart.metric, Likert) else chart.metric
+        if id(metric) not in found:
+            found[id(metric)] = len(metrics)
+            metrics.append(metric)
+        numbers[key] = found[id(metric)]
+    return charts, metrics, numbers
 
-    def of(*types: type) -> dict[str, Chart]:
-        return {k: c for k, c in charts.items() if isinstance(c.metric, types)}
 
-    def metrics(chosen: Mapping[str, Chart]) -> dict[str, object]:
-        return {k: c.metric for k, c in chosen.items()}
+def _allowed(value: Column, exclude: Sequence[str] | None) -> Column:
+    """Whether a value is counted; with a list of exclusions null is not."""
+    return F.coalesce(~value.isin(list(exclude)), F.lit(False)) if exclude else F.lit(True)
+
 
+def _count_rows(metric: object, flags: Sequence[Column]) -> list[tuple]:
+    """(kept, key, key, id) of the rows that one input row adds to a metric.
+
+    A row without a second key, or without any, is the base that shares refer to.
+    """
+    none, yes = F.lit(None).cast("string"), F.lit(True)
+    if isinstance(metric, SingleCount):
+        value = as_column(metric.column)
+        return [(_allowed(value, metric.exclude), value.cast("string"), none, None)]
+    if isinstance(metric, MultiCount):
+        picks = [(F.coalesce(f, F.lit(False)), F.lit(str(i)), none, None) for i, f in enumerate(flags)]
+        return [(yes, none, none, None), *picks]
+    if isinstance(metric, RankCount):
+        placed = [
+            (F.coalesce(as_column(r) != "", F.lit(False)), as_column(r).cast("string"), F.lit(str(p)), None)
+            for p, r in enumerate(metric.ranks, start=1)
+        ]
+        return [(yes, none, none, None), *placed]
+    if isinstance(metric, CrossTab):
+        x, y = as_column(metric.x), as_column(metric.y)
+        kept = _allowed(x, metric.x_exclude) & _allowed(y, metric.y_exclude)
+        return [(kept, x.cast("string"), y.cast("string"), None)]
+    if isinstance(metric, TraitTab):
+        x = as_column(metric.single)
+        kept, label = _allowed(x, metric.x_exclude), x.cast("string")
+        traits = [(kept & F.coalesce(f, F.lit(False)), label, F.lit(str(i)), None) for i, f in enumerate(flags)]
+        return [(kept, label, none, None), *traits]
+    if isinstance(metric, Funnel):
+        value = as_column(metric.column).cast("string")
+        return [(F.coalesce(value.isin(list(metric.stages.paths)), F.lit(False)), value, none, None)]
+    if isinstance(metric, Flow):
+        x, y = as_column(metric.x), as_column(metric.y)
+        kept = x.isNotNull() & y.isNotNull() & _allowed(x, metric.exclude) & _allowed(y, metric.exclude)
+        return [(kept, flow_label(x, metric.x_map), flow_label(y, metric.y_map), as_column(metric.id))]
+    picked = [F.coalesce(f, F.lit(False)) for f in flags]
+    bits = F.concat(*[F.when(f, F.lit("1")).otherwise(F.lit("0")) for f in picked])
+    return [(F.array_contains(F.array(*picked), True), bits, none, None)]
+
+
+def report_counts(df: DataFrame, report: Report) -> DataFrame:
+    """``(metric, k1, k2, n, first)``: everything the report's charts are made of.
+
+    One scan and one shuffle with partial aggregation, for any number of charts. Add up
+    ``n`` and take the least ``first`` to merge the counts of several inputs. Ids of
+    flows must be numbers.
+    """
+    _, metrics, _ = _numbered(report)
+    choices = [list(getattr(m, "choices", {}).values()) for m in metrics]
+    flags = iter(yes_flags(df, [c for own in choices for c in own]))
+    cells: list[Column] = []
+    count = 0
+    for number, (metric, own) in enumerate(zip(metrics, choices)):
+        for kept, k1, k2, first in _count_rows(metric, [next(flags) for _ in own]):
+            first = F.lit(None) if first is None else first
+            cells += [F.lit(number), kept, k1, k2, first.cast("decimal(38,0)")]
+            count += 1
+    stacked = df.select(F.stack(F.lit(count), *cells).alias("metric", "kept", "k1", "k2", "id"))
+    return merged_counts(stacked.filter("kept").withColumn("n", F.lit(1).cast("bigint")).withColumnRenamed("id", "first"))
+
+
+def merged_counts(counts: DataFrame) -> DataFrame:
+    """Counts of several inputs as one."""
+    return counts.groupBy("metric", "k1", "k2").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+
+
+def _family(counts: DataFrame, numbers: Sequence[int]) -> DataFrame:
+    """Counts of some metrics, numbered by their place in the family where it has several."""
+    if len(numbers) == 1:
+        return counts.filter(F.col("metric") == numbers[0])
+    # A metric that several charts show stands once for each.
+    places: dict[int, list[int]] = {}
+    for place, number in enumerate(numbers):
+        places.setdefault(number, []).append(place)
+    of = F.lit(None).cast("array<int>")
+    for number, own in places.items():
+        of = F.when(F.col("metric") == number, F.array(*[F.lit(p) for p in own])).otherwise(of)
+    kept = counts.filter(F.col("metric").isin(list(places)))
+    return kept.withColumn(METRIC, F.explode(of)).withColumn(METRIC, F.coalesce(METRIC, F.lit(0)))
+
+
+def chart_options(counts: DataFrame, report: Report) -> DataFrame:
+    """``(key, option)``: the data of every chart that has any, as JSON text, from its counts."""
+    charts, metrics, numbers = _numbered(report)
     frames = []
-    if singles := of(SingleCount, Likert):
-        counted = {
-            k: c.metric.bins if isinstance(c.metric, Likert) else c.metric
-            for k, c in singles.items()
-        }
-        frames.append(_bar_options(counts_single_family(df, counted), singles))
+
+    def of(*types: type) -> dict[str, Chart]:
+        return {k: c for k, c in charts.items() if isinstance(metrics[numbers[k]], types)}
+
+    def family(chosen: Mapping[str, Chart]) -> tuple[DataFrame, list[str], list]:
+        own = [numbers[k] for k in chosen]
+        return _family(counts, own), list(chosen), [metrics[number] for number in own]
+
+    def keyed(frame: DataFrame, *columns: Column) -> DataFrame:
+        return frame.select(*[c for c in frame.columns if c == METRIC], *columns)
+
+    k1, k2, n = F.col("k1"), F.col("k2"), F.col("n")
+    if singles := of(SingleCount):
+        rows, names, specs = family(singles)
+        frames.append(_bar_options(single_bins(keyed(rows, k1.alias("label"), n), names, specs), singles))
     if multis := of(MultiCount):
-        frames.append(_bar_options(counts_multi_family(df, metrics(multis)), multis))
-    if ranks := metrics(of(RankCount)):
-        frames.append(_rank_options(rank_distribution_family(df, ranks)))
+        rows, names, specs = family(multis)
+        place = F.col(METRIC) if len(specs) > 1 else F.lit(0)
+        picks = [
+            F.coalesce(F.sum(F.when((place == q) & (k1 == str(i)), n)), F.lit(0).cast("bigint")).alias(slot)
+            for q, slots in enumerate(multi_slots(specs))
+            for i, (_, slot) in enumerate(slots)
+        ]
+        base = F.coalesce(F.sum(F.when((place == 0) & k1.isNull(), n)), F.lit(0).cast("bigint"))
+        frames.append(_bar_options(multi_bins(rows.agg(base.alias("__total"), *picks), names, specs), multis))
+    if ranks := of(RankCount):
+        rows, names, specs = family(ranks)
+        placed = keyed(rows, k2.isNull().alias("asked"), k2.cast("int").alias("position"), k1.alias("choice"), n)
+        frames.append(_rank_options(rank_segments(placed, names, specs, weight=n)))
     if tables := of(CrossTab):
-        frames.append(_table_options(crosstab_family(df, metrics(tables)), tables))
+        rows, names, specs = family(tables)
+        pairs = keyed(rows, k1.alias("x"), k2.alias("y"), n)
+        frames.append(_table_options(crosstab_cells(pairs, names, specs), tables))
     if tabs := of(TraitTab):
-        cells = [
-            crosstab_multi(
-                df,
-                c.metric.choices,
-                c.metric.single,
-                denominator=c.metric.denominator,
-                x_order=c.metric.x_order,
-                x_exclude=c.metric.x_exclude,
-            ).withColumn("name", F.lit(k))
-            for k, c in tabs.items()
-        ]
+        cells = [_trait_table(counts.filter(F.col("metric") == numbers[k]), k, c.metric) for k, c in tabs.items()]
         frames.append(_table_options(_stack(cells), tabs))
-    frames += [_sankey_options(df, k, c.metric) for k, c in of(Funnel, Flow).items()]
-    frames += [_upset_options(df, k, c.metric) for k, c in of(Combinations).items()]
+    for key, chart in of(Funnel, Flow).items():
+        frames.append(_sankey_options(counts.filter(F.col("metric") == numbers[key]), key, chart.metric))
+    for key, chart in of(Combinations).items():
+        frames.append(_upset_options(counts.filter(F.col("metric") == numbers[key]), key, chart.metric))
     return _stack(frames)
 
 
+def _trait_table(counts: DataFrame, key: str, metric: TraitTab) -> DataFrame:
+    n, trait = F.col("n"), F.col("k2")
+    sums = [
+        F.coalesce(F.sum(F.when(trait == str(i), n)), F.lit(0).cast("bigint")).alias(slot)
+        for i, slot in enumerate(trait_slots(len(metric.choices)))
+    ]
+    base = F.coalesce(F.sum(F.when(trait.isNull(), n)), F.lit(0).cast("bigint"))
+    per_x = counts.groupBy(F.col("k1").alias("x")).agg(base.alias("__x_n"), *sums)
+    cells = trait_cells(per_x, list(metric.choices), metric.x_order)
+    return trait_values(cells, metric.denominator).withColumn("name", F.lit(key))
+
+
 # --- the document ----------------------------------------------------------
 
 
@@ -456,9 +575,34 @@ def _text(value: str | None) -> Column:
     return F.lit(value).cast("string")
 
 
+def _empty_option(chart: Chart) -> str:
+    """The option of a chart without data: the axes and series of its kind, empty."""
+    axis = {"type": "category", "data": []}
+
+    def series(*kinds: str) -> list[dict]:
+        return [{"type": kind, "data": []} for kind in kinds]
+
+    if chart.kind == "likert":
+        groups = {"positive": chart.metric.positive, "negative": chart.metric.negative, "neutral": chart.metric.neutral}
+        bars = [
+            {"name": label, "type": "bar", "stack": "likert", "group": group, "data": [0.0]}
+            for group, labels in groups.items() for label in labels
+        ]
+        return json.dumps({"series": bars})
+    low, high = 0.0 if chart.low is None else float(chart.low), 100.0 if chart.high is None else float(chart.high)
+    options = {
+        "bar": {"yAxis": axis, "series": series("bar")},
+        "lollipop": {"yAxis": axis, "series": series("bar", "pictorialBar")},
+        "heatmap": {"xAxis": axis, "yAxis": axis, "visualMap": {"min": low, "max": high}, "series": series("heatmap")},
+        "line": {"xAxis": axis, "unit": "%", "series": []},
+        "rank": {"yAxis": axis, "series": []},
+    }
+    return json.dumps(options.get(chart.kind, {}))
+
+
 def _chart_node(key: str, chart: Chart) -> Column:
     """A chart as VARIANT; height, caption and key appear only when set."""
-    option = F.coalesce(F.try_element_at("__options", F.lit(key)), F.lit("{}"))
+    option = F.coalesce(F.try_element_at("__options", F.lit(key)), F.lit(_empty_option(chart)))
     caption = chart.caption
     if isinstance(chart.metric, Combinations) and caption is None:
         caption = upset_key(chart.metric.codes)
@@ -509,13 +653,23 @@ def build_report(
 ) -> DataFrame:
     """The report as one row ``(series, year, document)``, ``document`` being JSON.
 
+    Counts ``df`` once, into the shared folder, and makes all charts from the counts.
+    """
+    return report_of_counts(stored(report_counts(df, report), "report-counts"), report, commentary)
+
+
+def report_of_counts(
+    counts: DataFrame, report: Report, commentary: DataFrame | None = None
+) -> DataFrame:
+    """The report as :func:`build_report` gives it, from :func:`report_counts`.
+
     Keys come in a fixed order. ``note`` and ``intro_*`` stay as null, optional
     chart fields are left out. ``commentary`` is ``(section_id, body)``; a row
     that brings no commentary of its own must have a section there. The two
     lookup maps hold one entry per chart and per report row.
     """
     options = F.map_from_entries(F.collect_list(F.struct("key", "option")))
-    base = chart_options(df, report).agg(options.alias("__options"))
+    base = chart_options(counts, report).agg(options.alias("__options"))
     if commentary is None:
         notes = F.lit(None).cast("map<string,string>")
     else:

@@ -1,8 +1,8 @@
 """Live mode: recompute when new response files arrive.
 
 ``stream_counts`` keeps running counts as streaming state, one row per metric and
-label. ``start_live_report`` lands each micro-batch and rebuilds the report over
-everything landed so far, as a rerun of the whole batch would.
+label. ``start_live_report`` counts each micro-batch once, keeps its counts and
+rebuilds the report from the counts of all of them, as a rerun over all files would.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tally.operators.counts import SingleCount, value_counts
 from tally.operators.specs import name_column, named
-from tally.plans.report import Report, build_report
+from tally.plans.report import Report, merged_counts, report_counts, report_of_counts
 from tally.sources.catalog import bind_questions, header_frame
 from tally.sources.reports import write_report
 from tally.sources.responses import RESPONDENT, Survey, comparable, csv_options, header_schema
@@ -77,21 +77,23 @@ def start_live_report(
 ) -> StreamingQuery:
     """Rebuild and write the report whenever response files arrive in ``folder``.
 
-    A micro-batch is written to its own folder under ``landed``, so a batch that
-    is run again after a failure replaces itself. ``respondent_id`` is the batch
-    and the row in it, which orders respondents by arrival. With ``once`` the
-    query stops after the files present now.
+    The counts of a micro-batch are written to a folder of their own under ``landed``,
+    so a batch that is run again after a failure replaces itself; no response is read
+    twice. ``respondent_id`` is a number made of the batch and the row in it, which
+    orders respondents by arrival. With ``once`` the query stops after the files
+    present now. A changed report needs a new ``landed`` folder.
     """
     bindings = bind_questions(catalog, header_frame(spark, headers))
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("row", F.monotonically_increasing_id())
-        numbered.write.mode("overwrite").parquet(f"{landed}/batch={batch_id}")
-        everything = batch.sparkSession.read.parquet(landed).withColumn(
-            RESPONDENT, F.struct("batch", "row")
-        )
-        survey = Survey(everything, bindings)
-        write_report(build_report(everything, report_of(survey), commentary), output)
+        row = F.monotonically_increasing_id().cast("decimal(38,0)")
+        arrival = row + F.lit(batch_id).cast("decimal(38,0)") * F.lit(2**63).cast("decimal(38,0)")
+        survey = Survey(batch.withColumn(RESPONDENT, arrival.cast("decimal(38,0)")), bindings)
+        report = report_of(survey)
+        counts = report_counts(survey.frame, report)
+        counts.write.mode("overwrite").parquet(f"{landed}/batch={batch_id}")
+        everything = merged_counts(batch.sparkSession.read.schema(counts.schema).parquet(landed))
+        write_report(report_of_counts(everything, report, commentary), output)
 
     writer = (
         stream_fields(spark, folder, headers, multi_line=multi_line)

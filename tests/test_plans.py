@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from tally.operators import (
     CrossTab,
+    Flow,
     MultiCount,
     RankCount,
     SingleCount,
+    Stages,
     counts_multi_family,
     counts_single,
     counts_single_family,
@@ -22,6 +24,16 @@ from tally.operators import (
     set_combinations,
     staged_funnel,
 )
+from tally.plans import (
+    Chart,
+    Combinations,
+    Funnel,
+    Report,
+    ReportRow,
+    ReportSection,
+    TraitTab,
+    report_counts,
+)
 
 SF_DIR = "/root/testdata/sf0.001"
 OFF = {"min_percent": None, "min_count": None}
@@ -112,3 +124,37 @@ def test_invariants(orders, lines):
     independent = lines.select(F.explode(F.array(F.lit("a"), F.lit("b"))).alias("s"), "l_returnflag")
     lift = crosstab_multi(independent, flags(), "s", denominator="lift")
     assert all(r.value == pytest.approx(1) for r in lift.collect())
+
+
+def test_a_report_scans_its_input_once(spark, orders, lines):
+    """However many charts there are; the charts themselves read the counts."""
+    flagged = lines.select("l_orderkey", "l_returnflag", "l_linestatus")
+    traits = flags()
+    charts = [
+        Chart("bar", SingleCount("l_linestatus")), Chart("bar", MultiCount(traits)),
+        Chart("rank", RankCount(["l_returnflag", "l_linestatus"])),
+        Chart("heatmap", CrossTab("l_returnflag", "l_linestatus")),
+        Chart("line", TraitTab(traits, "l_linestatus", "rate")), Chart("upset", Combinations(traits)),
+        Chart("sankey", Funnel("l_linestatus", Stages(("a", "b"), {"O": ("a", "b")}))),
+        Chart("sankey", Flow("l_returnflag", "l_linestatus", "l_orderkey")),
+    ]
+    for times in (1, 6):
+        rows = [ReportRow(f"r{i}", "t", "q", charts, commentary="") for i in range(times)]
+        counts = report_counts(flagged, Report(2025, "t", [ReportSection("s", "s", rows)]))
+        operators = executed_operators(counts)
+        assert operators["FileSourceScanExec"] == 1 and operators["ShuffleExchangeExec"] == 1
+        assert nested_loops(operators) == 0
+
+
+def test_plans_with_generated_code(spark, orders):
+    """The other tests interpret their plans; one family with whole-stage code gives the same rows."""
+    def rows():
+        family = {"a": SingleCount("o_orderpriority"), "b": SingleCount("o_orderstatus", **OFF)}
+        return sorted(map(tuple, counts_single_family(orders, family).collect()))
+
+    interpreted = rows()
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    try:
+        assert rows() == interpreted
+    finally:
+        spark.conf.set("spark.sql.codegen.wholeStage", "false")
