@@ -226,7 +226,7 @@ class Vocabulary:
         return raw.removeprefix(b" ").decode("utf-8", "replace")
 
 
-def encoded(docs: DataFrame, vocabulary: Vocabulary, rows: int = 1024) -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: Vocabulary, rows: int = 256) -> DataFrame:
     """``doc_id, ids`` of each row of ``docs(doc_id, text, ...)``, from its whole text.
 
     A null text has null ids, an empty one none. A marker in a text counts as a space. The
@@ -250,14 +250,23 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, rows: int = 1024) -> DataFr
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, struct)
 
 
-def decoded(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``doc_id, ids, text`` of each row of ``rows(doc_id, ids, ...)``; null ids give a null text."""
+def decoded(encoded_rows: DataFrame, vocabulary: Vocabulary, rows: int = 256) -> DataFrame:
+    """``doc_id, ids, text`` of each row of ``encoded_rows(doc_id, ids, ...)``; null ids give a null text."""
     struct = schema_of("doc_id bigint, ids array<int>, text string")
 
     def run(batches):
         for batch in batches:
-            texts = [None if ids is None else vocabulary.decode(ids) for ids in batch.column("ids").to_pylist()]
-            columns = [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"])
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                ids = part.column("ids")
+                null = ids.is_null().to_pylist()
+                ends = np.cumsum([n or 0 for n in ids.value_lengths().to_pylist()]).tolist()
+                values = ids.flatten().to_numpy()
+                texts = [
+                    None if none else vocabulary.decode(values[a:b].tolist())
+                    for none, a, b in zip(null, [0, *ends], ends)
+                ]
+                columns = [part.column("doc_id"), ids, pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"])
 
-    return rows.select(F.col("doc_id").cast("bigint"), "ids").mapInArrow(run, struct)
+    return encoded_rows.select(F.col("doc_id").cast("bigint"), "ids").mapInArrow(run, struct)
