@@ -1,27 +1,5 @@
 """Intermediate tables in the folder that the driver and all executors share."""
 
-from __future__ import annotations
+from tally.storage import shared_folder, stored
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-_SETTING = "spark.checkpoint.dir"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a new temporary folder only where none is set."""
-    folder = spark.conf.get(_SETTING, None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tally-")
-        spark.conf.set(_SETTING, folder)
-    return folder.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame once and read it back: its lineage ends at files that outlive executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["shared_folder", "stored"]
