@@ -29,24 +29,28 @@ HEADLINE = (
     "counts_multi_family",
     "set_totals",
     "crosstab_x",
+    "crosstab_family",
+    "crosstab_many_labels",
     "crosstab_multi_lift",
     "rank_distribution_banded",
     "rank_distribution_family",
     "set_combinations",
     "staged_funnel_percent",
     "flow_links_percent",
+    "flow_links_many_labels",
     "normalize_yes_no",
     "extract_semver_documents",
     "normalize_text",
     "split_sections",
     "report_index",
+    "report_document",
 )
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
