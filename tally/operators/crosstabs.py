@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.functions import check_order, keep_values, ordinal_rank, percent_of
+from tally.functions import keep_values, ordinal_rank, percent_of
 from tally.operators.position import with_position
 from tally.operators.specs import (
     as_column,

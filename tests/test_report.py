@@ -11,7 +11,6 @@ from tally.operators import (
     RankCount,
     SingleCount,
     bar_series,
-    counts_multi,
     counts_single,
     crosstab,
     crosstab_multi,
