@@ -320,6 +320,10 @@ def test_reader_defaults_and_version(spark, tmp_path):
     (tmp_path / "good.json").write_text(json.dumps(good))
     row = read_reports(spark, str(tmp_path / "good.json")).first()
     assert row.series == "community" and row.sections[0].rows[0].wide is False
+    (tmp_path / "good.json").write_text(json.dumps(good, indent=2) + "\n")
+    assert read_reports(spark, str(tmp_path / "good.json")).first().title == "Old"
+    (tmp_path / "lines.json").write_text(json.dumps(good) + "\n" + json.dumps({**good, "year": 2021}) + "\n")
+    assert read_reports(spark, str(tmp_path / "lines.json"), multi_line=False).count() == 2
     (tmp_path / "bad.json").write_text(json.dumps({**good, "schema_version": 2}))
     with pytest.raises(Exception, match="unsupported report version 2"):
         read_reports(spark, str(tmp_path / "bad.json")).collect()
