@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tally.llm import quality
 from tally.llm.lines import without_later_lines
-from tally.llm.minhash import Banding, one_of_each
+from tally.llm.minhash import Banding, first_of_each
 from tally.llm.packing import Sizes, best_fit
 from tally.llm.queries import held_out, table
 from tally.llm.storage import stored
@@ -42,8 +42,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return one_of_each(docs, Banding()).select(COLUMNS)
+    """One document of each group of near-duplicates stays, also where rows repeat or have no id."""
+    return first_of_each(docs, Banding()).select(COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

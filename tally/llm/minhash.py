@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tally.llm.components import components
-from tally.llm.groups import Emitter, map_batches, map_groups
+from tally.llm.groups import Emitter, carried, map_batches, map_groups
 from tally.llm.storage import stored
 from tally.llm.words import U64, chained, mixed, shingles, signed, words_of
 
@@ -59,8 +59,8 @@ def _minima(values: np.ndarray, count: int) -> np.ndarray:
     return least
 
 
-def signatures(docs: DataFrame, banding: Banding) -> DataFrame:
-    """``doc_id, row_key, n_shingles, set_key, halves`` per row; no key for an empty set.
+def signatures(docs: DataFrame, banding: Banding, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, row_key, n_shingles, set_key, halves, *carry`` per row; no key for an empty set.
 
     ``set_key`` stands for the shingle set (64 bits), ``row_key`` for the row's id and text.
     """
@@ -89,14 +89,12 @@ def signatures(docs: DataFrame, banding: Banding) -> DataFrame:
                 n_shingles=np.array(n, np.int64),
                 set_key=set_key,
                 halves=halves,
+                **carried(batch, list(carry), words.rows),
             )
 
-    columns = docs.select(F.col("doc_id").cast("bigint"), "text", _row_key())
-    return map_batches(
-        columns,
-        work,
-        "doc_id bigint, row_key bigint, n_shingles bigint, set_key bigint, halves array<bigint>",
-    )
+    columns = docs.select(F.col("doc_id").cast("bigint"), "text", _row_key(), *carry)
+    schema = "doc_id bigint, row_key bigint, n_shingles bigint, set_key bigint, halves array<bigint>"
+    return map_batches(columns, work, ", ".join([schema, *(f"{c} bigint" for c in carry)]))
 
 
 def candidate_links(nodes: DataFrame, banding: Banding) -> DataFrame:
@@ -225,18 +223,12 @@ def _linked(sets: list[np.ndarray], sizes: np.ndarray, percent: int) -> np.ndarr
     return linked
 
 
-def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept, row_key``, one row per row of ``docs(doc_id, text, ...)``.
+def _grouped(docs: DataFrame, banding: Banding, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, n_shingles, component_id, row_key, component, *carry`` per row.
 
-    Texts are lower-cased in A-Z and cut into words at ASCII white space. A document's set
-    holds its distinct shingles; a text with fewer words has one, its whole sequence. Null
-    texts and texts without words have an empty set and link with nothing: they are their own
-    component. ``component_id`` is the smallest ``doc_id`` reachable; ``kept`` marks the
-    documents whose id that is, so rows that repeat a kept ``doc_id`` with a linked text are
-    all kept, and a null ``doc_id`` counts only where nothing else is reachable. Equal sets
-    are compared once. ``row_key`` is the 64-bit hash of id and text. Other columns are ignored, whatever their names.
+    ``component`` is the smallest ``set_key`` reachable, null for an empty set.
     """
-    rows = stored(signatures(docs, banding), "signatures")
+    rows = stored(signatures(docs, banding, carry), "signatures")
     nodes = stored(
         rows.where("set_key IS NOT NULL").groupBy("set_key").agg(
             F.min("doc_id").alias("least_id"),
@@ -256,20 +248,50 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
         found.join(nodes.select("set_key", "least_id"), F.col("node") == F.col("set_key"))
         .groupBy("component").agg(F.min("least_id").alias("component_id"))
     )
-    classes = found.join(least, "component").select(F.col("node").alias("set_key"), "component_id")
+    classes = found.join(least, "component").select(F.col("node").alias("set_key"), "component_id", "component")
     classes = nodes.join(classes, "set_key", "left").select(
-        "set_key", F.coalesce("component_id", "least_id").alias("component_id")
+        "set_key", F.coalesce("component_id", "least_id").alias("component_id"),
+        F.coalesce("component", "set_key").alias("component"),
     )
     filled = rows.where("set_key IS NOT NULL").join(stored(classes, "classes"), "set_key")
-    empty = rows.where("set_key IS NULL").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id", "row_key"]
-    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
-    return filled.select(columns).unionByName(empty.select(columns)).select(
-        "doc_id", "n_shingles", "component_id", kept, "row_key"
+    empty = rows.where("set_key IS NULL").withColumns(
+        {"component_id": F.col("doc_id"), "component": F.col("set_key")}
     )
+    columns = ["doc_id", "n_shingles", "component_id", "row_key", "component", *carry]
+    return filled.select(columns).unionByName(empty.select(columns))
+
+
+def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept, row_key``, one row per row of ``docs(doc_id, text, ...)``.
+
+    Texts are lower-cased in A-Z and cut into words at ASCII white space. A document's set
+    holds its distinct shingles; a text with fewer words has one, its whole sequence. Null
+    texts and texts without words have an empty set and link with nothing: they are their own
+    component. ``component_id`` is the smallest ``doc_id`` reachable; ``kept`` marks the
+    documents whose id that is, so rows that repeat a kept ``doc_id`` with a linked text are
+    all kept, and a null ``doc_id`` counts only where nothing else is reachable. Equal sets
+    are compared once. ``row_key`` is the 64-bit hash of id and text. Other columns are ignored, whatever their names.
+    """
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return _grouped(docs, banding).select("doc_id", "n_shingles", "component_id", kept, "row_key")
 
 
 def one_of_each(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
     keys = near_duplicates(docs, banding).where("kept").select(F.col("row_key").alias("_row_key")).distinct()
     return docs.join(stored(keys, "kept"), _row_key() == F.col("_row_key"), "left_semi")
+
+
+def first_of_each(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
+    """Exactly one row of ``docs`` for each component, with all its columns.
+
+    It is the first by ``doc_id`` (a null one comes last), hash of id and text, and place in
+    the table that is written here, so of rows that repeat one another, and of rows without
+    ids, one stays. Texts without words link with nothing: their rows all stay.
+    """
+    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    rows = _grouped(numbered, banding, carry=("_row",))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key", "_row")
+    first = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("first"))
+    keys = first.select("first._row").unionByName(rows.where("component IS NULL").select("_row"))
+    return numbered.join(stored(keys, "kept"), "_row", "left_semi").drop("_row")

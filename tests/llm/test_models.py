@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tally.llm import language, quality
 from tally.llm.queries import QUERIES, held_out
+from tally.llm.storage import stored
 from tally.llm.words import words_of
 from tests.llm.test_texts import brute_classes, brute_lines, brute_repeats, ordered
 
@@ -188,3 +189,24 @@ def test_packing_stage(stages):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").where("length > 0").count() > 50
+
+
+def test_repeated_rows_and_rows_without_ids_end_as_one(spark):
+    """Clean texts of the corpus that stand twice, under the same id and under none."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    draw = random.Random(8)
+    made = [" ".join(f"{draw.choice('abcdefgh')}{draw.randrange(10**5)}" for _ in range(60)) for _ in range(3)]
+    rows = [(10**7, made[0]), (10**7, made[0]), (None, made[1]), (None, made[1]), (10**7 + 1, made[2])]
+    other = made[1].split()
+    rows.append((None, " ".join([*other[:-1], "changed"])))  # without an id too, and linked
+    rows += [(10**7 + 2, ""), (None, None)]
+    kept = docs.limit(0).unionByName(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], docs.schema))
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        kept = stored(stage(spark, kept, SF), name)
+    found = texts(kept)
+    assert [found.count((10**7 + i, t)) for i, t in ((0, made[0]), (1, made[2]), (2, ""))] == [1, 1, 1]
+    [alone] = [t for i, t in found if i is None and t is not None]
+    assert alone in (made[1], rows[5][1])
+    assert len(found) == 5
+    packed = corpus_pipeline.STAGES[-1][1](spark, kept, SF).where("length > 1").groupBy("doc_id").agg(F.sum("length"))
+    assert sorted(map(tuple, packed.collect()), key=str) == [(10**7, 61), (10**7 + 1, 61), (None, 61)]
