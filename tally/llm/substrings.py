@@ -1,10 +1,11 @@
-"""Exact removal of repeated passages through a compacted De Bruijn graph of word k-mers.
+"""Exact removal of repeated passages through paths of word windows under minimiser k-mers.
 
-Short k-mers are edges of the graph; the smallest one of each window of words names the path
-that the window lies on. Consecutive windows under one such edge are compacted into a path,
+The paths stand in for a compacted De Bruijn graph, which is not built: there is no table of
+all k-mers and no node degrees. The smallest k-mer of each window of words, its edge, names
+the path that the window lies on. Consecutive windows under one such edge are compacted into a path,
 which travels through the joins as one row. A path that occurs twice is a repeated
 nonbranching path. Paths that share their edge but differ branch; only those are unfolded
-again into windows, read at their source coordinates and counted one by one.
+again into windows at their source coordinates, which are counted by 64-bit hashes.
 """
 
 from __future__ import annotations
