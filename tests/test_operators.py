@@ -554,3 +554,17 @@ def test_many_sets_equal_few_sets(frame):
     assert combos(set_combinations(df, wide, min_size=1)) == combos(
         set_combinations(df, {"A": "A", "B": "B"}, min_size=1)
     )
+
+
+def test_the_large_map_has_every_supplier(spark, tmp_path):
+    from workload import QUERIES
+
+    keys = [1, 1499, 1500, 1501, 1601]
+    suppliers = spark.createDataFrame([(k,) for k in keys], "s_suppkey bigint")
+    lines = spark.createDataFrame(
+        [(k, "N", 10 * k + i) for k in keys for i in range(5)], "l_suppkey bigint, l_returnflag string, l_orderkey bigint"
+    )
+    suppliers.write.parquet(f"{tmp_path}/supplier.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = QUERIES["flow_links_large_map"](spark, str(tmp_path)).orderBy("link_pos").collect()
+    assert [(r.source, r["count"]) for r in rows] == [("band 1", 10), ("supplier 1500", 5), ("band 3", 5), ("band 5", 5)]

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tally.functions import map_values_join
 from tally.operators import (
     UPGRADE_STAGES,
     Flow,
@@ -220,10 +221,15 @@ def _flow_sql(pairs: str) -> str:
     """),
 )
 def links_with_a_large_map(spark, d):
-    """Labels grouped by a mapping of a thousand entries."""
+    """Labels grouped by a mapping with an entry for each supplier but every third."""
     supplier = F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string"))
-    bands = {f"supplier {i}": f"band {i % 7}" for i in range(1500) if i % 3}
-    return flow_links(table(spark, d, "lineitem"), supplier, "l_returnflag", id="l_orderkey", x_map=bands)
+    bands = table(spark, d, "supplier").where("s_suppkey % 3 <> 0").select(
+        F.concat(F.lit("supplier "), F.col("s_suppkey").cast("string")).alias("key"),
+        F.concat(F.lit("band "), (F.col("s_suppkey") % 7).cast("string")).alias("band"),
+    )
+    lines = table(spark, d, "lineitem").select(supplier.alias("supplier"), "l_returnflag", "l_orderkey")
+    banded = map_values_join(lines, "supplier", bands, key="key", label="band")
+    return flow_links(banded, "supplier", "l_returnflag", id="l_orderkey")
 
 
 @query(
