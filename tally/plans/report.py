@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tally.functions import round_tenths
 from tally.operators.charts import (
@@ -473,22 +474,34 @@ def report_counts(df: DataFrame, report: Report) -> DataFrame:
 
     One scan and one shuffle with partial aggregation, for any number of charts. Add up
     ``n`` and take the least ``first`` to merge the counts of several inputs. Ids of
-    flows must be numbers.
+    flows are numbers, or all of one type that has an order.
     """
     _, metrics, _ = _numbered(report)
     choices = [list(getattr(m, "choices", {}).values()) for m in metrics]
     flags = iter(yes_flags(df, [c for own in choices for c in own]))
+    kind = _id_type(df, [m for m in metrics if isinstance(m, Flow)])
     cells: list[Column] = []
     count = 0
     for number, (metric, own) in enumerate(zip(metrics, choices)):
         for kept, k1, k2, first in _count_rows(metric, [next(flags) for _ in own]):
             first = F.lit(None) if first is None else first
-            cells += [F.lit(number), kept, k1, k2, first.cast("decimal(38,0)")]
+            cells += [F.lit(number), kept, k1, k2, first.cast(kind)]
             count += 1
     stacked = df.select(F.stack(F.lit(count), *cells).alias("metric", "kept", "k1", "k2", "id"))
     return merged_counts(stacked.filter("kept").withColumn("n", F.lit(1).cast("bigint")).withColumnRenamed("id", "first"))
 
 
+def _id_type(df: DataFrame, flows: Sequence[Flow]) -> T.DataType:
+    """The type of the ids that tell which row of a flow came first; of any numbers, one that holds all."""
+    kinds = df.select(*[as_column(flow.id).alias(f"id{i}") for i, flow in enumerate(flows)]).schema.fields
+    keys = {field.dataType for field in kinds if not isinstance(field.dataType, T.NumericType)}
+    if not keys:
+        return T.DecimalType(38, 0)
+    if len(keys) > 1 or any(isinstance(field.dataType, T.NumericType) for field in kinds):
+        raise ValueError("the ids of a report's flows must have one type")
+    return keys.pop()
+
+
 def merged_counts(counts: DataFrame) -> DataFrame:
     """Counts of several inputs as one."""
     return counts.groupBy("metric", "k1", "k2").agg(F.sum("n").alias("n"), F.min("first").alias("first"))

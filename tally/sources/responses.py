@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +15,9 @@ from tally.functions import clean_single
 from tally.sources.catalog import bind_questions, header_frame
 
 RESPONDENT = "respondent_id"
+ARRIVAL = "arrival"
+# Counts of so many splits, of some 200 bytes each, may travel to every executor.
+_FEW_SPLITS = 50_000
 
 
 class Survey:
@@ -150,10 +154,52 @@ def header_schema(headers: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in headers])
 
 
+def split_of_files(rows: DataFrame) -> DataFrame:
+    """Rows straight from files as ``f0..fn`` and ``arrival (file, block)``, the split they come from."""
+    split = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    quoted = ["`{}`".format(name.replace("`", "``")) for name in rows.columns]
+    fields = [F.col(name).alias(f"f{i}") for i, name in enumerate(quoted)]
+    return rows.select(*fields, split.alias(ARRIVAL))
+
+
+def with_arrival(rows: DataFrame, *before: Column) -> DataFrame:
+    """Complete ``arrival`` to ``(.., file, block, row)`` on rows as they come from the scan.
+
+    The key orders rows as their files lie, by path, by the place of the split in its
+    file, and by row; a task that runs again gives the same keys. The rows of a split
+    must still follow one another.
+    """
+    row = F.monotonically_increasing_id().alias("row")
+    return rows.withColumn(ARRIVAL, F.struct(*before, F.col(f"{ARRIVAL}.file"), F.col(f"{ARRIVAL}.block"), row))
+
+
+def numbered_arrival(rows: DataFrame, name: str) -> DataFrame:
+    """Replace ``arrival`` by a BIGINT without gaps, from 1, in the same order.
+
+    Rows are counted per split, and a split starts after all rows of the splits before
+    it. Only the counts, one row for each split of the input, are put in order. They
+    travel to the rows where their number is known to be small; else both sides are
+    dealt by split, which are of one size.
+    """
+    splits_at_most = rows.rdd.getNumPartitions() + len(rows.inputFiles())
+    key = [F.col(f"{ARRIVAL}.file").alias("__file"), F.col(f"{ARRIVAL}.block").alias("__block")]
+    placed = rows.select("*", *key, F.col(f"{ARRIVAL}.row").alias("__row"))
+    splits = placed.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    before = W.orderBy("__file", "__block").rowsBetween(W.unboundedPreceding, -1)
+    starts = splits.select(
+        "__file", "__block", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
+    )
+    number = F.col("__start") + F.col("__row") - F.col("__first") + 1
+    if splits_at_most <= _FEW_SPLITS:
+        starts = F.broadcast(starts)
+    joined = placed.join(starts, ["__file", "__block"]).withColumn(name, number)
+    return joined.drop(ARRIVAL, "__file", "__block", "__row", "__first", "__start")
+
+
 def read_fields(
     spark: SparkSession, path: str, headers: list[str], *, multi_line: bool = False
 ) -> DataFrame:
-    """All fields as strings named ``f0..fn``, in one lazy scan.
+    """All fields as strings named ``f0..fn`` and their ``arrival``, in one lazy scan.
 
     Files whose header differs from ``headers`` fail the read. Headers with an
     empty or a repeated name, which Spark cannot compare, are allowed in a single
@@ -167,7 +213,7 @@ def read_fields(
         rows = reader.schema(header_schema([f"f{i}" for i in range(len(headers))])).csv(path)
         if len(rows.inputFiles()) > 1:
             raise ValueError("a header with an empty or repeated name can be read from one file only")
-    return rows.toDF(*[f"f{i}" for i in range(len(headers))])
+    return with_arrival(split_of_files(rows))
 
 
 def read_responses(
@@ -182,18 +228,17 @@ def read_responses(
 
     ``respondent_id`` (BIGINT) orders respondents by arrival. ``id_header`` names
     a column of whole numbers that do; anything else in it fails the query, and
-    the text stays in its field. Without it ids are generated; they follow the row
-    order inside a file, so first-seen orders over several files need the column.
-    Set ``multi_line`` where fields or headers hold line breaks.
+    the text stays in its field. Without it rows are numbered from 1 without gaps, file
+    after file by path, as if the files stood in one; that counts the rows of each split
+    by a scan of its own. Set ``multi_line`` where fields or headers hold line breaks.
     """
     headers = read_header(spark, path, multi_line=multi_line)
     bindings = bind_questions(catalog, header_frame(spark, headers))
     fields = read_fields(spark, path, headers, multi_line=multi_line)
     if id_header is None:
-        respondent = F.monotonically_increasing_id()
-    else:
-        respondent = F.col(f"f{headers.index(id_header)}").cast("bigint")
-    return Survey(fields.withColumn(RESPONDENT, respondent), bindings)
+        return Survey(numbered_arrival(fields, RESPONDENT), bindings)
+    respondent = F.col(f"f{headers.index(id_header)}").cast("bigint")
+    return Survey(fields.drop(ARRIVAL).withColumn(RESPONDENT, respondent), bindings)
 
 
 def land_responses(survey: Survey, path: str) -> Survey:

@@ -1,8 +1,8 @@
 """Live mode: recompute when new response files arrive.
 
 ``stream_counts`` keeps running counts as streaming state, one row per metric and
-label. ``start_live_report`` counts each micro-batch once, keeps its counts and
-rebuilds the report from the counts of all of them, as a rerun over all files would.
+label. ``start_live_report`` counts each micro-batch once, adds its counts to the
+totals so far and rebuilds the report from the totals, as a rerun over all files would.
 """
 
 from __future__ import annotations
@@ -18,7 +18,17 @@ from tally.operators.specs import name_column, named
 from tally.plans.report import Report, merged_counts, report_counts, report_of_counts
 from tally.sources.catalog import bind_questions, header_frame
 from tally.sources.reports import write_report
-from tally.sources.responses import RESPONDENT, Survey, comparable, csv_options, header_schema
+from tally.sources.responses import (
+    ARRIVAL,
+    RESPONDENT,
+    Survey,
+    comparable,
+    csv_options,
+    header_schema,
+    split_of_files,
+    with_arrival,
+)
+from tally.storage import discard
 
 
 def checkpoint_folder(spark: SparkSession, name: str) -> str:
@@ -32,7 +42,7 @@ def checkpoint_folder(spark: SparkSession, name: str) -> str:
 def stream_fields(
     spark: SparkSession, folder: str, headers: Sequence[str], *, multi_line: bool = False
 ) -> DataFrame:
-    """Response files of a folder as a stream of fields ``f0..fn``.
+    """Response files of a folder as a stream of fields ``f0..fn`` and the split they come from, ``arrival``.
 
     A file whose header differs from ``headers`` fails the stream, so the names
     must be given and differ from one another.
@@ -46,7 +56,12 @@ def stream_fields(
         .schema(header_schema(headers))
         .csv(folder)
     )
-    return rows.toDF(*[f"f{i}" for i in range(len(headers))])
+    return split_of_files(rows)
+
+
+def totals_folder(landed: str, batch_id: int) -> str:
+    """Where the counts of all micro-batches up to this one lie."""
+    return f"{landed}/through={batch_id}"
 
 
 def stream_counts(stream: DataFrame, metrics: Mapping[str, SingleCount]) -> DataFrame:
@@ -77,23 +92,29 @@ def start_live_report(
 ) -> StreamingQuery:
     """Rebuild and write the report whenever response files arrive in ``folder``.
 
-    The counts of a micro-batch are written to a folder of their own under ``landed``,
-    so a batch that is run again after a failure replaces itself; no response is read
-    twice. ``respondent_id`` is a number made of the batch and the row in it, which
-    orders respondents by arrival. With ``once`` the query stops after the files
-    present now. A changed report needs a new ``landed`` folder.
+    A micro-batch reads its own files and the totals left by the one before, and writes
+    new totals under ``landed``; no response is read twice, and the work does not grow
+    with the number of batches. A batch that is run again after a failure starts from the
+    same totals and replaces its own; totals no batch can need any more are removed.
+    ``respondent_id`` is the batch, the file, the split and the row in it, which orders
+    respondents by arrival. With ``once`` the query stops after the files present now. A
+    changed report needs a new ``landed`` folder.
     """
     bindings = bind_questions(catalog, header_frame(spark, headers))
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        row = F.monotonically_increasing_id().cast("decimal(38,0)")
-        arrival = row + F.lit(batch_id).cast("decimal(38,0)") * F.lit(2**63).cast("decimal(38,0)")
-        survey = Survey(batch.withColumn(RESPONDENT, arrival.cast("decimal(38,0)")), bindings)
+        session = batch.sparkSession
+        arrived = with_arrival(batch, F.lit(batch_id).cast("bigint").alias("batch"))
+        survey = Survey(arrived.withColumnRenamed(ARRIVAL, RESPONDENT), bindings)
         report = report_of(survey)
         counts = report_counts(survey.frame, report)
-        counts.write.mode("overwrite").parquet(f"{landed}/batch={batch_id}")
-        everything = merged_counts(batch.sparkSession.read.schema(counts.schema).parquet(landed))
-        write_report(report_of_counts(everything, report, commentary), output)
+        read = session.read.schema(counts.schema).parquet
+        if batch_id > 0:
+            counts = merged_counts(counts.unionByName(read(totals_folder(landed, batch_id - 1))))
+        counts.write.mode("overwrite").parquet(totals_folder(landed, batch_id))
+        write_report(report_of_counts(read(totals_folder(landed, batch_id)), report, commentary), output)
+        if batch_id > 1:
+            discard(session, totals_folder(landed, batch_id - 2))
 
     writer = (
         stream_fields(spark, folder, headers, multi_line=multi_line)

@@ -20,6 +20,7 @@ from tally.sources import (
     rows_without_commentary,
     split_sections,
 )
+from tally.storage import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -315,3 +316,42 @@ def test_attach_commentary(spark):
     assert attach_commentary(rows.filter("row_id = 'a'"), notes).first().commentary == "text"
     with pytest.raises(Exception, match="no commentary for row b"):
         attach_commentary(rows, notes).collect()
+
+
+def test_arrival_over_several_files_is_that_of_one(spark, tmp_path):
+    """Rows of three files, each read in several splits, are numbered as if they stood in one."""
+    folder = tmp_path / "answers"
+    folder.mkdir()
+    whole = []
+    for name, rows in (("a", 700), ("b", 1), ("c", 350)):
+        answers = [f"{name}{i}" for i in range(rows)]
+        (folder / f"{name}.csv").write_text("How?\n" + "".join(f"{a}\n" for a in answers))
+        whole += answers
+    catalog = question_catalog(spark, [{"id": "how", "prompt": "How?", "type": "text"}])
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        survey = read_responses(spark, str(folder), catalog)
+        assert survey.frame.select("f0").rdd.getNumPartitions() > 3
+        for _ in range(2):
+            got = {r.respondent_id: r.f0 for r in survey.frame.collect()}
+            assert got == dict(enumerate(whole, start=1))
+        landed = land_responses(survey, str(tmp_path / "landed"))
+        assert {r.respondent_id: r.f0 for r in landed.frame.collect()} == got
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Session:
+        def __init__(self, **settings):
+            self.conf = self
+            self.settings = settings
+
+        def get(self, name, default=None):
+            return self.settings.get(name, default)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir is not set"):
+            shared_folder(Session(**{"spark.master": master}))
+    assert shared_folder(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "/shared/x/"})) == "/shared/x"
