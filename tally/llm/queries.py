@@ -25,15 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from tally.llm import language, quality  # noqa: E402
+from tally.llm import language, periods, quality  # noqa: E402
 from tally.llm.embeddings import near_vectors  # noqa: E402
 from tally.llm.lines import without_later_lines  # noqa: E402
 from tally.llm.minhash import Banding, near_duplicates  # noqa: E402
+from tally.llm.negatives import hard_negatives  # noqa: E402
 from tally.llm.packing import Sizes, best_fit  # noqa: E402
 from tally.llm.pieces import Vocabulary, decoded, encoded  # noqa: E402
 from tally.llm.sharding import shards  # noqa: E402
 from tally.llm.substrings import without_repeats  # noqa: E402
 from tally.llm.topk import top_k  # noqa: E402
+from tally.llm.vectorpack import Limits, checksums, encoded_pieces, packed  # noqa: E402
 
 _SOUND_SQL = """embedding IS NOT NULL AND len(embedding) > 0 AND
     len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"""
@@ -243,3 +245,107 @@ def sentencepiece(spark, d, model: str = PIECES):
 @query("op4_best_fit_packing")
 def best_fit_packing(spark, d):
     return best_fit(table(spark, d, "documents"), Sizes())
+
+
+# crc32 bit by bit; words that stand q places apart and agree, in stretches without gaps, for every q.
+_OP12_SQL = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        xor(list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+            lambda x, c: list_reduce(list_prepend(xor(x, c), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384::BIGINT) ELSE y // 2 END)
+        ), 4294967295::BIGINT) AS h
+    FROM documents
+),
+planned AS (
+    SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM texts
+),
+words AS (
+    SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i:
+        w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS w
+    FROM planned
+),
+places AS (SELECT r, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM words),
+pairs AS (
+    SELECT x.r, x.i, y.i - x.i AS lag FROM places x JOIN places y
+    ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+),
+islands AS (SELECT r, lag, i, i - row_number() OVER (PARTITION BY r, lag ORDER BY i) AS island FROM pairs),
+stretches AS (
+    SELECT r, min(i) AS start, count(*) + lag AS length, lag FROM islands GROUP BY r, lag, island
+    HAVING count(*) + lag >= greatest(6, 4 * lag)
+),
+runs AS (SELECT r, start, length, min(lag) AS period FROM stretches GROUP BY 1, 2, 3),
+best AS (
+    SELECT * FROM (SELECT x.*, row_number() OVER (PARTITION BY r ORDER BY
+        length::DECIMAL(38, 0) * 1000000000000000 // period DESC, start, period) AS nth FROM runs x) WHERE nth = 1
+),
+listed AS (
+    SELECT r, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS s
+    FROM runs GROUP BY 1
+),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+    SELECT p.r, string_agg(p.word, ' ' ORDER BY p.i) AS t
+    FROM places p LEFT JOIN gone g ON g.r = p.r AND g.i = p.i WHERE g.i IS NULL GROUP BY 1
+)
+SELECT w.doc_id, coalesce(l.n_runs, 0)::BIGINT AS n_runs, b.start::BIGINT AS start, b.length::BIGINT AS length,
+    b.period::BIGINT AS period, (1000 * b.length // b.period)::BIGINT AS exponent_milli,
+    sha256(coalesce(l.s, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256
+FROM words w LEFT JOIN listed l USING (r) LEFT JOIN best b USING (r) LEFT JOIN kept k USING (r)
+"""
+
+
+@query("op12_periodic_runs", _OP12_SQL)
+def periodic_runs(spark, d):
+    """Runs of whole texts, a tenth of which are made to repeat first."""
+    return periods.digests(periods.periodic_runs(periods.looped(table(spark, d, "documents"))))
+
+
+@query("op13_vector_packing")
+def vector_packing(spark, d, tokenizer: str | None = None):
+    """All tokens of all texts bear loss; a sequence mixes 256 pieces at most."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = encoded_pieces(table(spark, d, "documents"), tokenizer)
+    placed = checksums(packed(pieces, Limits(tokens=2048, segments=256, loss=2048)))
+    return placed.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+_OP11_SQL = f"""
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS v
+    FROM embeddings WHERE label IS NOT NULL AND {_SOUND_SQL}
+),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM whole a JOIN whole b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0
+),
+positives AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth FROM scores WHERE same
+    ) WHERE nth <= 5
+),
+mined AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+           n.score AS negative_score, CAST(row_number() OVER (
+               PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+    FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same
+    WHERE 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM mined WHERE rank <= 5
+"""
+
+
+@query("op11_hard_negatives", _OP11_SQL)
+def hard_negative_mining(spark, d):
+    """Labels of every seventh vector move on by one before mining."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, d, "embeddings").withColumn("label", moved), "vec_id % 100 = 0")
