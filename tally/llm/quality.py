@@ -175,6 +175,11 @@ class Quality:
     network: Network | None
     constant: float
 
+    @property
+    def fitted(self) -> bool:
+        """Whether labels of both kinds taught it to tell texts apart."""
+        return self.network is not None
+
     def score(self, words: Words) -> np.ndarray:
         if self.network is None:
             return np.full(len(words.first) - 1, self.constant)

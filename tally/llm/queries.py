@@ -169,25 +169,18 @@ def sharding(spark, d):
     return shards(table(spark, d, "documents"), 40)
 
 
-# Filled lines in order; a run of two starts at each but the last of a text.
+# Of the places of a filled line the first one stays.
 _OP9_SQL = r"""
 WITH texts AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS l FROM documents),
 lines AS (SELECT r, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM texts),
-filled AS (
-    SELECT r, doc_id, line, i, row_number() OVER (PARTITION BY r ORDER BY i) AS p FROM lines
-    WHERE regexp_matches(line, '[^\s]')
-),
-runs AS (
-    SELECT a.r, a.doc_id, a.p, a.line AS x, b.line AS y FROM filled a JOIN filled b ON a.r = b.r AND b.p = a.p + 1
-),
 later AS (
-    SELECT r, p FROM (SELECT r, p, row_number() OVER (PARTITION BY x, y ORDER BY doc_id NULLS FIRST, p) AS nth FROM runs)
-    WHERE nth > 1
+    SELECT r, i FROM (
+        SELECT r, i, row_number() OVER (PARTITION BY line ORDER BY doc_id NULLS FIRST, i) AS nth FROM lines
+        WHERE regexp_matches(line, '[^\s]')
+    ) WHERE nth > 1
 ),
-gone AS (SELECT r, p FROM later UNION SELECT r, p + 1 FROM later),
 marked AS (
-    SELECT l.r, l.i, l.line, g.p IS NOT NULL AS out
-    FROM lines l LEFT JOIN filled f ON f.r = l.r AND f.i = l.i LEFT JOIN gone g ON g.r = f.r AND g.p = f.p
+    SELECT l.r, l.i, l.line, g.i IS NOT NULL AS out FROM lines l LEFT JOIN later g ON g.r = l.r AND g.i = l.i
 ),
 kept AS (
     SELECT r, count(*) AS n_lines, count(*) FILTER (out) AS n_removed,
@@ -202,8 +195,8 @@ FROM texts t LEFT JOIN kept k USING (r)
 
 @query("op9_line_dedup", _OP9_SQL)
 def line_dedup(spark, d):
-    """Runs of two lines and more, fingerprints of single lines."""
-    return without_later_lines(table(spark, d, "documents"), gram=1, window=2)
+    """Single lines count: the first place of each stays, whatever stands around the others."""
+    return without_later_lines(table(spark, d, "documents"), gram=1, window=1)
 
 
 def held_out(parts: int, part: int):

@@ -163,7 +163,7 @@ def shortened(rows):
 
 def test_line_stage(stages):
     before, after = stages["line_dedup"]
-    assert ordered(texts(after)) == shortened(brute_lines(texts(before), 2))
+    assert ordered(texts(after)) == shortened(brute_lines(texts(before), 1))
 
 
 def test_near_stage(stages):
@@ -191,6 +191,37 @@ def test_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").where("length > 0").count() > 50
 
 
+@pytest.mark.parametrize("labelled", ["none", "bad", "good"])
+def test_a_classifier_without_both_labels_rejects_nothing(spark, tmp_path, labelled):
+    source = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{source}/documents.parquet")
+    quality_of = {"none": None, "bad": 0, "good": 1}[labelled]
+    labels = spark.read.parquet(f"{source}/labels.parquet").withColumn("quality", F.lit(quality_of).cast("int"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    kept = corpus_pipeline.quality_filter(spark, docs, str(tmp_path))
+    assert kept.columns == corpus_pipeline.COLUMNS and kept.exceptAll(docs.select(kept.columns)).count() == 0
+    assert kept.count() == docs.count()
+
+
+@pytest.mark.parametrize("with_labels", [True, False])
+def test_run_on_empty_documents(spark, tmp_path, with_labels):
+    source = "/root/testdata/sf0.001"
+    for name in ("documents", "labels"):
+        rows = spark.read.parquet(f"{source}/{name}.parquet")
+        rows = rows if with_labels and name == "labels" else rows.limit(0)
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_run_without_labels_keeps_documents(spark, tmp_path):
+    source = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{source}/documents.parquet")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{source}/labels.parquet").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    packed = corpus_pipeline.run(spark, str(tmp_path)).where("length > 0")
+    assert packed.select("doc_id").distinct().count() > docs.count() / 2
+
+
 def test_repeated_rows_and_rows_without_ids_end_as_one(spark):
     """Clean texts of the corpus that stand twice, under the same id and under none."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -156,3 +156,10 @@ def test_kept_text_of_the_query(spark):
         (i, n, m, hashlib.sha256((kept or "").encode()).hexdigest()) for i, n, m, kept in brute_repeats(texts, 35)
     }
     assert {tuple(r) for r in QUERIES["op7_substring_dedup"](spark, d).collect()} == expected
+
+
+def test_a_line_between_differing_neighbours_goes_but_for_its_first_place(documents):
+    line = "All rights reserved"
+    rows = [(1, f"one\n{line}\ntwo"), (2, f"three\n\n{line}\nfour"), (3, line), (4, f"{line}\nfive\n{line}"), (5, "six")]
+    got = {r.doc_id: r.kept_text for r in without_later_lines(documents(rows), gram=1, window=1).collect()}
+    assert got == {1: f"one\n{line}\ntwo", 2: "three\n\nfour", 3: "", 4: "five", 5: "six"}
