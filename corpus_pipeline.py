@@ -31,14 +31,16 @@ def _with_text(found: DataFrame) -> DataFrame:
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go; without labels of both kinds none is rejected."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out(4, 2))
+    if not model.fitted:
+        return docs.select(COLUMNS)
     return quality.scored(docs, model, carry=tuple(COLUMNS)).where(F.col("score") >= QUALITY_FLOOR).select(COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of runs of two lines and more go."""
-    return _with_text(without_later_lines(docs, gram=1, window=2, carry=("doc_id", "lang", "source", "n_chars")))
+    """Later repeats of lines go, whatever stands around them."""
+    return _with_text(without_later_lines(docs, gram=1, window=1, carry=("doc_id", "lang", "source", "n_chars")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
