@@ -35,7 +35,7 @@ from tally.llm.pieces import Vocabulary, decoded, encoded  # noqa: E402
 from tally.llm.sharding import shards  # noqa: E402
 from tally.llm.substrings import without_repeats  # noqa: E402
 from tally.llm.topk import top_k  # noqa: E402
-from tally.llm.vectorpack import Limits, checksums, encoded_pieces, packed  # noqa: E402
+from tally.llm.vectorpack import Limits, packed_documents  # noqa: E402
 
 _SOUND_SQL = """embedding IS NOT NULL AND len(embedding) > 0 AND
     len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"""
@@ -303,8 +303,8 @@ def vector_packing(spark, d, tokenizer: str | None = None):
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = encoded_pieces(table(spark, d, "documents"), tokenizer)
-    placed = checksums(packed(pieces, Limits(tokens=2048, segments=256, loss=2048)))
+    limits = Limits(tokens=2048, segments=256, loss=2048)
+    placed = packed_documents(table(spark, d, "documents"), tokenizer, limits, with_ids=False)
     return placed.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )

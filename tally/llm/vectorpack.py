@@ -12,6 +12,7 @@ from __future__ import annotations
 from bisect import insort
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.bytebpe import ByteBpe
-from tally.llm.groups import Emitter, map_batches, schema_of
+from tally.llm.groups import Emitter, schema_of
 
 _SEQUENCES = 1 << 36  # of a partition
 _LEAST_CUT = 32  # tokens: a sequence short of loss, not of tokens, is closed rather than filled crumb by crumb
@@ -104,6 +105,8 @@ def fill(
     tokens all do. Ties go to the longer piece, then to the one with more loss, then to the
     earlier one; a rest that comes back counts as later than all.
     """
+    if max(lengths, default=0) > limits.tokens:
+        raise ValueError(f"a piece is longer than the {limits.tokens} tokens of a sequence")
     sums = [None if own is None else np.concatenate([[0], np.cumsum(own)]) for own in losses]
 
     def loss(piece: int, low: int, high: int) -> int:
@@ -162,93 +165,69 @@ def fill(
     return done
 
 
-def encoded_pieces(docs: DataFrame, tokenizer: str, end: int = 1, size: int = 2048) -> DataFrame:
-    """``doc_id, start, ids, doc_tokens``: the ids of each text and the end id, in pieces of ``size``.
-
-    ``start`` counts the document's ids before the piece, ``doc_tokens`` all of them. A null
-    text is an empty one, which has its end id alone. Repeated rows and null ids are kept as
-    they are; other columns are ignored.
-    """
-
-    def work(batch, out: Emitter):
-        bpe = ByteBpe.of(tokenizer)
-        owner, start, total, parts = [], [], [], []
-        for row, text in enumerate(batch.column("text")):
-            ids = np.append(bpe.ids(text.as_py() or ""), np.int32(end))
-            at = range(0, len(ids), size)
-            owner += [row] * len(at)
-            start += at
-            total += [len(ids)] * len(at)
-            parts += [ids[low : low + size] for low in at]
-            if len(parts) >= 1024:
-                out.add(**columns(batch, owner, start, total, parts))
-                owner, start, total, parts = [], [], [], []
-        if parts:
-            out.add(**columns(batch, owner, start, total, parts))
-
-    def columns(batch, owner, start, total, parts):
-        return {
-            "doc_id": batch.column("doc_id").take(pa.array(owner)),
-            "start": pa.array(start, pa.int64()),
-            "ids": _lists(parts, pa.int32()),
-            "doc_tokens": pa.array(total, pa.int64()),
-        }
-
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return map_batches(rows, work, "doc_id bigint, start bigint, ids array<int>, doc_tokens bigint")
-
-
 def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(parts), kind))
 
 
-def packed(pieces: DataFrame, limits: Limits = Limits(), group: int = 8192) -> DataFrame:
-    """Pieces cut and placed: ``start, length, ids, loss, sequence_id, offset`` after their other columns.
+def _arrays(lists: pa.Array) -> list[np.ndarray | None]:
+    """Lists as arrays over one buffer."""
+    bounds, valid = lists.offsets.to_numpy(), lists.is_valid().to_numpy(zero_copy_only=False)
+    values = lists.values.to_numpy(zero_copy_only=False)
+    return [values[a:b] if ok else None for a, b, ok in zip(bounds[:-1].tolist(), bounds[1:].tolist(), valid.tolist())]
 
-    ``pieces(start, ids, [loss], ...)``: ``loss`` holds a boolean for each id; without the
-    column, and where it is null, every id bears loss. ``start`` moves with a cut. A sequence
-    holds no more than ``limits``; its pieces lie from ``offset`` on without gaps, and it is
-    full or as long as some power of two, so nothing is padded. Rows without ids give no row.
-    Repeated rows are packed as often as they occur.
 
-    Pieces that follow one another in a partition are packed together, ``group`` at a time, so
-    nothing is shuffled, a task holds one group, and a task that runs again replaces its own
-    sequences. Other columns go along; they may not be named as an output.
-    """
-    outputs = ("length", "sequence_id", "offset")
-    if clash := set(outputs) & set(pieces.columns):
-        raise ValueError(f"columns of pieces have names of outputs: {sorted(clash)}")
-    masked = "loss" in pieces.columns
-    if not masked:
-        pieces = pieces.withColumn("loss", F.lit(None).cast("array<boolean>"))
-    carry = [c for c in pieces.columns if c not in ("start", "ids", "loss")]
-    rows = pieces.select(*carry, F.col("start").cast("bigint"), F.col("ids").cast("array<int>"), "loss")
-    kinds = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in carry)
-    struct = schema_of(
-        f"{kinds}start bigint, length bigint, ids array<int>, loss array<boolean>, sequence_id bigint, offset bigint"
-    )
+def _encoder(tokenizer: str, end: int, size: int, struct):
+    """Batches of documents to batches of their pieces."""
 
-    def solved(table: pa.Table, sequence: int, out: Emitter) -> int:
-        table = table.combine_chunks()
-        start = table.column("start").to_numpy()
-        ids, mask = (_arrays(table.column(c)) for c in ("ids", "loss"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, out = ByteBpe.of(tokenizer), Emitter(struct)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                some = batch.slice(low, 256)
+                owner, start, total, parts = [], [], [], []
+                for row, text in enumerate(some.column("text")):
+                    ids = np.append(bpe.ids(text.as_py() or ""), np.int32(end))
+                    at = range(0, len(ids), size)
+                    owner += [row] * len(at)
+                    start += at
+                    total += [len(ids)] * len(at)
+                    parts += [ids[place : place + size] for place in at]
+                out.add(
+                    doc_id=some.column("doc_id").take(pa.array(owner)),
+                    doc_tokens=pa.array(total, pa.int64()), start=pa.array(start, pa.int64()),
+                    ids=_lists(parts, pa.int32()), loss=pa.nulls(len(parts), pa.list_(pa.bool_())),
+                )
+                yield from out.batches()
+
+    return run
+
+
+def _packer(limits: Limits, group: int, carry: list[str], struct):
+    """Batches of pieces to batches of placed ones."""
+
+    def solved(held: list[pa.RecordBatch], sequence: int, out: Emitter) -> int:
+        table = {c: pa.concat_arrays([b.column(c) for b in held]) for c in [*carry, "start", "ids", "loss"]}
+        start, ids, mask = table["start"].to_numpy(), _arrays(table["ids"]), _arrays(table["loss"])
         found = fill([0 if x is None else len(x) for x in ids], mask, limits)
         for low in range(0, len(found), 512):
             placed = found[low : low + 512]
-            flat = np.array([p for held in placed for p in held], np.int64).reshape(-1, 3)
+            flat = np.array([p for held_ in placed for p in held_], np.int64).reshape(-1, 3)
             length = flat[:, 2] - flat[:, 1]
-            sizes = np.array([len(held) for held in placed])
-            number = np.repeat(np.arange(len(placed)), sizes)
+            sizes = np.array([len(held_) for held_ in placed])
             past = np.cumsum(length)
-            before = np.concatenate([[0], past])[np.concatenate([[0], np.cumsum(sizes)[:-1]])]
-            owner = pa.array(flat[:, 0])
+            before = (past - length)[np.cumsum(sizes) - sizes]
+            number = np.repeat(np.arange(len(placed)), sizes)
+            own = [ids[p][a:b] for p, a, b in flat.tolist()]
+            columns = {c: table[c].take(pa.array(flat[:, 0])) for c in carry}
+            if "ids" in struct.names:
+                bears = [None if mask[p] is None else mask[p][a:b] for p, a, b in flat.tolist()]
+                columns |= {"ids": _lists(own, pa.int32()), "loss": pa.array(bears, pa.list_(pa.bool_()))}
             out.add(
-                **{c: table.column(c).combine_chunks().take(owner) for c in carry},
+                **columns,
                 start=start[flat[:, 0]] + flat[:, 1],
                 length=length,
-                ids=_lists([ids[p][a:b] for p, a, b in flat.tolist()], pa.int32()),
-                loss=pa.array([None if mask[p] is None else mask[p][a:b] for p, a, b in flat.tolist()], pa.list_(pa.bool_())),
+                ids_crc32=np.array([crc32(x.astype("<u4")) for x in own], np.int64),
                 sequence_id=sequence + low + number,
                 offset=past - length - before[number],
             )
@@ -261,38 +240,67 @@ def packed(pieces: DataFrame, limits: Limits = Limits(), group: int = 8192) -> D
             for low in range(0, batch.num_rows, group):
                 part = batch.slice(low, group)
                 if count and count + part.num_rows > group:
-                    sequence = solved(pa.Table.from_batches(held), sequence, out)
+                    sequence = solved(held, sequence, out)
                     yield from out.batches()
                     held, count = [], 0
                 held.append(part)
                 count += part.num_rows
         if held:
-            solved(pa.Table.from_batches(held), sequence, out)
+            solved(held, sequence, out)
         yield from out.batches()
 
-    result = rows.mapInArrow(run, struct)
-    return result if masked else result.drop("loss")
+    return run
 
 
-def _arrays(column: pa.ChunkedArray) -> list[np.ndarray | None]:
-    """The lists of a column as arrays over one buffer."""
-    lists = column.combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.chunk(0) if lists.num_chunks else pa.array([], column.type)
-    bounds, valid = lists.offsets.to_numpy(), lists.is_valid().to_numpy(zero_copy_only=False)
-    values = lists.values.to_numpy(zero_copy_only=False)
-    return [values[a:b] if ok else None for a, b, ok in zip(bounds[:-1].tolist(), bounds[1:].tolist(), valid.tolist())]
+def _placed_schema(carried: str, with_ids: bool):
+    lists = "ids array<int>, loss array<boolean>, " if with_ids else ""
+    return schema_of(
+        f"{carried}start bigint, length bigint, {lists}ids_crc32 bigint, sequence_id bigint, offset bigint"
+    )
+
+
+def packed(pieces: DataFrame, limits: Limits = Limits(), group: int = 4096) -> DataFrame:
+    """Pieces cut and placed: ``start, length, ids, loss, ids_crc32, sequence_id, offset`` after their other columns.
 
+    ``pieces(start, ids, [loss], ...)``: ``loss`` holds a boolean for each id; without the
+    column, and where it is null, every id bears loss. ``start`` moves with a cut. A sequence
+    holds no more than ``limits``; its pieces lie from ``offset`` on without gaps, and it is
+    full or as long as some power of two, so nothing is padded. ``ids_crc32`` is taken over
+    little-endian unsigned 32-bit ids. Rows without ids give no row. Repeated rows are packed
+    as often as they occur.
 
-def checksums(placed: DataFrame) -> DataFrame:
-    """Replace ``ids`` by ``ids_crc32``, of their little-endian unsigned 32-bit words."""
-    kept = [c for c in placed.columns if c != "ids"]
-    kinds = ", ".join(f"`{c}` {placed.schema[c].dataType.simpleString()}" for c in kept)
+    Pieces that follow one another in a partition are packed together, ``group`` at a time, so
+    nothing is shuffled, a task holds one group, and a task that runs again replaces its own
+    sequences. A piece of more than ``limits.tokens`` ids is an error: cut it first. Other
+    columns go along; they may not be named as an output.
+    """
+    outputs = ("length", "ids_crc32", "sequence_id", "offset")
+    if clash := set(outputs) & set(pieces.columns):
+        raise ValueError(f"columns of pieces have names of outputs: {sorted(clash)}")
+    masked = "loss" in pieces.columns
+    if not masked:
+        pieces = pieces.withColumn("loss", F.lit(None).cast("array<boolean>"))
+    carry = [c for c in pieces.columns if c not in ("start", "ids", "loss")]
+    rows = pieces.select(*carry, F.col("start").cast("bigint"), F.col("ids").cast("array<int>"), "loss")
+    kinds = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in carry)
+    struct = _placed_schema(kinds, True)
+    result = rows.mapInArrow(_packer(limits, group, carry, struct), struct)
+    return result if masked else result.drop("loss")
 
-    def work(batch, out: Emitter):
-        import zlib
 
-        sums = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in _arrays(pa.chunked_array([batch.column("ids")]))]
-        out.add(**{c: batch.column(c) for c in kept}, ids_crc32=np.array(sums, np.int64))
+def packed_documents(
+    docs: DataFrame, tokenizer: str, limits: Limits = Limits(), end: int = 1, group: int = 4096, with_ids: bool = True
+) -> DataFrame:
+    """``doc_id, doc_tokens`` and the columns of :func:`packed` for the ids of each text and the end id.
 
-    return map_batches(placed, work, f"{kinds}, ids_crc32 bigint")
+    ``docs(doc_id, text, ...)``; every id bears loss. ``start`` counts the document's ids before
+    the piece, ``doc_tokens`` all of them. A null text is an empty one, which has its end id
+    alone; texts are read whole. Repeated rows and null ids are kept as they are; other columns
+    are ignored. ``with_ids`` off leaves out ``ids`` and ``loss``.
+    """
+    between = schema_of("doc_id bigint, doc_tokens bigint, start bigint, ids array<int>, loss array<boolean>")
+    encode = _encoder(tokenizer, end, limits.tokens, between)
+    struct = _placed_schema("doc_id bigint, doc_tokens bigint, ", with_ids)
+    pack = _packer(limits, group, ["doc_id", "doc_tokens"], struct)
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
+    return rows.mapInArrow(lambda batches: pack(encode(batches)), struct)

@@ -3,12 +3,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tally.llm.bytebpe import ByteBpe
-from tally.llm.vectorpack import _LEAST_CUT, Limits, checksums, encoded_pieces, fill, packed, padded
+from tally.llm.vectorpack import _LEAST_CUT, Limits, fill, packed, packed_documents, padded
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
@@ -103,8 +104,12 @@ def test_filling_equals_the_slow_one(limits):
 def test_ids_are_those_of_the_tokenizer():
     tokenizer, cached = Tokenizer.from_file(PATH), ByteBpe(PATH)
     rng = random.Random(4)
+    d = "/root/testdata/sf0.001/documents.parquet"
+    for text in pq.read_table(d, columns=["text"]).column(0).to_pylist():
+        assert cached.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
     texts = ODD + ["".join(rng.choice(" \n\ta1.é\xa0 'sß日\x1f") for _ in range(60)) for _ in range(400)]
-    for text in texts * 2:
+    texts += [chr(rng.randrange(0xD800)) * 3 + " " + chr(rng.randrange(0x10000, 0x1FFFF)) for _ in range(2000)]
+    for text in texts:
         assert cached.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -116,7 +121,12 @@ def test_query_covers_every_id_once(spark, documents):
     for doc_id, text in rows:
         ids[doc_id] = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
     limits = Limits(2048, 16, 2048)
-    found = checksums(packed(encoded_pieces(documents(rows), PATH), limits, group=32)).collect()
+    found = packed_documents(documents(rows), PATH, limits, group=32).collect()
+    for r in found:
+        assert len(r.ids) == r.length and r.loss is None
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+    bare = packed_documents(documents(rows), PATH, limits, group=32, with_ids=False).collect()
+    assert [tuple(r) for r in bare] == [(*r[:4], *r[6:]) for r in found]
     parts, sequences = {}, {}
     for r in found:
         sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
@@ -169,11 +179,14 @@ def test_instruction_turns_keep_their_loss_masks(spark):
 
 
 def test_empty_tables_and_clashing_names(spark, documents):
-    pieces = encoded_pieces(documents([]), PATH)
-    assert checksums(packed(pieces)).collect() == []
+    assert packed_documents(documents([]), PATH).collect() == []
+    pieces = spark.createDataFrame([("x", 0, [5, 6, 1]), ("y", 0, None), ("z", 0, [])], "group string, start int, ids array<int>")
+    assert packed(pieces.limit(0)).collect() == []
     with pytest.raises(ValueError, match="names of outputs"):
         packed(pieces.withColumn("offset", F.lit(1)))
     with pytest.raises(ValueError, match="positive"):
         Limits(0)
-    kept = packed(encoded_pieces(documents([(1, "a b")]), PATH).withColumn("group", F.lit("x"))).collect()
-    assert sum(r.length for r in kept) == 3 and {r.group for r in kept} == {"x"}
+    with pytest.raises(Exception, match="longer than the 2 tokens"):
+        packed(pieces, Limits(2)).collect()
+    kept = packed(pieces).collect()
+    assert sum(r.length for r in kept) == 3 and {r.group for r in kept} == {"x"} and "loss" not in kept[0]
