@@ -140,8 +140,10 @@ def counts_single_family(df: DataFrame, metrics: Mapping[str, SingleCount]) -> D
     return single_bins(value_counts(df, specs), names, specs)
 
 
-def single_bins(tallied: DataFrame, names: Sequence[str], specs: Sequence[SingleCount]) -> DataFrame:
-    """Bins of :func:`counts_single_family` from its counted labels."""
+def single_bins(
+    tallied: DataFrame, names: Sequence[str], specs: Sequence[SingleCount], *, few: bool = False
+) -> DataFrame:
+    """Bins of :func:`counts_single_family` from its counted labels; ``few`` as in :func:`with_position`."""
     keys = group_keys(len(specs))
     total = per_metric(tallied, F.sum("n"), len(specs))
     bins = suppress_rare(tallied, total, specs).select(
@@ -151,19 +153,20 @@ def single_bins(tallied: DataFrame, names: Sequence[str], specs: Sequence[Single
         "__combined",
         ordinal_rank(F.col("label"), pick_order([m.order for m in specs])).alias("__rank"),
         (-F.col("n")).alias("__most"),
+        total.alias("__total"),
     )
     placed = with_position(
         bins,
         ["__rank", "__most", "label", "__combined"],
         by=keys,
-        few=all(m.few_bins() for m in specs),
+        few=few or all(m.few_bins() for m in specs),
     )
     return placed.select(
         name_column(names).alias("name"),
         "pos",
         "label",
         F.col("n").alias("count"),
-        percent_of(F.col("n"), total).alias("percent"),
+        percent_of(F.col("n"), F.col("__total")).alias("percent"),
     )
 
 
@@ -327,9 +330,10 @@ def _open_choices(picks: DataFrame, value: Column, total: Column, metric: Single
         .groupBy(value.cast("string").alias("label"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    bins = suppress_rare(tallied, base, [metric]).withColumn("__most", -F.col("n"))
+    bins = suppress_rare(tallied, base, [metric]).withColumn("__most", -F.col("n")).withColumn("__total", base)
     placed = with_position(bins, ["__combined", "__most", "label"])
-    return placed.select("pos", "label", F.col("n").alias("count"), percent_of(F.col("n"), base).alias("percent"))
+    share = percent_of(F.col("n"), F.col("__total"))
+    return placed.select("pos", "label", F.col("n").alias("count"), share.alias("percent"))
 
 
 def set_totals(df: DataFrame, choices: Mapping[str, str | Column]) -> DataFrame:

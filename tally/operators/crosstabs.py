@@ -22,10 +22,10 @@ from tally.operators.specs import (
     per_metric,
     pick,
     pick_order,
-    settled,
     stack,
     yes_flags,
 )
+from tally.storage import stored
 
 # How a cell's value is to be read.
 RATE = "rate_pct"
@@ -83,11 +83,15 @@ def crosstab_family(df: DataFrame, metrics: Mapping[str, CrossTab], *, dense: bo
 
 
 def crosstab_cells(
-    pairs: DataFrame, names: Sequence[str], specs: Sequence[CrossTab], *, dense: bool = True
+    pairs: DataFrame, names: Sequence[str], specs: Sequence[CrossTab], *, dense: bool = True, few: bool = False
 ) -> DataFrame:
-    """Cells of :func:`crosstab_family` from its counted pairs."""
+    """Cells of :func:`crosstab_family` from its counted pairs, which are written once.
+
+    ``few`` as in :func:`with_position`; such pairs are read as they are.
+    """
     keys = group_keys(len(specs))
-    pairs = settled(pairs, *keys, "x", "y")
+    if not few:
+        pairs = stored(pairs, "pairs")
 
     # Both label sets are numbered together: side 0 is x, side 1 is y.
     sides = F.array(
@@ -106,7 +110,7 @@ def crosstab_cells(
         "__most", -F.col("label_n")
     )
     labels = with_position(
-        ranked, ["__rank", "__most", "label"], by=[*keys, "side"]
+        ranked, ["__rank", "__most", "label"], by=[*keys, "side"], few=few
     )
     # Tested together with the position, the side is not pushed below the numbering,
     # which would number each side by a plan of its own.
@@ -261,8 +265,13 @@ def trait_slots(count: int) -> list[str]:
     return [f"__t{i}" for i in range(count)]
 
 
-def trait_cells(per_x: DataFrame, traits: Sequence[str], x_order: Sequence[str] | None) -> DataFrame:
-    """Placed cells from a row per x value: ``x``, its base ``__x_n`` and a count for each trait."""
+def trait_cells(
+    per_x: DataFrame, traits: Sequence[str], x_order: Sequence[str] | None, *, few: bool = False
+) -> DataFrame:
+    """Placed cells from a row per x value: ``x``, its base ``__x_n`` and a count for each trait.
+
+    ``few`` as in :func:`with_position`.
+    """
     slots = trait_slots(len(traits))
     # One row: the base and each trait's total.
     sums = F.struct(F.sum("__x_n").alias("total"), F.array(*[F.sum(s) for s in slots]).alias("traits"))
@@ -271,16 +280,14 @@ def trait_cells(per_x: DataFrame, traits: Sequence[str], x_order: Sequence[str]
     ranked = per_x.withColumn("__rank", ordinal_rank(F.col("x"), order)).withColumn(
         "__most", -F.col("__x_n")
     )
-    placed = with_position(
-        ranked, ["__rank", "__most", "x"], pos="x_pos"
-    )
+    placed = with_position(ranked.withColumn("__base", base), ["__rank", "__most", "x"], pos="x_pos", few=few)
     rows = [
         F.struct(
             F.lit(i + 1).alias("y_pos"), F.lit(trait).alias("y"), F.col(slot).alias("count")
         )
         for i, (trait, slot) in enumerate(zip(traits, slots))
     ]
-    cells = placed.withColumn("__base", base).select(
+    cells = placed.select(
         "x_pos", "x", "__x_n", "__base", F.inline(F.array(*rows))
     )
     return cells.select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tally.functions import keep_values, map_values, percent_of, round_tenths
 from tally.operators.counts import MIN_COUNT
 from tally.operators.position import with_position
-from tally.operators.specs import as_column, settled
+from tally.operators.specs import as_column
 
 
 @dataclass(frozen=True)
@@ -208,7 +208,8 @@ def _surviving(pairs: DataFrame, flow: Flow) -> DataFrame:
     runs on every pair, before the floor is applied. All branches read the same
     columns of the pairs and margins, so each is shuffled once.
     """
-    pairs = settled(pairs, "x", "y")
+    # Shuffled once more, by their unique key, pairs are read by all branches as they are.
+    pairs = pairs.repartition("x", "y")
     margins = _margins(pairs)
     per_label = margins.groupBy("label").agg(
         F.count(F.lit(1)).alias("sides"),
@@ -271,9 +272,10 @@ def flow_links(
     return links_of_pairs(_flow_pairs(df, flow), flow)
 
 
-def links_of_pairs(pairs: DataFrame, flow: Flow) -> DataFrame:
-    """Links of :func:`flow_links` from counted pairs ``(x, y, n, first)``."""
-    placed = with_position(_surviving(pairs, flow), ["x_first", "x", "y_first", "y"], pos="link_pos")
+def links_of_pairs(pairs: DataFrame, flow: Flow, *, few: bool = False) -> DataFrame:
+    """Links of :func:`flow_links` from counted pairs ``(x, y, n, first)``; ``few`` as in :func:`with_position`."""
+    kept = _surviving(pairs, flow)
+    placed = with_position(kept, ["x_first", "x", "y_first", "y"], pos="link_pos", few=few)
     share = round_tenths(percent_of(F.col("n"), F.col("total")))
     number = share if flow.as_percent else F.col("n")
     return placed.select(
@@ -301,8 +303,8 @@ def flow_nodes(
     return nodes_of_pairs(_flow_pairs(df, flow), flow)
 
 
-def nodes_of_pairs(pairs: DataFrame, flow: Flow) -> DataFrame:
-    """Nodes of :func:`flow_nodes` from counted pairs ``(x, y, n, first)``."""
+def nodes_of_pairs(pairs: DataFrame, flow: Flow, *, few: bool = False) -> DataFrame:
+    """Nodes of :func:`flow_nodes` from counted pairs ``(x, y, n, first)``; ``few`` as in :func:`with_position`."""
     ends = F.array(
         *[
             F.struct(
@@ -322,7 +324,7 @@ def nodes_of_pairs(pairs: DataFrame, flow: Flow) -> DataFrame:
         .groupBy("side_no", "node")
         .agg(F.min("seen").alias("seen"), *pinned)
     )
-    placed = with_position(nodes, ["side_no", "seen", "node"], pos="node_pos")
+    placed = with_position(nodes, ["side_no", "seen", "node"], pos="node_pos", few=few)
     return placed.select(
         "node_pos",
         "node",

@@ -2,25 +2,20 @@
 
 Every ordered result carries a ``pos`` column so that its order survives
 shuffles and writes. Results that the metric itself keeps few are numbered with
-one window. Anything else is numbered in parallel: rows are cut into ranges by
-splitters taken from the data, numbered inside each range, and shifted by the
-number of rows in the ranges before it. No range is tied to one key, so a label
-set of any size spreads over the cluster.
+one window. Anything else is ordered by range over all partitions and written
+once; a row's position is its place in its part of the written table, after all
+rows of the parts before.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Ranges per shuffle partition, so that a range is a fraction of a task.
-_RANGES_PER_PARTITION = 4
-# Text is compared by this many characters in choosing ranges, never in numbering.
-_PREFIX = 32
+from tally.storage import stored
 
 
 def with_position(
@@ -33,78 +28,29 @@ def with_position(
 ) -> DataFrame:
     """Number rows from 1 (BIGINT) by ascending ``order`` columns, per group ``by``.
 
-    ``order`` must be a total order within a group. ``few`` is for frames whose
-    size is bounded by the parameters of a metric (a percent floor, a top-k); it
-    numbers each group in one task.
+    ``order`` must be a total order within a group; ``by`` are numbers that a metric
+    bounds. ``few`` is for frames whose size is bounded by the parameters of a metric
+    (a percent floor, a top-k); it numbers each group in one task.
+
+    Otherwise ``df`` runs once, into the shared folder. Positions come from what was
+    written, so a task that runs again, or a range cut elsewhere, changes none.
     """
     if few:
         number = F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("bigint")
         return df.withColumn(pos, number)
 
-    # Three branches read the rows. Shuffled once more, by their unique key, they
-    # are read as they are; otherwise each branch would redo what produced them.
-    df = df.repartition(*by, *order)
-    columns = [f"`{c}`" for c in df.columns]
-    kinds = dict(df.dtypes)
-    parts = _cut_key([*by, *order], kinds)
-    # Every branch reads all columns, or they would be pruned differently and each
-    # branch would shuffle for itself. The hash does it in eight bytes.
-    keyed = df.selectExpr(*columns, f"struct({', '.join(parts)}) AS __key", f"xxhash64({', '.join(columns)}) AS __hash")
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fan = max(2, math.isqrt(_RANGES_PER_PARTITION * partitions - 1) + 1)
-    ranged = (
-        keyed.withColumn("__splitters", _splitters(keyed, fan))
-        .selectExpr("*", f"{fan} * size(filter(__splitters.coarse, s -> s < __key)) AS __block")
-        .selectExpr(
-            *columns,
-            "__hash",
-            "__block + size(filter("
-            f"slice(__splitters.fine, __block + 1, {fan}), s -> s < __key)) AS __range",
-        )
-    )
-    group = ", ".join([*(f"`{c}`" for c in by), "__range"])
-    partition = f"PARTITION BY {', '.join(f'`{c}`' for c in by)}" if by else ""
-    # The order is total without the hash, which is there for the shared shuffle only.
-    sequence = ", ".join([*(f"`{c}`" for c in order), "__hash"])
-    count = F.count_if(F.col("__hash") >= 0) + F.count_if(F.col("__hash") < 0)
-    # One row per group and range.
-    sizes = ranged.groupBy(*by, "__range").agg(count.alias("__size"))
-    starts = sizes.selectExpr(
-        *(f"`{c}`" for c in by),
-        "__range",
-        f"coalesce(sum(__size) OVER ({partition} ORDER BY __range "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __start",
+    placed = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+    # Ids rise along a partition without gaps.
+    written = stored(
+        placed.withColumn("__part", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id()),
+        "ordered",
     )
-    inside = f"row_number() OVER (PARTITION BY {group} ORDER BY {sequence}) AS __inside"
-    numbered = ranged.selectExpr("*", inside).join(starts, [*by, "__range"])
-    kept = [f"`{c}`" for c in df.columns if c != pos]
-    return numbered.selectExpr(*kept, f"__inside + __start AS `{pos}`")
-
-
-def _cut_key(columns: Sequence[str], kinds: dict[str, str]) -> list[str]:
-    """Short expressions in the order of the columns, good for cutting it into ranges.
-
-    Texts with one prefix compare as equal, and so does all that follows them; a
-    text that is its own prefix comes before those that go on.
-    """
-    parts: list[str] = []
-    longer: list[str] = []
-    for column in columns:
-        own = [f"`{column}`"]
-        if kinds[column] == "string":
-            goes_on = f"coalesce(length(`{column}`) > {_PREFIX}, false)"
-            own = [f"left(`{column}`, {_PREFIX})", goes_on]
-        parts += [f"IF({' OR '.join(longer)}, NULL, {part})" if longer else part for part in own]
-        if kinds[column] == "string":
-            longer.append(goes_on)
-    return parts
-
-
-def _splitters(keyed: DataFrame, fan: int) -> Column:
-    """Sorted bottom-k hash sample of the keys: repeatable, and at most ``fan`` squared keys."""
-    sample = keyed.select("__key", "__hash").orderBy("__hash", "__key").limit(fan * fan)
-    return (
-        sample.selectExpr("sort_array(collect_list(__key)) AS fine")
-        .selectExpr(f"struct(fine, filter(fine, (s, i) -> i % {fan} = {fan - 1}) AS coarse)")
-        .scalar()
+    parts = written.groupBy(*by, "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    before = W.partitionBy(*by).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    starts = parts.select(
+        *by, "__part", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1).alias("__shift")
     )
+    # One row for each partition and group, which the metric and the settings bound.
+    numbered = written.join(F.broadcast(starts), [*by, "__part"])
+    kept = [c for c in df.columns if c != pos]
+    return numbered.select(*kept, (F.col("__row") + F.col("__shift")).alias(pos))

@@ -81,7 +81,7 @@ def _band_counts(placed: DataFrame, specs, sizes, weight: Column | None = None)
 
 
 def _segments(
-    counted: DataFrame, total: Column, names, specs, sizes
+    counted: DataFrame, total: Column, names, specs, sizes, few: bool = False
 ) -> DataFrame:
     """Score, place and unfold the counted choices into one row per segment."""
     keys = group_keys(len(specs))
@@ -98,16 +98,15 @@ def _segments(
         F.lit(0).cast("bigint"),
         lambda acc, p: acc + p,
     )
-    scored = items.withColumn("score", points).withColumn("__most", -F.col("score"))
-    placed = with_position(scored, ["__most", "choice"], by=keys, pos="item_pos")
+    scored = items.withColumn("score", points).withColumn("__most", -F.col("score")).withColumn("total", total)
+    placed = with_position(scored, ["__most", "choice"], by=keys, pos="item_pos", few=few)
     shares = F.transform("bands", lambda n: percent_of(n, F.col("total")))
     rest = F.lit(100.0) - F.aggregate("shares", F.lit(0.0), lambda acc, p: acc + p)
     rest = F.when((rest < 0) & (rest > -1e-9), F.lit(0.0)).otherwise(rest)
     placements = F.aggregate("bands", F.lit(0).cast("bigint"), lambda acc, n: acc + n)
     texts = pick([F.array(*[F.lit(s) for s in [*segments, UNRANKED]]) for segments in labels])
     filled = (
-        placed.withColumn("total", total)
-        .withColumn("shares", shares)
+        placed.withColumn("shares", shares)
         .select(
             name_column(names).alias("name"),
             "item_pos",
@@ -156,14 +155,18 @@ def rank_distribution_family(df: DataFrame, metrics: Mapping[str, RankCount]) ->
 
 
 def rank_segments(
-    placed: DataFrame, names: Sequence[str], specs: Sequence[RankCount], weight: Column | None = None
+    placed: DataFrame, names: Sequence[str], specs: Sequence[RankCount], weight: Column | None = None,
+    *, few: bool = False,
 ) -> DataFrame:
-    """Segments of :func:`rank_distribution_family` from ``(asked, position, choice)`` rows."""
+    """Segments of :func:`rank_distribution_family` from ``(asked, position, choice)`` rows.
+
+    ``few`` as in :func:`with_position`.
+    """
     sizes = [len(m.ranks) for m in specs]
     counted = _band_counts(placed, specs, sizes, weight)
     shared = [c for c in counted.columns if c == "ranked" or c.startswith("__b")]
     total = per_metric(counted, F.sum("base"), len(specs), pin=shared)
-    return _segments(counted, total, names, specs, sizes)
+    return _segments(counted, total, names, specs, sizes, few)
 
 
 def rank_distribution(

@@ -44,15 +44,6 @@ def kept_per_metric(column: str, excludes: Sequence[Sequence[str] | None]) -> Co
     return keep
 
 
-def settled(frame: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle aggregated rows once more so that several readers share the result.
-
-    A reused shuffle holds the rows before the final aggregation, which every
-    reader would repeat. This one holds one row per key.
-    """
-    return frame.repartition(*keys)
-
-
 def pick(values: Sequence[Column]) -> Column:
     """The entry that belongs to the row's metric."""
     if len(values) == 1:

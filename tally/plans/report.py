@@ -316,8 +316,8 @@ def _sankey_options(counts: DataFrame, key: str, metric: Funnel | Flow) -> DataF
         nodes = None
     else:
         pairs = counts.select(F.col("k1").alias("x"), F.col("k2").alias("y"), "n", "first")
-        links = links_of_pairs(pairs, metric)
-        nodes = nodes_of_pairs(pairs, metric).select("node_pos", "node")
+        links = links_of_pairs(pairs, metric, few=True)
+        nodes = nodes_of_pairs(pairs, metric, few=True).select("node_pos", "node")
     row = links.agg(_ordered(["link_pos"], "source", "target", "value").alias("links"))
     if nodes is None:
         # Declared nodes that a surviving link touches, read off the links themselves.
@@ -540,7 +540,7 @@ def chart_options(counts: DataFrame, report: Report) -> DataFrame:
     k1, k2, n = F.col("k1"), F.col("k2"), F.col("n")
     if singles := of(SingleCount):
         rows, names, specs = family(singles)
-        frames.append(_bar_options(single_bins(keyed(rows, k1.alias("label"), n), names, specs), singles))
+        frames.append(_bar_options(single_bins(keyed(rows, k1.alias("label"), n), names, specs, few=True), singles))
     if multis := of(MultiCount):
         rows, names, specs = family(multis)
         place = F.col(METRIC) if len(specs) > 1 else F.lit(0)
@@ -554,11 +554,11 @@ def chart_options(counts: DataFrame, report: Report) -> DataFrame:
     if ranks := of(RankCount):
         rows, names, specs = family(ranks)
         placed = keyed(rows, k2.isNull().alias("asked"), k2.cast("int").alias("position"), k1.alias("choice"), n)
-        frames.append(_rank_options(rank_segments(placed, names, specs, weight=n)))
+        frames.append(_rank_options(rank_segments(placed, names, specs, weight=n, few=True)))
     if tables := of(CrossTab):
         rows, names, specs = family(tables)
         pairs = keyed(rows, k1.alias("x"), k2.alias("y"), n)
-        frames.append(_table_options(crosstab_cells(pairs, names, specs), tables))
+        frames.append(_table_options(crosstab_cells(pairs, names, specs, few=True), tables))
     if tabs := of(TraitTab):
         cells = [_trait_table(counts.filter(F.col("metric") == numbers[k]), k, c.metric) for k, c in tabs.items()]
         frames.append(_table_options(_stack(cells), tabs))
@@ -577,7 +577,7 @@ def _trait_table(counts: DataFrame, key: str, metric: TraitTab) -> DataFrame:
     ]
     base = F.coalesce(F.sum(F.when(trait.isNull(), n)), F.lit(0).cast("bigint"))
     per_x = counts.groupBy(F.col("k1").alias("x")).agg(base.alias("__x_n"), *sums)
-    cells = trait_cells(per_x, list(metric.choices), metric.x_order)
+    cells = trait_cells(per_x, list(metric.choices), metric.x_order, few=True)
     return trait_values(cells, metric.denominator).withColumn("name", F.lit(key))
 
 

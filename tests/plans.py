@@ -5,6 +5,19 @@ from collections import Counter
 
 def executed_operators(df):
     """Node names of the final plan after running ``df``, subqueries included."""
+    return Counter(node.getClass().getSimpleName() for node in _executed(df))
+
+
+def scanned(df):
+    """The folders and files that the final plan read, once for each scan."""
+    return [
+        node.relation().location().rootPaths().apply(0).toString()
+        for node in _executed(df)
+        if node.getClass().getSimpleName() == "FileSourceScanExec"
+    ]
+
+
+def _executed(df):
     df.collect()
     names = []
     seen = set()
@@ -15,7 +28,7 @@ def executed_operators(df):
     def walk(node):
         name = node.getClass().getSimpleName()
         if name in ("ReusedExchangeExec", "ReusedSubqueryExec"):
-            names.append(name)
+            names.append(node)
             return
         if name == "AdaptiveSparkPlanExec":
             walk(node.executedPlan())
@@ -23,7 +36,7 @@ def executed_operators(df):
         if name.endswith("QueryStageExec"):
             walk(node.plan())
             return
-        names.append(name)
+        names.append(node)
         for sub in children(node.subqueries()):
             # One subquery may hang on several nodes; it runs once.
             if sub.id() not in seen:
@@ -33,7 +46,7 @@ def executed_operators(df):
             walk(child)
 
     walk(df._jdf.queryExecution().executedPlan())
-    return Counter(names)
+    return names
 
 
 def nested_loops(operators):

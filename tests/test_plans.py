@@ -1,7 +1,10 @@
 """What the executed plans must look like, whatever the data size."""
 
+from collections import Counter
+
 import pytest
-from plans import executed_operators, nested_loops
+from plans import executed_operators, nested_loops, scanned
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tally.operators import (
@@ -24,6 +27,8 @@ from tally.operators import (
     set_combinations,
     staged_funnel,
 )
+from tally.operators import crosstabs, position
+from tally.operators.position import with_position
 from tally.plans import (
     Chart,
     Combinations,
@@ -34,6 +39,7 @@ from tally.plans import (
     TraitTab,
     report_counts,
 )
+from tally.storage import stored
 
 SF_DIR = "/root/testdata/sf0.001"
 OFF = {"min_percent": None, "min_count": None}
@@ -53,37 +59,100 @@ def flags():
     return {flag: F.col("l_returnflag") == flag for flag in "ANR"}
 
 
+@pytest.fixture
+def written(monkeypatch):
+    """Frames that operators write while a test runs."""
+    frames = []
+
+    def keep(df, name):
+        frames.append(df)
+        return stored(df, name)
+
+    for module in (position, crosstabs):
+        monkeypatch.setattr(module, "stored", keep)
+    return frames
+
+
 def plans(orders, lines):
     cross = ("o_orderpriority", "o_orderstatus")
     return {
-        "single": counts_single(orders, "o_orderpriority"),
-        "single unbounded": counts_single(orders, "o_custkey", **OFF),
-        "single family": counts_single_family(
+        "single": lambda: counts_single(orders, "o_orderpriority"),
+        "single unbounded": lambda: counts_single(orders, "o_custkey", **OFF),
+        "single family": lambda: counts_single_family(
             orders, {"a": SingleCount("o_orderpriority"), "b": SingleCount("o_custkey", **OFF)}
         ),
-        "multi family": counts_multi_family(lines, {"m": MultiCount(flags()), "n": MultiCount(flags())}),
-        "crosstab": crosstab(orders, *cross, normalize="x"),
-        "crosstab family": crosstab_family(
+        "multi family": lambda: counts_multi_family(lines, {"m": MultiCount(flags()), "n": MultiCount(flags())}),
+        "crosstab": lambda: crosstab(orders, *cross, normalize="x"),
+        "crosstab family": lambda: crosstab_family(
             orders, {"a": CrossTab(*cross), "b": CrossTab(*cross, normalize="y")}
         ),
-        "rank family": rank_distribution_family(
+        "rank family": lambda: rank_distribution_family(
             orders, {"a": RankCount(list(cross)), "b": RankCount(list(cross), [(1, 2)])}
         ),
-        "crosstab multi": crosstab_multi(lines, flags(), "l_linestatus", denominator="lift"),
-        "ranks": rank_distribution(orders, list(cross)),
-        "sets": set_combinations(lines, flags()),
-        "funnel": staged_funnel(orders, "o_orderpriority"),
-        "flow": flow_links(orders, *cross, id="o_orderkey"),
-        "nodes": flow_nodes(orders, *cross, id="o_orderkey"),
+        "crosstab multi": lambda: crosstab_multi(lines, flags(), "l_linestatus", denominator="lift"),
+        "ranks": lambda: rank_distribution(orders, list(cross)),
+        "sets": lambda: set_combinations(lines, flags()),
+        "funnel": lambda: staged_funnel(orders, "o_orderpriority"),
+        "flow": lambda: flow_links(orders, *cross, id="o_orderkey"),
+        "nodes": lambda: flow_nodes(orders, *cross, id="o_orderkey"),
     }
 
 
-def test_one_scan_and_no_nested_loops(orders, lines):
-    for name, df in plans(orders, lines).items():
-        operators = executed_operators(df)
-        assert operators["FileSourceScanExec"] == 1, name
-        assert nested_loops(operators) == 0, name
-        assert operators["ArrowEvalPythonExec"] == 0, name
+def test_one_scan_and_no_nested_loops(orders, lines, written):
+    """Of the input, over all that an operator writes and returns."""
+    for name, made in plans(orders, lines).items():
+        written.clear()
+        df = made()
+        frames = [df, *written]
+        read = Counter()
+        for frame in frames:
+            operators = executed_operators(frame)
+            read += Counter(path.split("/")[-1] for path in scanned(frame))
+            # What is joined without keys is one row.
+            assert nested_loops(operators) == 0, name
+            assert operators["ArrowEvalPythonExec"] == 0, name
+        assert sum(n for path, n in read.items() if path in ("orders.parquet", "lineitem.parquet")) == 1, name
+
+
+def test_positions_over_many_and_few_rows(spark):
+    """Ranges of any number of labels, equal keys of a group apart, and no rows at all."""
+    for rows, partitions in ((0, 3), (1, 5), (100_000, 7)):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            df = spark.range(rows).selectExpr("id % 3 AS g", "id % 1000 AS k", "id AS tie", "concat('r', id) AS label")
+            whole = with_position(df, ["k", "tie"])
+            by = with_position(df, ["k", "tie"], by=["g"])
+            assert whole.columns == [*df.columns, "pos"]
+            places = [r.pos for r in whole.orderBy("k", "tie").collect()]
+            assert places == list(range(1, rows + 1))
+            window = "row_number() OVER (PARTITION BY g ORDER BY k, tie)"
+            assert by.selectExpr("pos", f"{window} AS nth").where("pos <> nth").count() == 0
+            assert whole.schema["pos"].dataType.simpleString() == "bigint"
+            # Read again, rows keep their places.
+            assert sorted(map(tuple, by.collect())) == sorted(map(tuple, by.collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+def test_positions_after_a_killed_task(spark):
+    """A task that fails after half its rows and runs again leaves the same positions."""
+    df = spark.range(2_000).selectExpr("id", "pmod(hash(id), 100) AS k")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def failing(x):
+        if TaskContext.get().attemptNumber() == 0 and x == 1_500:
+            seen.add(1)
+            raise RuntimeError("lost")
+        return x
+
+    tried = spark.conf.get("spark.task.maxFailures", "1")
+    broken = df.withColumn("id", failing("id"))
+    if tried == "1":  # local sessions of one attempt: the job fails whole, and is run anew
+        with pytest.raises(Exception, match="lost"):
+            with_position(broken, ["k", "id"])
+    expected = {r.id: r.pos for r in with_position(df, ["k", "id"], few=True).collect()}
+    assert {r.id: r.pos for r in with_position(df, ["k", "id"]).collect()} == expected
 
 
 def test_scans_are_pruned_and_filtered(orders):
@@ -96,10 +165,8 @@ def test_scans_are_pruned_and_filtered(orders):
 def test_partition_count_does_not_change_results(spark, orders, lines):
     def results(partitions):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
-        spread = {
-            name: df for name, df in plans(orders.repartition(partitions), lines.repartition(partitions)).items()
-        }
-        return {name: sorted(map(str, df.collect())) for name, df in spread.items()}
+        spread = plans(orders.repartition(partitions), lines.repartition(partitions))
+        return {name: sorted(map(str, made().collect())) for name, made in spread.items()}
 
     try:
         assert results(2) == results(7)
