@@ -55,7 +55,7 @@ from tally.sources import (
 )
 
 OFF = {"min_percent": None, "min_count": None}
-LEVELS = ["Beginner", "Intermediate", "Advanced"]
+SEASONS = ["First", "Some", "Many", "All my life"]
 
 
 def rows(df, *order):
@@ -163,35 +163,35 @@ def survey(spark, data_dir):
 
 
 def full_report(survey):
-    stoves = survey.multi("stove")
-    region, level = survey.col("region"), survey.col("level")
-    tab = CrossTab(region, level, "y", y_order=LEVELS)
+    crops = survey.multi("grows")
+    plot, seasons = survey.col("plot"), survey.col("seasons")
+    tab = CrossTab(plot, seasons, "y", y_order=SEASONS)
     return Report(
         year=2025,
-        title="Kitchens",
+        title="Allotments",
         intro_paragraphs=["One.", "Two."],
         sections=[
             ReportSection("people", "People", note="Small groups are hidden.", rows=[
-                ReportRow("region", "Region", survey.prompt("region"),
-                          [Chart("bar", SingleCount(region, **OFF), height=240)]),
-                ReportRow("level", "Level", survey.prompt("level"),
-                          [Chart("lollipop", SingleCount(level, order=LEVELS, **OFF))]),
+                ReportRow("plot", "Plots", survey.prompt("plot"),
+                          [Chart("bar", SingleCount(plot, **OFF), height=240)]),
+                ReportRow("seasons", "Seasons", survey.prompt("seasons"),
+                          [Chart("lollipop", SingleCount(seasons, order=SEASONS, **OFF))]),
             ]),
             ReportSection("tools", "Tools", rows=[
-                ReportRow("stove", "Stoves", survey.prompt("stove"), wide=True, charts=[
-                    Chart("bar", MultiCount(stoves, **OFF)),
-                    Chart("upset", Combinations(stoves, min_size=2, codes={"Gas": "G"}), height=560),
-                    Chart("heatmap", TraitTab(stoves, level, "rate", x_order=LEVELS), low=0, high=100),
-                    Chart("heatmap", TraitTab(stoves, level, "lift", x_order=LEVELS)),
+                ReportRow("grows", "Crops", survey.prompt("grows"), wide=True, charts=[
+                    Chart("bar", MultiCount(crops, **OFF)),
+                    Chart("upset", Combinations(crops, min_size=2, codes={"Beans": "bn"}), height=560),
+                    Chart("heatmap", TraitTab(crops, seasons, "rate", x_order=SEASONS), low=0, high=100),
+                    Chart("heatmap", TraitTab(crops, seasons, "lift", x_order=SEASONS)),
                 ]),
                 ReportRow("mixed", "Mixed", "q", commentary="Own words.", charts=[
-                    Chart("bar", SingleCount(first_semver(survey.col("firmware")), **OFF)),
-                    Chart("rank", RankCount(survey.ranking("goals"), bands=[(1, 1), (2, 3)])),
+                    Chart("bar", SingleCount(first_semver(survey.col("station")), **OFF)),
+                    Chart("rank", RankCount(survey.ranking("chores"), bands=[(1, 2)])),
                     Chart("heatmap", tab), Chart("line", tab),
-                    Chart("sankey", Flow(region, level, "respondent_id", min_count=1)),
-                    Chart("sankey", Funnel(level)),
-                    Chart("likert", Likert(SingleCount(level, **OFF), ["Advanced"], ["Beginner"], [])),
-                    Chart("bar", SingleCount(region, exclude=["Europe", "Asia", "North America", "Africa", "Prefer not to say"])),
+                    Chart("sankey", Flow(plot, seasons, "respondent_id", min_count=1)),
+                    Chart("sankey", Funnel(seasons)),
+                    Chart("likert", Likert(SingleCount(seasons, **OFF), ["Many"], ["First"], [])),
+                    Chart("bar", SingleCount(plot, exclude=["Brook", "Hill", "Orchard"])),
                 ]),
             ]),
         ],
@@ -221,61 +221,63 @@ def test_document_structure(document):
     assert people["note"] == "Small groups are hidden." and tools["note"] is None
     row = people["rows"][0]
     assert list(row) == ["id", "title", "question", "commentary", "charts", "wide"]
-    assert row["commentary"] == "Europe leads." and row["wide"] is False
+    assert row["commentary"] == "The brook floods; people stay." and row["wide"] is False
     assert tools["rows"][0]["wide"] is True and tools["rows"][0]["commentary"] == ""
 
 
 def test_optional_chart_fields(document):
-    region = document["sections"][0]["rows"][0]["charts"][0]
-    assert region["height"] == 240 and "caption" not in region and "key" not in region
-    level = document["sections"][0]["rows"][1]["charts"][0]
-    assert "height" not in level
+    plots = document["sections"][0]["rows"][0]["charts"][0]
+    assert plots["height"] == 240 and "caption" not in plots and "key" not in plots
+    seasons = document["sections"][0]["rows"][1]["charts"][0]
+    assert "height" not in seasons
 
 
 def test_bar_data(document):
     option = document["sections"][0]["rows"][0]["charts"][0]["option"]
-    assert option["yAxis"]["data"] == ["Prefer not to say", "Africa", "North America", "Asia", "Europe"]
-    assert [s["data"] for s in option["series"]] == [[5.0, 10.0, 20.0, 20.0, 45.0]]
+    assert option["yAxis"]["data"] == ["Orchard", "Hill", "Brook"]
+    assert [s["data"] for s in option["series"]] == [[18.2, 36.4, 45.5]]
     lollipop = document["sections"][0]["rows"][1]["charts"][0]["option"]
     assert [s["type"] for s in lollipop["series"]] == ["bar", "pictorialBar"]
-    assert lollipop["series"][1]["data"] == [25.0, 50.0, 25.0]
-    stoves = document["sections"][1]["rows"][0]["charts"][0]["option"]
-    assert stoves["yAxis"]["data"] == ["Wood", "Induction", "Gas"]
-    assert stoves["series"][0]["data"] == [15.0, 30.0, 95.0]
+    assert lollipop["series"][1]["data"] == [9.1, 36.4, 27.3, 27.3]
+    crops = document["sections"][1]["rows"][0]["charts"][0]["option"]
+    assert crops["yAxis"]["data"] == ["Plums", "Leeks", "Kale", "Beans"]
+    assert crops["series"][0]["data"] == [36.4, 36.4, 36.4, 54.5]
 
 
 def test_other_chart_data(document):
-    stove, mixed = document["sections"][1]["rows"]
-    upset = stove["charts"][1]
-    assert upset["caption"].endswith("| G | Gas |")
-    assert upset["option"]["rowAxis"]["data"] == ["G", "Induction", "Wood"]
-    assert sum(b["value"] for b in upset["option"]["sizes"]["data"]) <= 20
-    assert len(upset["option"]["dots"]["data"]) == 3 * len(upset["option"]["sizes"]["data"])
-    rate, lift = stove["charts"][2]["option"], stove["charts"][3]["option"]
-    assert rate["xAxis"]["data"] == LEVELS and rate["yAxis"]["data"] == ["Gas", "Induction", "Wood"]
+    grows, mixed = document["sections"][1]["rows"]
+    upset = grows["charts"][1]
+    assert upset["caption"].endswith("| bn | Beans |")
+    assert upset["option"]["rowAxis"]["data"] == ["bn", "Kale", "Leeks", "Plums"]
+    # Beans with kale, beans with leeks, and plums alone stand twice each; four others once.
+    assert [b["value"] for b in upset["option"]["sizes"]["data"]] == [2, 2, 2]
+    assert len(upset["option"]["dots"]["data"]) == 4 * 3
+    assert upset["option"]["subtext"].startswith("4 combinations are")
+    rate, lift = grows["charts"][2]["option"], grows["charts"][3]["option"]
+    assert rate["xAxis"]["data"] == SEASONS and rate["yAxis"]["data"] == ["Beans", "Kale", "Leeks", "Plums"]
     assert rate["visualMap"] == {"min": 0, "max": 100} and lift["visualMap"] == {"min": 0, "max": 2}
-    assert len(rate["series"][0]["data"]) == 9
+    assert len(rate["series"][0]["data"]) == 16
     version, rank, heat, line, flow, funnel, likert, empty = (c["option"] for c in mixed["charts"])
-    assert version["yAxis"]["data"] == ["Skipped", "No Match", "2.24.1", "2.18.5"]
-    assert [s["name"] for s in rank["series"]] == ["1", "2-3", "Unranked"]
+    assert version["yAxis"]["data"] == ["2.9.14", "Skipped", "No Match", "3.1.0", "3.0.1"]
+    assert [s["name"] for s in rank["series"]] == ["1-2", "Unranked"]
     assert all(abs(sum(parts) - 100) < 0.2 for parts in zip(*(s["data"] for s in rank["series"])))
-    assert [s["name"] for s in line["series"]] == LEVELS
+    assert [s["name"] for s in line["series"]] == SEASONS
     points = {(x, y): v for x, y, v in heat["series"][0]["data"]}
     assert [s["data"] for s in line["series"]] == [
-        [points[x, y] for x in range(5)] for y in range(3)
+        [points[x, y] for x in range(3)] for y in range(4)
     ]
     assert {n["name"] for n in flow["series"][0]["data"]} == {
         e for link in flow["series"][0]["links"] for e in (link["source"], link["target"])
     }
     assert funnel["series"][0] == {"type": "sankey", "data": [], "links": []}
-    assert [(s["name"], s["data"]) for s in likert["series"]] == [("Advanced", [25.0]), ("Beginner", [25.0])]
-    assert mixed["charts"][6]["key"] == [{"label": "Advanced"}, {"label": "Beginner"}]
+    assert [(s["name"], s["data"]) for s in likert["series"]] == [("Many", [36.4]), ("First", [27.3])]
+    assert mixed["charts"][6]["key"] == [{"label": "Many"}, {"label": "First"}]
     assert empty == {"yAxis": {"type": "category", "data": []}, "series": [{"type": "bar", "data": []}]}
 
 
 def test_missing_commentary_fails(spark, survey):
     report = Report(2025, "t", [ReportSection("s", "S", [
-        ReportRow("lonely", "L", "q", [Chart("bar", SingleCount(survey.col("level")))]),
+        ReportRow("lonely", "L", "q", [Chart("bar", SingleCount(survey.col("seasons")))]),
     ])])
     notes = spark.createDataFrame([("other", "x")], "section_id string, body string")
     with pytest.raises(Exception, match="no commentary for row lonely"):
@@ -307,7 +309,7 @@ def test_write_read_and_index(spark, built, tmp_path):
     reports = read_reports(spark, path)
     assert reports.count() == 3
     assert [tuple(r) for r in report_index(reports).collect()] == [
-        ("community", 2025, "Kitchens"), ("community", 2024, "Kitchens"),
+        ("community", 2025, "Allotments"), ("community", 2024, "Allotments"),
     ]
     page = report_page(reports, "community", 2025).first()
     assert page.sections[0].rows[0].charts[0].toPython()["height"] == 240

@@ -26,7 +26,7 @@ from tally.storage import shared_folder
 @pytest.fixture(scope="module")
 def survey(spark, data_dir):
     title, catalog = load_catalog(spark, str(data_dir / "survey.yaml"))
-    assert title == "Kitchen Survey"
+    assert title == "Allotment Survey"
     return read_responses(spark, str(data_dir / "responses.csv"), catalog)
 
 
@@ -41,12 +41,13 @@ def write(path, text):
 
 def test_catalog_keeps_order_types_and_choices(spark, data_dir):
     rows = load_catalog(spark, str(data_dir / "survey.yaml"))[1].orderBy("position").collect()
-    assert [r.question_id for r in rows] == ["region", "stove", "goals", "firmware", "level", "folded"]
-    assert [r.type for r in rows] == ["single", "multiple", "ranking", "text", "single", "single"]
-    assert rows[1].choices == ["Gas", "Induction", "Wood"]
+    assert [r.question_id for r in rows] == ["plot", "grows", "chores", "station", "seasons", "water", "fence"]
+    assert [r.type for r in rows] == ["single", "multiple", "ranking", "text", "single", "multiple", "single"]
+    assert rows[1].choices == ["Beans", "Kale", "Leeks", "Plums"]
     assert rows[3].choices is None
-    assert rows[5].choices == ["Yes", "No"]
-    assert rows[5].norm_prompt == "This prompt is written over several lines and has to be folded."
+    assert rows[6].choices == ["Yes", "No"]
+    asked = "Did the council ask you before it moved the fence and the gate of your plot?"
+    assert rows[6].norm_prompt == asked
 
 
 def test_catalog_from_json(spark, tmp_path):
@@ -110,19 +111,19 @@ def test_bracket_suffix(spark, header, base, suffix, rank):
 
 
 def test_questions_are_matched_by_prompt(survey):
-    assert list(survey) == ["region", "stove", "goals", "firmware", "level", "folded"]
-    assert survey.frame.count() == 20
-    assert survey.choices("stove") == ["Gas", "Induction", "Wood"]
-    assert len(survey.ranking("goals")) == 3
-    assert survey.prompt("region") == "In which region do you cook?"
-    assert survey.type("goals") == "ranking"
+    assert list(survey) == ["plot", "grows", "chores", "station", "seasons", "water", "fence"]
+    assert survey.frame.count() == 11
+    assert survey.choices("water") == ["Well", "Rain"]
+    assert len(survey.ranking("chores")) == 2
+    assert survey.prompt("plot") == "Which plot is yours?"
+    assert survey.type("chores") == "ranking"
 
 
 def test_blank_answers(survey):
-    firmware = [r[0] for r in survey.frame.select(survey["firmware"]).collect()]
-    assert firmware.count("Skipped") == 1
-    first_rank = [r[0] for r in survey.frame.select(survey.goals[0]).collect()]
-    assert first_rank.count(None) == 1
+    station = [r[0] for r in survey.frame.select(survey["station"]).collect()]
+    assert station.count("Skipped") == 2
+    second_rank = [r[0] for r in survey.frame.select(survey.chores[1]).collect()]
+    assert second_rank.count(None) == 3
 
 
 def test_golden_counts(survey):
@@ -131,31 +132,21 @@ def test_golden_counts(survey):
     def shares(df):
         return [(r.label, r["count"], r.percent) for r in df.orderBy("pos").collect()]
 
-    assert shares(counts_single(survey.frame, survey.col("region"), **off)) == [
-        ("Europe", 9, 45.0),
-        ("Asia", 4, 20.0),
-        ("North America", 4, 20.0),
-        ("Africa", 2, 10.0),
-        ("Prefer not to say", 1, 5.0),
-    ]
-    scale = ["Beginner", "Intermediate", "Advanced"]
-    assert shares(counts_single(survey.frame, survey.col("level"), order=scale, **off)) == [
-        ("Beginner", 5, 25.0),
-        ("Intermediate", 10, 50.0),
-        ("Advanced", 5, 25.0),
-    ]
-    assert shares(counts_multi(survey.frame, survey.multi("stove"), **off)) == [
-        ("Gas", 19, 95.0),
-        ("Induction", 6, 30.0),
-        ("Wood", 3, 15.0),
-    ]
-    version = first_semver(survey.col("firmware"))
-    assert shares(counts_single(survey.frame, version, **off)) == [
-        ("2.18.5", 13, 65.0),
-        ("2.24.1", 5, 25.0),
-        ("No Match", 1, 5.0),
-        ("Skipped", 1, 5.0),
-    ]
+    def of(*pairs):
+        return [(label, n, pytest.approx(100 * n / 11)) for label, n in pairs]
+
+    plot = counts_single(survey.frame, survey.col("plot"), **off)
+    assert shares(plot) == of(("Brook", 5), ("Hill", 4), ("Orchard", 2))
+    scale = ["First", "Some", "Many", "All my life"]
+    seasons = counts_single(survey.frame, survey.col("seasons"), order=scale, **off)
+    assert shares(seasons) == of(("First", 3), ("Some", 3), ("Many", 4), ("All my life", 1))
+    grows = counts_multi(survey.frame, survey.multi("grows"), **off)
+    assert shares(grows) == of(("Beans", 6), ("Kale", 4), ("Leeks", 4), ("Plums", 4))
+    assert shares(counts_multi(survey.frame, survey.multi("water"), **off)) == of(("Rain", 8), ("Well", 3))
+    fence = counts_single(survey.frame, survey.col("fence"), **off)
+    assert shares(fence) == of(("No", 7), ("Yes", 3), ("Skipped", 1))
+    version = counts_single(survey.frame, first_semver(survey.col("station")), **off)
+    assert shares(version) == of(("3.0.1", 3), ("3.1.0", 3), ("No Match", 2), ("Skipped", 2), ("2.9.14", 1))
 
 
 def test_all_faults_of_a_catalog_are_named_together(spark):
@@ -168,14 +159,14 @@ def test_all_faults_of_a_catalog_are_named_together(spark):
 
 
 def test_unknown_question_names_close_ones(survey):
-    with pytest.raises(KeyError, match="nothing under 'stoves'; close to it: stove"):
-        survey["stoves"]
+    with pytest.raises(KeyError, match="nothing under 'waters'; close to it: water"):
+        survey["waters"]
     with pytest.raises(AttributeError, match="nothing under 'nope'"):
         survey.nope
-    with pytest.raises(TypeError, match="'stove' was asked as multiple"):
-        survey.col("stove")
-    assert [h[h.index("["):] for h in survey.headers("stove")] == ["[Gas]", "[Induction]", "[Wood]"]
-    assert len(survey.headers("level")) == 1
+    with pytest.raises(TypeError, match="'water' was asked as multiple"):
+        survey.col("water")
+    assert [h[h.index("["):] for h in survey.headers("water")] == ["[Well]", "[Rain]"]
+    assert len(survey.headers("seasons")) == 1
 
 
 def test_missing_column(spark, tmp_path):
@@ -252,9 +243,9 @@ def test_long_answers_and_landing(survey, tmp_path):
     for source in (survey, landed):
         answers = source.long_answers()
         kinds = {r.kind: r["count"] for r in answers.groupBy("kind").count().collect()}
-        assert kinds == {"single": 60, "text": 20, "multiple": 28, "ranking": 59}
-    picks = landed.long_answers().filter("question_id = 'stove'").groupBy("choice").count()
-    assert {r.choice: r["count"] for r in picks.collect()} == {"Gas": 19, "Induction": 6, "Wood": 3}
+        assert kinds == {"single": 33, "text": 11, "multiple": 29, "ranking": 18}
+    picks = landed.long_answers().filter("question_id = 'grows'").groupBy("choice").count()
+    assert {r.choice: r["count"] for r in picks.collect()} == {"Beans": 6, "Kale": 4, "Leeks": 4, "Plums": 4}
 
 
 def test_explicit_respondent_id_is_a_number(spark, tmp_path):
@@ -280,9 +271,9 @@ def test_repeated_headers_need_a_single_file(spark, tmp_path):
 def test_commentary(spark, data_dir):
     notes = {r.section_id: r.body for r in load_commentary(spark, str(data_dir / "commentary.md")).collect()}
     assert notes == {
-        "region": "Europe leads.",
-        "level": "First paragraph.\n\n### Detail\nSecond paragraph.",
-        "stove": "",
+        "seasons": "Old hands are few.\n\n### Of the first-timers\n\nHalf left by June.",
+        "grows": "",
+        "plot": "The brook floods; people stay.",
     }
 
 
