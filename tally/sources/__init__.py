@@ -11,6 +11,10 @@ from tally.sources.catalog import (
 )
 from tally.sources.reports import (
     parse_reports,
+    publish_run,
+    published,
+    published_frame,
+    published_reports,
     read_reports,
     report_index,
     report_page,

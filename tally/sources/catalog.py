@@ -143,14 +143,14 @@ def choice_mismatches(catalog: DataFrame, matched: DataFrame) -> DataFrame:
     for declared choices without a column.
     """
     closed = catalog.filter((F.col("type") == "multiple") & F.col("choices").isNotNull())
-    declared = closed.select("question_id", F.explode("choices").alias("choice"))
+    declared = closed.select("question_id", F.explode("choices").alias("choice"), F.lit(1).alias("side"))
     present = matched.join(closed.select("question_id"), "question_id", "left_semi").select(
-        "question_id", F.col("suffix").alias("choice")
+        "question_id", F.col("suffix").alias("choice"), F.lit(2).alias("side")
     )
-    keys = ["question_id", "choice"]
-    extra = present.join(declared, keys, "left_anti").withColumn("side", F.lit("columns"))
-    absent = declared.join(present, keys, "left_anti").withColumn("side", F.lit("declared"))
-    return extra.unionByName(absent).select("question_id", "side", "choice")
+    # Both sides meet in one aggregation: a bit for each says where a choice was seen.
+    seen = declared.unionByName(present).groupBy("question_id", "choice").agg(F.bit_or("side").alias("sides"))
+    side = F.when(F.col("sides") == 2, F.lit("columns")).otherwise(F.lit("declared"))
+    return seen.filter("sides <> 3").select("question_id", side.alias("side"), "choice")
 
 
 def binding_faults(catalog: DataFrame, matched: DataFrame) -> DataFrame:

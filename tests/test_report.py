@@ -46,6 +46,10 @@ from tally.plans import (
 from tally.sources import (
     load_catalog,
     load_commentary,
+    publish_run,
+    published,
+    published_frame,
+    published_reports,
     read_reports,
     read_responses,
     report_index,
@@ -315,6 +319,37 @@ def test_write_read_and_index(spark, built, tmp_path):
     assert page.sections[0].rows[0].charts[0].toPython()["height"] == 240
 
 
+def test_a_run_is_seen_whole_or_not_at_all(spark, built, frame, tmp_path):
+    path = str(tmp_path / "published")
+    bins = counts_single(frame(v=["a", "b", "b"]), "v", **OFF).withColumn("series", F.lit("community"))
+
+    def titles():
+        return sorted((r.year, r.title) for r in published_reports(spark, path).collect())
+
+    assert titles() == [] and published(spark, path).count() == 0
+    with pytest.raises(ValueError, match="no run has published"):
+        published_frame(spark, path, "letters")
+    both = built.unionByName(built.withColumn("year", F.lit(2024)).withColumn(
+        "document", F.replace("document", F.lit('"year":2025'), F.lit('"year":2024'))))
+    frames = {"letters": bins.withColumn("year", F.lit(2025)).unionByName(bins.withColumn("year", F.lit(2024)))}
+    assert publish_run(path, both, frames) == 1
+    assert titles() == [(2024, "Allotments"), (2025, "Allotments")]
+    # The second run breaks off in its frame: its report is written, and not seen.
+    newer = built.withColumn("document", F.replace("document", F.lit("Allotments"), F.lit("Gardens")))
+    broken = bins.withColumn("year", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        publish_run(path, newer, {"letters": broken})
+    assert len(list((tmp_path / "published" / "runs").iterdir())) == 2
+    assert titles() == [(2024, "Allotments"), (2025, "Allotments")]
+    assert published_frame(spark, path, "letters").count() == 4
+    # A run replaces the years that it brings, and those only.
+    fewer = {"letters": bins.limit(1).withColumn("year", F.lit(2025))}
+    assert publish_run(path, newer, fewer) == 2
+    assert titles() == [(2024, "Allotments"), (2025, "Gardens")]
+    counts = published_frame(spark, path, "letters").groupBy("year").count().collect()
+    assert {r.year: r["count"] for r in counts} == {2024: 2, 2025: 1}
+
+
 def test_reader_defaults_and_version(spark, tmp_path):
     good = {"schema_version": 1, "year": 2020, "title": "Old", "sections": [
         {"id": "s", "heading": "S", "rows": [{"id": "r", "title": "R", "question": "q", "commentary": "", "charts": []}]},

@@ -1,5 +1,7 @@
 """Cleaning, matching and unpivoting of answers."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tally.functions import (
@@ -25,9 +27,12 @@ from tally.sources import (
     header_forms,
     match_headers,
     missing_questions,
+    question_catalog,
+    read_responses,
     rows_without_commentary,
     split_sections,
 )
+from tally.storage import shared_folder
 from workload.registry import query, table
 
 
@@ -349,58 +354,112 @@ def matched(spark, d):
 
 @query(
     "missing_questions",
-    """
-    SELECT 'label_' || doc_id AS question_id, 'single' AS type FROM labels
-    WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE n_chars > 2000)
-    """,
+    "SELECT 'doc_' || doc_id AS question_id, 'single' AS type FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
 )
 def missing(spark, d):
-    """A question for each labelled document; the long documents bring the columns."""
+    """A question for each document; the labels bring the columns."""
     prompt = F.concat(F.lit("How good is "), F.col("doc_id").cast("string"), F.lit("?"))
-    catalog = table(spark, d, "labels").select(
-        F.concat(F.lit("label_"), F.col("doc_id").cast("string")).alias("question_id"),
+    catalog = table(spark, d, "documents").select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("question_id"),
         F.col("doc_id").cast("int").alias("position"),
         prompt.alias("norm_prompt"),
         F.lit("single").alias("type"),
         F.lit(None).cast("array<string>").alias("choices"),
     )
-    long = table(spark, d, "documents").filter("n_chars > 2000")
-    headers = long.select(F.col("doc_id").cast("int").alias("pos"), F.concat(F.lit(" "), prompt).alias("raw"))
+    labels = table(spark, d, "labels")
+    headers = labels.select(F.col("doc_id").cast("int").alias("pos"), F.concat(F.lit(" "), prompt).alias("raw"))
     return missing_questions(catalog, match_headers(header_forms(headers), catalog)).select("question_id", "type")
 
 
-_OFFERS = """
-    WITH declared AS (SELECT DISTINCT p_brand AS b, p_type || ' ' || p_size AS choice FROM part
-                      WHERE p_retailprice < 1500),
-    present AS (SELECT DISTINCT p_brand AS b, p_type || ' ' || p_size AS choice FROM part WHERE p_size <= 25)
+_BALANCES = """
+    WITH declared AS (SELECT DISTINCT 'nation_' || c_nationkey AS q, CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) AS choice
+                      FROM customer),
+    present AS (SELECT DISTINCT 'nation_' || s_nationkey AS q, CAST(CAST(floor(s_acctbal) AS BIGINT) AS VARCHAR) AS choice
+                FROM supplier)
 """
 
 
 @query(
     "choice_mismatches",
     f"""
-    {_OFFERS}
-    SELECT b AS question_id, 'columns' AS side, choice FROM (FROM present EXCEPT FROM declared)
-    WHERE b IN (SELECT b FROM declared)
-    UNION ALL SELECT b, 'declared', choice FROM (FROM declared EXCEPT FROM present)
+    {_BALANCES}
+    SELECT q AS question_id, 'columns' AS side, choice FROM (FROM present EXCEPT FROM declared)
+    WHERE q IN (SELECT q FROM declared)
+    UNION ALL SELECT q, 'declared', choice FROM (FROM declared EXCEPT FROM present)
     """,
 )
 def mismatched(spark, d):
-    """A question for each brand: cheap parts declare its choices, small parts bring its columns."""
-    parts = table(spark, d, "part").withColumn("choice", F.concat_ws(" ", "p_type", F.col("p_size").cast("string")))
-    prompt = F.concat(F.lit("Parts of "), "p_brand")
-    # The distinct types and sizes of a brand.
-    declared = parts.filter("p_retailprice < 1500").groupBy("p_brand").agg(F.collect_set("choice").alias("choices"))
+    """A question for each nation: customers declare its balances, suppliers bring its columns."""
+    customers, suppliers = table(spark, d, "customer"), table(spark, d, "supplier")
+
+    def balance(column):
+        return F.floor(column).cast("string")
+
+    def prompt(key):
+        return F.concat(F.lit("Balances of nation "), F.col(key).cast("string"))
+
+    # The distinct whole balances of a nation.
+    declared = customers.groupBy("c_nationkey").agg(F.collect_set(balance("c_acctbal")).alias("choices"))
     catalog = declared.select(
-        F.col("p_brand").alias("question_id"), F.hash("p_brand").alias("position"), prompt.alias("norm_prompt"),
+        F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")).alias("question_id"),
+        F.col("c_nationkey").alias("position"), prompt("c_nationkey").alias("norm_prompt"),
         F.lit("multiple").alias("type"), "choices",
     )
-    headers = parts.filter("p_size <= 25").select(
-        F.col("p_partkey").cast("int").alias("pos"), F.concat(prompt, F.lit(" ["), "choice", F.lit("]")).alias("raw")
+    headers = suppliers.select(
+        F.col("s_suppkey").cast("int").alias("pos"),
+        F.concat(prompt("s_nationkey"), F.lit(" ["), balance("s_acctbal"), F.lit("]")).alias("raw"),
     )
     return choice_mismatches(catalog, match_headers(header_forms(headers), catalog))
 
 
+@query(
+    "read_responses",
+    """
+    SELECT row_number() OVER (ORDER BY c_custkey) AS respondent_id, c_name AS name, c_mktsegment AS segment,
+           CASE WHEN c_acctbal < 0 THEN 'Skipped' ELSE c_mktsegment || ', "' || c_nationkey || '"' END AS note,
+           c_acctbal > 5000 AS rich, c_nationkey % 2 = 0 AS even,
+           CASE WHEN c_acctbal < 1000 THEN NULL ELSE c_mktsegment END AS best
+    FROM customer
+    """,
+)
+def responses(spark, d):
+    """Customers as response files, several of them, read back against a catalog and numbered by arrival."""
+
+    def flag(condition):
+        return F.when(condition, F.lit("Yes")).otherwise(F.lit("No"))
+
+    segment = F.col("c_mktsegment")
+    answers = table(spark, d, "customer").select(
+        F.col("c_name").alias("Who are you?"),
+        segment.alias(" Which  segment? "),
+        F.when(F.col("c_acctbal") < 0, F.lit(" ")).otherwise(
+            F.concat(segment, F.lit(', "'), F.col("c_nationkey").cast("string"), F.lit('"'))
+        ).alias("A note?"),
+        flag(F.col("c_acctbal") > 5000).alias("What fits? [rich]"),
+        flag(F.col("c_nationkey") % 2 == 0).alias("What fits? [even]"),
+        F.when(F.col("c_acctbal") < 1000, F.lit("")).otherwise(segment).alias("Which is best? [Rank 1]"),
+        "c_custkey",
+    )
+    folder = f"{shared_folder(spark)}/responses-{uuid.uuid4().hex}"
+    # Files in the order of the customers, a few from each range.
+    ordered = answers.repartitionByRange("c_custkey").sortWithinPartitions("c_custkey").drop("c_custkey")
+    ordered.write.options(header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False,
+                          ignoreTrailingWhiteSpace=False).csv(folder)
+    catalog = question_catalog(spark, [
+        {"id": "who", "prompt": "Who are you?", "type": "text"},
+        {"id": "segment", "prompt": "Which segment?", "type": "single"},
+        {"id": "note", "prompt": "A note?", "type": "text"},
+        {"id": "fits", "prompt": "What fits?", "type": "multiple", "choices": ["even", "rich"]},
+        {"id": "best", "prompt": "Which is best?", "type": "ranking"},
+    ])
+    survey = read_responses(spark, folder, catalog)
+    fits = survey.multi("fits")
+    return survey.frame.select(
+        "respondent_id", survey.who.alias("name"), survey.segment.alias("segment"), survey.note.alias("note"),
+        fits["rich"].alias("rich"), fits["even"].alias("even"), survey.ranking("best")[0].alias("best"),
+    )
+
+
 @query(
     "catalog_faults",
     """
