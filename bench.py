@@ -44,6 +44,7 @@ HEADLINE = (
     "split_sections",
     "report_index",
     "report_document",
+    "report_full",
 )
 
 
