@@ -24,6 +24,12 @@ def carried(batch: pa.RecordBatch, columns: list[str], rows: slice | None = None
     return {c: part.column(c) for c in columns}
 
 
+def refuse_clash(carry: tuple[str, ...], outputs: tuple[str, ...]) -> None:
+    """Columns to carry may not bear the names of outputs."""
+    if clash := set(outputs) & set(carry):
+        raise ValueError(f"columns to carry have names of outputs: {sorted(clash)}")
+
+
 class Emitter:
     """Collects columns of output and hands them on as record batches of a useful size."""
 

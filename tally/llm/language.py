@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.groups import Emitter, carried, map_batches
+from tally.llm.groups import Emitter, carried, map_batches, refuse_clash
 from tally.llm.storage import stored
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -196,8 +196,9 @@ def predicted(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = ("d
     The score is the chance of the predicted language among the learned ones, given the code
     lengths. ``und`` with a score of 0 stands for a null text, one without a letter, and any
     text where no language was learned. Equal code lengths go to the smaller name. Other
-    columns are ignored.
+    columns are ignored; ``carry`` may not name an output.
     """
+    refuse_clash(carry, ("lang_pred", "score"))
     columns = [c for c in dict.fromkeys(carry)]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
 

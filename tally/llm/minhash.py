@@ -238,7 +238,8 @@ def _grouped(docs: DataFrame, banding: Banding, carry: tuple[str, ...] = ()) ->
     )
     clusters = components(candidate_links(nodes, banding))
     cells = _cells(nodes, clusters, banding)
-    texts = docs.select("text", _row_key())
+    # One copy for each key, combined before the shuffle: a row may stand there any number of times.
+    texts = docs.select("text", _row_key()).groupBy("row_key").agg(F.first("text").alias("text"))
     work = _link_cell(banding.percent, banding.size)
     links = map_groups(
         cells.join(texts, "row_key").select("cell", "set_key", "text"), ["cell"], work, "a bigint, b bigint"

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.groups import Emitter, carried, map_batches, map_groups
+from tally.llm.groups import Emitter, carried, map_batches, map_groups, refuse_clash
 from tally.llm.storage import stored
 from tally.llm.words import U64, Words, mixed, words_of
 
@@ -232,8 +232,10 @@ def scored(docs: DataFrame, model: Quality, carry: tuple[str, ...] = ("doc_id",)
     """``*carry, score``: the probability of label 1 from the whole text of each row.
 
     Only ``text`` is read for the score. A null or empty text counts as one without words,
-    which has a score as well. Very long texts are read whole. Other columns are ignored.
+    which has a score as well. Very long texts are read whole. Other columns are ignored;
+    ``carry`` may not name the output.
     """
+    refuse_clash(carry, ("score",))
     columns = [c for c in dict.fromkeys(carry)]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
 

@@ -87,7 +87,10 @@ def shards(docs: DataFrame, shard_count: int, sample: int = 8192, ranges_per_sha
         (F.coalesce(F.octet_length("text"), F.lit(0)) + _OVERHEAD).cast("bigint").alias("size"),
         F.crc32("text").alias("text_crc32"),
         F.xxhash64("text").alias("key"),
-    ).withColumn("tie", F.xxhash64("doc_id", "key"))
+    ).withColumn(
+        # The row's place in the written table parts rows that repeat id and text.
+        "tie", F.struct(F.xxhash64("doc_id", "key").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    )
     records = stored(records, "records")
     ranges = shard_count * ranges_per_shard
     located = records.withColumn("cuts", splitters(records, ranges, sample)).select(

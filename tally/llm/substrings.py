@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.groups import Emitter, carried, map_batches
+from tally.llm.groups import Emitter, carried, map_batches, refuse_clash
 from tally.llm.storage import stored
 from tally.llm.words import U64, mixed, signed, words_of
 
@@ -172,10 +172,11 @@ def without_repeats(
     nothing stay as they are. A null text has no words and stays null;
     texts with fewer than ``window`` words keep them all. Every row counts as a document,
     also one that repeats another. Words and windows are compared by 64-bit hashes. ``docs``
-    needs ``text`` and the columns to ``carry``; others are ignored.
+    needs ``text`` and the columns to ``carry``, which may not name an output; others are ignored.
     """
     if not 1 <= edge <= window:
         raise ValueError("an edge has at least one word and at most as many as a window")
+    refuse_clash(carry, ("n_words", "n_removed", "kept_text"))
     paths = stored(_paths(docs, window, edge), "paths")
     source = F.struct("text_key", "head", "tail")
     distinct = paths.groupBy("edge", "path").agg(F.count(F.lit(1)).alias("n"), F.min(source).alias("source"))

@@ -142,13 +142,21 @@ def top_k(
     ask together with it. All rows are candidates: pivots
     only steer which rows meet where. There is one pivot for ``group`` rows, at most
     ``max_pivots``, taken from the rows by hash; larger groups are cut into parts.
+    Scores must fit a long: a length times the square of the largest scaled component beyond
+    that is refused with a ValueError.
     """
     sound = rows.where(finite("embedding") & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("bigint"), F.size("embedding").alias("dim"), "embedding"
     )
     sound = sound.dropDuplicates(["vec_id", "embedding"])
     sound = stored(sound, "vectors")
-    total, often = sound.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+    size = F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double"))))
+    per_id = sound.groupBy("vec_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max(size).alias("size"), F.max("dim").alias("dim")
+    )
+    total, often, largest, longest = per_id.agg(F.sum("n"), F.max("n"), F.max("size"), F.max("dim")).first()
+    if total and longest * (abs(scale) * largest + 1) ** 2 >= 2.0**63:
+        raise ValueError(f"components up to {largest:g} give scores that may not fit a long")
     if not total:
         return sound.selectExpr("vec_id AS query_id", "CAST(1 AS INT) AS rank", "vec_id", "vec_id AS score").limit(0)
     wanted = min(max_pivots, -(-total // group))

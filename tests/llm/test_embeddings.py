@@ -122,3 +122,9 @@ def test_scores_beyond_doubles_are_exact():
     query, data = np.array([[2.0**31, 1.0]]), np.array([[2.0**31, 1.0], [2.0**31, 3.0]])
     [(at, places, score)] = best(query, np.array([0]), data, np.array([1, 2]), 2)
     assert dict(zip(places.tolist(), score.tolist())) == {0: 2**62 + 1, 1: 2**62 + 3}
+
+
+def test_scores_that_do_not_fit_a_long_are_refused(spark):
+    frame = spark.createDataFrame([(20, [1e18, 1.0]), (21, [1e18, -1.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(ValueError, match="fit a long"):
+        top_k(frame, "vec_id % 20 = 0", k=2)

@@ -52,6 +52,19 @@ def test_shards(spark, documents, sample):
     assert all(abs(b - mean) <= longest for b in bytes_.values())
 
 
+def test_rows_that_repeat_are_spread_as_well(documents):
+    short = [row for row in corpus(3) if len(row[1] or "") < 600]
+    rows = shards(documents([(None, "")] * 10_000 + short), 40).collect()
+    assert len(rows) == 10_000 + len(short)
+    slots, size = defaultdict(list), defaultdict(int)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        size[r.shard] += r.size
+    assert len(slots) == 40 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    mean = sum(size.values()) / 40
+    assert max(abs(s - mean) for s in size.values()) <= 616  # less than the records at both ends
+
+
 def test_shards_of_nothing_and_of_one(documents):
     assert shards(documents([]), 4).collect() == []
     [row] = shards(documents([(1, "x")]), 4).collect()

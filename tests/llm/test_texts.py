@@ -7,8 +7,10 @@ from collections import Counter
 
 import pytest
 
+from tally.llm.language import predicted
 from tally.llm.lines import without_later_lines
 from tally.llm.minhash import Banding, near_duplicates, one_of_each
+from tally.llm.quality import scored
 from tally.llm.substrings import without_repeats
 from tests.llm.conftest import reachable
 
@@ -163,3 +165,23 @@ def test_a_line_between_differing_neighbours_goes_but_for_its_first_place(docume
     rows = [(1, f"one\n{line}\ntwo"), (2, f"three\n\n{line}\nfour"), (3, line), (4, f"{line}\nfive\n{line}"), (5, "six")]
     got = {r.doc_id: r.kept_text for r in without_later_lines(documents(rows), gram=1, window=1).collect()}
     assert got == {1: f"one\n{line}\ntwo", 2: "three\n\nfour", 3: "", 4: "five", 5: "six"}
+
+
+def test_ten_thousand_repeats_of_a_row(documents):
+    text = "one copy of a row is compared however often it stands in the table"
+    rows = [(7, text)] * 10_000 + [(3, text + " again"), (9, "nothing like the others in any of its words")]
+    found = near_duplicates(documents(rows), Banding(size=3, percent=85)).collect()
+    assert len(found) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in found} == {(7, 3), (3, 3), (9, 9)}
+    assert sum(r.kept for r in found) == 2
+
+
+@pytest.mark.parametrize("operator,output", [
+    (without_later_lines, "kept_text"), (without_repeats, "n_words"),
+    (lambda docs, carry: predicted(docs, None, carry), "lang_pred"),
+    (lambda docs, carry: scored(docs, None, carry), "score"),
+])
+def test_a_carried_column_may_not_name_an_output(documents, operator, output):
+    docs = documents([(1, "a text")]).withColumnRenamed("source", output)
+    with pytest.raises(ValueError, match=output):
+        operator(docs, carry=("doc_id", output))
