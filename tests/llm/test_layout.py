@@ -101,6 +101,44 @@ def test_every_token_is_packed_once(documents):
         assert {c for *_, c in items} == {SIZES.cheapest(at)}
 
 
+def slow_best_fit(lengths, sizes):
+    """The bins' contents tried one by one; of equally full bins the one filled last is taken."""
+    bins, where = [], {}  # a bin: size opened, tokens in it, step of its last piece
+    left = sum(lengths)
+    for step, i in enumerate(sorted(range(len(lengths)), key=lambda i: -lengths[i])):
+        n = lengths[i]
+        fitting = [(size - used, -last, b) for b, (size, used, last) in enumerate(bins) if size - used >= n]
+        if fitting:
+            b = min(fitting)[2]
+        else:
+            per_token = {}
+            for size in sizes.lengths:
+                if size >= n:
+                    cost = sizes.fixed + size + sizes.quadratic * size * size
+                    per_token[size] = cost / min(size, left)
+            b = len(bins)
+            bins.append((min(per_token, key=lambda size: (per_token[size], size)), 0, step))
+        size, used, _ = bins[b]
+        where[i] = (b, used)
+        bins[b] = (size, used + n, step)
+        left -= n
+    final = [
+        min((sizes.fixed + c + sizes.quadratic * c * c, c) for c in sizes.lengths if c >= used)[1] for _, used, _ in bins
+    ]
+    return [(*where[i], final[where[i][0]]) for i in range(len(lengths))]
+
+
+@pytest.mark.parametrize("sizes", [Sizes(), SIZES, Sizes((7,)), Sizes((3, 50, 51), fixed=0.0, quadratic=1.0)])
+def test_packing_against_slow_best_fit(sizes):
+    draw = random.Random(11)
+    largest = sizes.lengths[-1]
+    for _ in range(60):
+        few = draw.choice([3, 20, largest])  # many ties, or hardly any
+        lengths = [draw.randint(1, min(few, largest)) for _ in range(draw.randrange(0, 200))]
+        got = packed(np.array(lengths, np.int64), sizes)
+        assert [tuple(map(int, row)) for row in zip(*got)] == slow_best_fit(lengths, sizes)
+
+
 def test_packing_is_tight():
     draw = np.random.default_rng(3)
     lengths = draw.integers(1, 65, 5000)
