@@ -122,18 +122,17 @@ def crosstab_cells(
         *keys, F.col("label").alias("y"), F.col("pos").alias("y_pos"), F.col("label_n").alias("y_n")
     )
 
-    # Every x row is repeated once per y label and matched by position, so the
-    # dense frame comes from an equi-join whose keys are spread evenly.
     shape = F.struct(
+        F.count_if(F.col("side") == 0).alias("x_labels"),
         F.count_if(F.col("side") == 1).alias("y_labels"),
         F.sum(F.when(F.col("side") == 0, F.col("label_n"))).alias("total"),
     )
-    sized = xs.withColumn("__shape", per_metric(margins, shape, len(specs)))
+    shape = per_metric(margins, shape, len(specs))
+    sized = xs.withColumn("__shape", shape)
     if not dense:
         placed = _joined(_joined(pairs, sized, [*keys, "x"]), ys, [*keys, "y"])
         return _cells(placed, names, specs)
-    y_run = F.sequence(F.lit(1).cast("bigint"), F.col("__shape.y_labels"))
-    filled = sized.withColumn("y_pos", F.explode(y_run)).join(ys, [*keys, "y_pos"])
+    filled = _filled(sized, ys.withColumn("__shape", shape), keys)
     counted = pairs.select(
         *[F.col(k).alias(f"__p{k}") for k in keys],
         F.col("x").alias("__px"),
@@ -147,6 +146,23 @@ def crosstab_cells(
     return _cells(cells, names, specs)
 
 
+def _filled(xs: DataFrame, ys: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every x label beside every y label, from labels that know the ``__shape`` of their crosstab.
+
+    Each x row is repeated once per y label and matched by position. Few y positions would send
+    all x rows to as few tasks, so the y labels are repeated until they are about as many as
+    the x labels, and each x row meets one of the repeats: no key holds more x rows than there
+    are y labels.
+    """
+    shape = F.col("__shape")
+    repeats = F.ceil(shape["x_labels"] / shape["y_labels"])
+    y_run = F.sequence(F.lit(1).cast("bigint"), shape["y_labels"])
+    left = xs.withColumn("__repeat", F.pmod(F.col("x_pos"), repeats)).withColumn("y_pos", F.explode(y_run))
+    repeated = F.explode(F.sequence(F.lit(0).cast("bigint"), repeats - 1))
+    right = ys.withColumn("__repeat", repeated).drop("__shape")
+    return left.join(right, [*keys, "y_pos", "__repeat"])
+
+
 def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join by keys of which null is one more value."""
     other = right.select(*[F.col(c).alias(f"__r{c}" if c in keys else c) for c in right.columns])

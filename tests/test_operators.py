@@ -332,6 +332,23 @@ def test_crosstab_keeps_null_labels(frame):
     assert sorted(cells(crosstab(df, "x", "y")), key=str) == [("a", "p", 1, 50.0), (None, "p", 1, 50.0)]
 
 
+@pytest.mark.parametrize("n_x,n_y", [(2000, 3), (3, 500), (7, 7), (1, 1), (10, 4)])
+def test_dense_fill_holds_no_key_with_many_rows(spark, n_x, n_y):
+    from tally.operators.crosstabs import _filled
+
+    def labels(side, n):
+        shape = F.struct(F.lit(n_x).cast("bigint").alias("x_labels"), F.lit(n_y).cast("bigint").alias("y_labels"))
+        return spark.range(1, n + 1).select(
+            F.col("id").alias(f"{side}_pos"), F.concat(F.lit(side), "id").alias(side), shape.alias("__shape")
+        )
+
+    filled = _filled(labels("x", n_x), labels("y", n_y), [])
+    pairs = {(r.x_pos, r.x, r.y_pos, r.y) for r in filled.collect()}
+    assert pairs == {(i, f"x{i}", j, f"y{j}") for i in range(1, n_x + 1) for j in range(1, n_y + 1)}
+    assert filled.count() == n_x * n_y
+    assert filled.groupBy("y_pos", "__repeat").count().agg(F.max("count")).first()[0] <= n_y
+
+
 def test_crosstab_family(frame):
     df = frame(x=["A", "A", "B", "C"], y=["P", "Q", "P", "Q"])
     specs = {
