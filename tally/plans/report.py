@@ -1,18 +1,19 @@
 """Declarative reports: rows of charts, all counted in one pass.
 
 Every metric of a report is a count over (metric, key, key) with the first id seen.
-``report_counts`` stacks all of them and aggregates once, whatever the number of charts;
-everything after reads that small table. Counts of several inputs add up, so a growing
-survey keeps the counts of its parts. The result is one nested JSON document. A chart's
-data is what the page displays, so the document is meant for metrics with a displayable
-number of labels; metric frames of any size are written with :func:`write_frames`.
+``report_counts`` stacks all of them and aggregates once, whatever the number of charts,
+and counts once what several metrics count by the same keys; everything after reads that
+small table. Counts of several inputs add up, so a growing survey keeps the counts of its
+parts. The result is one nested JSON document. A chart's data is what the page displays, so
+the document is meant for metrics with a displayable number of labels; metric frames of any
+size are written with :func:`write_frames`.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -407,6 +408,9 @@ def _stack(frames: Sequence[DataFrame]) -> DataFrame:
 
 # --- counts ----------------------------------------------------------------
 
+# Flags of an input row that travel and are summed together.
+_MASK_FLAGS = 8
+
 
 def _numbered(report: Report) -> tuple[dict[str, Chart], list[object], dict[str, int]]:
     """Charts by key, the distinct metrics, and the number of each chart's metric."""
@@ -430,65 +434,154 @@ def _allowed(value: Column, exclude: Sequence[str] | None) -> Column:
     return F.coalesce(~value.isin(list(exclude)), F.lit(False)) if exclude else F.lit(True)
 
 
-def _count_rows(metric: object, flags: Sequence[Column]) -> list[tuple]:
-    """(kept, key, key, id) of the rows that one input row adds to a metric.
+@dataclass(frozen=True)
+class _Use:
+    """What one metric takes from a source: all rows, or those of one flag, under keys of its own."""
+
+    metric: int
+    flag: int | None = None
+    k1: str | None = None
+    k2: str | None = None
+
+
+@dataclass
+class _Source:
+    """Rows that are counted once for all metrics which count them by the same keys."""
+
+    kept: Column
+    k1: Column
+    k2: Column
+    id: Column | None = None
+    flags: list[Column] = field(default_factory=list)
+    uses: list[_Use] = field(default_factory=list)
+
+
+def _name(value: str | Column) -> object:
+    """Equal for equal column names; any other expression is only equal to itself."""
+    return value if isinstance(value, str) else id(value)
+
+
+def _sources(metrics: Sequence[object], flags: Sequence[Sequence[Column]]) -> list[_Source]:
+    """All that is counted for the metrics, and which metric reads what.
 
     A row without a second key, or without any, is the base that shares refer to.
     """
     none, yes = F.lit(None).cast("string"), F.lit(True)
-    if isinstance(metric, SingleCount):
-        value = as_column(metric.column)
-        return [(_allowed(value, metric.exclude), value.cast("string"), none, None)]
-    if isinstance(metric, MultiCount):
-        picks = [(F.coalesce(f, F.lit(False)), F.lit(str(i)), none, None) for i, f in enumerate(flags)]
-        return [(yes, none, none, None), *picks]
-    if isinstance(metric, RankCount):
-        placed = [
-            (F.coalesce(as_column(r) != "", F.lit(False)), as_column(r).cast("string"), F.lit(str(p)), None)
-            for p, r in enumerate(metric.ranks, start=1)
-        ]
-        return [(yes, none, none, None), *placed]
-    if isinstance(metric, CrossTab):
-        x, y = as_column(metric.x), as_column(metric.y)
-        kept = _allowed(x, metric.x_exclude) & _allowed(y, metric.y_exclude)
-        return [(kept, x.cast("string"), y.cast("string"), None)]
-    if isinstance(metric, TraitTab):
-        x = as_column(metric.single)
-        kept, label = _allowed(x, metric.x_exclude), x.cast("string")
-        traits = [(kept & F.coalesce(f, F.lit(False)), label, F.lit(str(i)), None) for i, f in enumerate(flags)]
-        return [(kept, label, none, None), *traits]
-    if isinstance(metric, Funnel):
-        value = as_column(metric.column).cast("string")
-        return [(F.coalesce(value.isin(list(metric.stages.paths)), F.lit(False)), value, none, None)]
-    if isinstance(metric, Flow):
-        x, y = as_column(metric.x), as_column(metric.y)
-        kept = x.isNotNull() & y.isNotNull() & _allowed(x, metric.exclude) & _allowed(y, metric.exclude)
-        return [(kept, flow_label(x, metric.x_map), flow_label(y, metric.y_map), as_column(metric.id))]
-    picked = [F.coalesce(f, F.lit(False)) for f in flags]
-    bits = F.concat(*[F.when(f, F.lit("1")).otherwise(F.lit("0")) for f in picked])
-    return [(F.array_contains(F.array(*picked), True), bits, none, None)]
+    found: dict[tuple, _Source] = {}
+
+    def labels(column: str | Column, exclude: Sequence[str] | None) -> _Source:
+        value = as_column(column)
+        source = _Source(_allowed(value, exclude), value.cast("string"), none)
+        return found.setdefault(("label", _name(column), tuple(exclude or ())), source)
+
+    def everyone() -> _Source:
+        return found.setdefault(("all",), _Source(yes, none, none))
+
+    def flagged(source: _Source, number: int, own: Sequence[Column], key: str) -> None:
+        for i, flag in enumerate(own):
+            source.uses.append(_Use(number, len(source.flags), **{key: str(i)}))
+            source.flags.append(F.coalesce(flag, F.lit(False)))
+
+    for number, (metric, own) in enumerate(zip(metrics, flags)):
+        if isinstance(metric, RankCount):
+            everyone().uses.append(_Use(number))
+            for p, column in enumerate(metric.ranks, start=1):
+                value = as_column(column)
+                placed = _Source(F.coalesce(value != "", F.lit(False)), value.cast("string"), none)
+                found.setdefault(("placed", _name(column)), placed).uses.append(_Use(number, k2=str(p)))
+            continue
+        if isinstance(metric, SingleCount):
+            source = labels(metric.column, metric.exclude)
+        elif isinstance(metric, MultiCount):
+            source = everyone()
+            flagged(source, number, own, "k1")
+        elif isinstance(metric, TraitTab):
+            source = labels(metric.single, metric.x_exclude)
+            flagged(source, number, own, "k2")
+        elif isinstance(metric, CrossTab):
+            x, y = as_column(metric.x), as_column(metric.y)
+            kept = _allowed(x, metric.x_exclude) & _allowed(y, metric.y_exclude)
+            key = ("pair", _name(metric.x), _name(metric.y), tuple(metric.x_exclude or ()), tuple(metric.y_exclude or ()))
+            source = found.setdefault(key, _Source(kept, x.cast("string"), y.cast("string")))
+        elif isinstance(metric, Funnel):
+            value = as_column(metric.column).cast("string")
+            kept = F.coalesce(value.isin(list(metric.stages.paths)), F.lit(False))
+            source = found.setdefault(("own", number), _Source(kept, value, none))
+        elif isinstance(metric, Flow):
+            x, y = as_column(metric.x), as_column(metric.y)
+            kept = x.isNotNull() & y.isNotNull() & _allowed(x, metric.exclude) & _allowed(y, metric.exclude)
+            ends = flow_label(x, metric.x_map), flow_label(y, metric.y_map)
+            source = found.setdefault(("own", number), _Source(kept, *ends, as_column(metric.id)))
+        else:
+            picked = [F.coalesce(f, F.lit(False)) for f in own]
+            bits = F.concat(*[F.when(f, F.lit("1")).otherwise(F.lit("0")) for f in picked])
+            source = found.setdefault(("own", number), _Source(F.array_contains(F.array(*picked), True), bits, none))
+        source.uses.append(_Use(number))
+    return list(found.values())
 
 
 def report_counts(df: DataFrame, report: Report) -> DataFrame:
     """``(metric, k1, k2, n, first)``: everything the report's charts are made of.
 
-    One scan and one shuffle with partial aggregation, for any number of charts. Add up
-    ``n`` and take the least ``first`` to merge the counts of several inputs. Ids of
-    flows are numbers, or all of one type that has an order.
+    One scan and one shuffle with partial aggregation, for any number of charts. An input row
+    is stacked once for each source of counts, not once for each metric and choice: metrics
+    over the same labels share one, and up to ``_MASK_FLAGS`` flags travel as the bits of a
+    number and are summed side by side. Add up ``n`` and take the least ``first`` to merge the
+    counts of several inputs. Ids of flows are numbers, or all of one type that has an order.
     """
     _, metrics, _ = _numbered(report)
     choices = [list(getattr(m, "choices", {}).values()) for m in metrics]
     flags = iter(yes_flags(df, [c for own in choices for c in own]))
     kind = _id_type(df, [m for m in metrics if isinstance(m, Flow)])
+    names = ["source", "kept", "k1", "k2", "id", "mask"]
     cells: list[Column] = []
-    count = 0
-    for number, (metric, own) in enumerate(zip(metrics, choices)):
-        for kept, k1, k2, first in _count_rows(metric, [next(flags) for _ in own]):
-            first = F.lit(None) if first is None else first
-            cells += [F.lit(number), kept, k1, k2, first.cast(kind)]
-            count += 1
-    stacked = df.select(F.stack(F.lit(count), *cells).alias("metric", "kept", "k1", "k2", "id"))
-    return merged_counts(stacked.filter("kept").withColumn("n", F.lit(1).cast("bigint")).withColumnRenamed("id", "first"))
+    uses: list[list[_Use]] = []
+    width = 0
+    for source in _sources(metrics, [[next(flags) for _ in own] for own in choices]):
+        first = F.lit(None) if source.id is None else source.id
+        for low in range(0, max(len(source.flags), 1), _MASK_FLAGS):
+            own = range(low, min(low + _MASK_FLAGS, len(source.flags)))
+            width = max(width, len(own))
+            mask = F.lit(0)
+            for bit, i in enumerate(own):
+                mask = mask.bitwiseOR(F.when(source.flags[i], F.lit(1 << bit)).otherwise(F.lit(0)))
+            cell = [F.lit(len(uses)), source.kept, source.k1, source.k2, first.cast(kind), mask]
+            cells.append(F.struct(*[part.alias(name) for name, part in zip(names, cell)]))
+            # All rows are counted by the first mask; the others only add their flags.
+            uses.append([
+                replace(use, flag=None if use.flag is None else use.flag - low)
+                for use in source.uses if (use.flag in own if use.flag is not None else low == 0)
+            ])
+    # Not F.stack: so many cells make one generated method that the JVM never compiles.
+    kept = df.select(F.filter(F.array(*cells), lambda cell: cell["kept"]).alias("cells"))
+    # The outer form, since the optimizer would test the whole array once more below a join.
+    stacked = kept.select(F.inline_outer("cells")).filter("source IS NOT NULL")
+    sums = [F.sum(F.shiftright("mask", bit).bitwiseAND(F.lit(1)).cast("bigint")) for bit in range(width)]
+    counted = stacked.groupBy("source", "k1", "k2").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("first"), *[s.alias(f"flag{bit}") for bit, s in enumerate(sums)]
+    )
+    return _used(counted, uses, width)
+
+
+def _used(counted: DataFrame, uses: Sequence[Sequence[_Use]], width: int) -> DataFrame:
+    """The counts of sources under the numbers and keys of the metrics that read them."""
+    schema = "array<struct<metric int, flag int, k1 string, k2 string>>"
+    of = F.array(*[
+        F.array(*[
+            F.struct(F.lit(use.metric), F.lit(use.flag).cast("int"), _text(use.k1), _text(use.k2)) for use in own
+        ]).cast(schema)
+        for own in uses
+    ])
+    found = counted.withColumn("use", F.explode_outer(F.element_at(of, F.col("source") + 1)))
+    # The first entry counts all rows, those after it the flags.
+    numbers = F.array("n", *[f"flag{bit}" for bit in range(width)])
+    return found.select(
+        F.col("use.metric").alias("metric"),
+        F.coalesce("use.k1", "k1").alias("k1"),
+        F.coalesce("use.k2", "k2").alias("k2"),
+        F.element_at(numbers, F.coalesce(F.col("use.flag") + 2, F.lit(1))).alias("n"),
+        "first",
+    ).filter("n > 0")
 
 
 def _id_type(df: DataFrame, flows: Sequence[Flow]) -> T.DataType:

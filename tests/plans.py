@@ -17,6 +17,15 @@ def scanned(df):
     ]
 
 
+def rows_made(df, name):
+    """Rows that each operator of a name made in the final plan."""
+    return [
+        node.metrics().apply("numOutputRows").value()
+        for node in _executed(df)
+        if node.getClass().getSimpleName() == name
+    ]
+
+
 def _executed(df):
     df.collect()
     names = []

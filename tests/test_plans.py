@@ -3,7 +3,7 @@
 from collections import Counter
 
 import pytest
-from plans import executed_operators, nested_loops, scanned
+from plans import executed_operators, nested_loops, rows_made, scanned
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
@@ -213,6 +213,26 @@ def test_a_report_scans_its_input_once(spark, orders, lines):
         assert nested_loops(operators) == 0
 
 
+def test_a_report_stacks_a_row_once_for_what_metrics_share(spark, lines):
+    """Four questions of 3 choices and five charts of one column: two masks of flags and one label for each row."""
+    charts = [Chart("bar", MultiCount({**flags(), "none": F.lit(None).cast("boolean")})) for _ in range(4)]
+    charts += [Chart("bar", SingleCount("l_linestatus")) for _ in range(4)]
+    charts += [Chart("line", TraitTab(flags(), "l_linestatus", "rate"))]
+    rows = [ReportRow("r", "t", "q", charts, commentary="")]
+    counts = report_counts(lines, Report(2025, "t", [ReportSection("s", "s", rows)]))
+    stacked = rows_made(counts, "GenerateExec")
+    total = lines.count()
+    assert max(stacked) == 3 * total
+    got = {(r["metric"], r.k1, r.k2): r.n for r in counts.collect()}
+    picked = {str(i): lines.where(F.col("l_returnflag") == flag).count() for i, flag in enumerate("ANR")}
+    expected = {(q, None, None): total for q in range(4)} | {(q, i, None): n for q in range(4) for i, n in picked.items()}
+    for r in lines.groupBy("l_linestatus").count().collect():
+        expected |= {(q, r.l_linestatus, None): r["count"] for q in range(4, 9)}
+    for r in lines.groupBy("l_linestatus", "l_returnflag").count().collect():
+        expected[8, r.l_linestatus, str("ANR".index(r.l_returnflag))] = r["count"]
+    assert got == expected
+
+
 def test_plans_with_generated_code(spark, orders):
     """The other tests interpret their plans; one family with whole-stage code gives the same rows."""
     def rows():
